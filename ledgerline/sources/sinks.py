@@ -13,7 +13,10 @@ def flat_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    flat_columns(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV that reads back as written: spaces stay, and '' differs from null."""
+    writer = flat_columns(df).write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -64,6 +64,9 @@ UK_REGISTRY_COLUMNS = [
 ]
 
 
+NULL_TEXT = "\x00"
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Matching files by path; an empty listing or a missing folder raises."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
@@ -90,14 +93,17 @@ def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
-    """CSV with quoted newlines, all text; short lines end in nulls, extra fields are dropped."""
+    """All text, quoted newlines kept; short lines end in nulls, extra fields are dropped.
+
+    An empty field is null and a quoted empty one is '': no field equals NULL_TEXT.
+    """
     paths = [paths] if isinstance(paths, str) else paths
     header = read_header(spark, paths[0], sep)
     reader = (
         spark.read.schema(_text_schema(header))
         .option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
         .option("quote", '"').option("escape", '"').option("enforceSchema", True)
-        .option("multiLine", sep == ",")
+        .option("multiLine", sep == ",").option("nullValue", NULL_TEXT)
     )
     return reader.csv(paths)
 
