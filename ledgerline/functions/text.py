@@ -44,6 +44,23 @@ def lines(c: Column) -> Column:
     return F.split(c, "\n")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def any_of(c: Column, parts: list[str]) -> Column:
+    """True when the text holds one of the parts."""
+
+    def test(text):
+        found = F.contains(text, F.lit(parts[0]))
+        for part in parts[1:]:
+            found = found | F.contains(text, F.lit(part))
+        return found
+
+    return bound(c, test)
+
+
 def first_match(c: Column, pattern: str, group: int = 1) -> Column:
     """Group of the first match, null (not '') when nothing matches."""
     return F.when(F.regexp_like(c, F.lit(pattern)), F.regexp_extract(c, pattern, group))

@@ -104,14 +104,18 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("[document]")
         self.buffer = []
+        self.tags: dict[str, list[Node]] = {}
+        self.strings: list[Text] = []
+
+    def updatepos(self, i, j):
+        """Line numbers are not needed."""
+        return j
 
     def handle_starttag(self, tag, attrs):
         self.flush()
-        values = {}
-        for name, value in attrs:
-            values[name] = "" if value is None else value
-        node = Node(tag, values, self.here)
+        node = Node(tag, {name: value or "" for name, value in attrs}, self.here)
         self.here.children.append(node)
+        self.tags.setdefault(tag, []).append(node)
         if tag not in VOID:
             self.here = node
 
@@ -133,33 +137,33 @@ class TreeBuilder(HTMLParser):
 
     def handle_comment(self, data):
         self.flush()
-        self.here.children.append(Text(data, comment=True))
+        self.add_text(Text(data, comment=True))
+
+    def add_text(self, text):
+        self.here.children.append(text)
+        self.strings.append(text)
 
     def flush(self):
+        if not self.buffer:
+            return
         value = "".join(self.buffer)
         self.buffer.clear()
-        if not value:
-            return
         if not value.strip(" \n\t\f\r") and self.here.tag not in ("pre", "textarea"):
             value = "\n" if "\n" in value else " "
-        hidden = self.here.tag if self.here.tag in HIDDEN else None
-        self.here.children.append(Text(value, hidden=hidden))
+        self.add_text(Text(value, hidden=self.here.tag if self.here.tag in HIDDEN else None))
 
 
-def page_elements(html: str) -> dict:
+def build_tree(html: str | None) -> TreeBuilder:
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(html or "")
     builder.close()
     builder.flush()
-    root = builder.root
-
-    tags: dict[str, list[Node]] = {}
-    strings = []
-    for node in root.walk():
-        if isinstance(node, Node):
-            tags.setdefault(node.tag, []).append(node)
-        else:
-            strings.append(node)
+    return builder
+
+
+def page_elements(html: str | None) -> dict:
+    builder = build_tree(html)
+    tags, strings = builder.tags, builder.strings
     row_links = []
     for row in tags.get("tr", []):
         first = next((a for a in row.find_all("a") if "href" in a.attrs), None)
@@ -182,7 +186,7 @@ def page_elements(html: str) -> dict:
     return {
         "lang": tags["html"][0].attrs.get("lang") if "html" in tags else None,
         "title_tag": None if title is None else title.tight_text(),
-        "page_text": "".join(root.pieces()),
+        "page_text": "".join(s.value for s in strings if not s.comment and s.hidden is None),
         "all_text": "\n".join(s.value for s in strings),
         "h2": [n.tight_text() for n in tags.get("h2", [])],
         "row_links": row_links,
@@ -209,7 +213,7 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def parse(batches):
         for batch in batches:
-            rows = [page_elements(h or "") for h in batch.column(html).to_pylist()]
+            rows = [page_elements(h) for h in batch.column(html).to_pylist()]
             found = pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried] + found.columns, carried + ELEMENTS.names
@@ -234,11 +238,7 @@ def extract_with(pages: DataFrame, fn, schema: str) -> DataFrame:
         for frame in frames:
             out = []
             for page_id, url, html in zip(frame["page_id"], frame["url"], frame["html"]):
-                builder = TreeBuilder()
-                builder.feed(html or "")
-                builder.close()
-                builder.flush()
-                record = fn(builder.root)
+                record = fn(build_tree(html).root)
                 if record is not None:
                     out.append([page_id, url] + [record.get(f) for f in fields])
             yield pd.DataFrame(out, columns=["page_id", "url", *fields])

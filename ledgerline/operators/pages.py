@@ -173,7 +173,7 @@ def with_title(elements: DataFrame) -> DataFrame:
 
 
 def page_records(elements: DataFrame, jurisdiction: str, source_url: str = "url") -> DataFrame:
-    """One cleaned record per page; pages that give nothing are dropped."""
+    """One cleaned record per page. Every page has at least a language, so none is empty."""
     base = with_title(elements).withColumn("pdf_url", pdf_url())
     fields = {
         "title": F.col("title"),
@@ -188,20 +188,25 @@ def page_records(elements: DataFrame, jurisdiction: str, source_url: str = "url"
         "document_type": F.nullif(_section("Resource", "paragraph"), F.lit("")),
     }
     raw = base.select("page_id", source_url, *[c.alias(n) for n, c in fields.items()])
-    return clean_records(raw, list(fields), source_url, jurisdiction)
+    return _cleaned(raw, list(fields), source_url, jurisdiction)
+
+
+def _cleaned(df: DataFrame, fields: list[str], source_url: str, jurisdiction: str) -> DataFrame:
+    kinds = dict(df.dtypes)
+    values = [blank_to_null(F.col(c)).alias(c) if kinds[c] == "string" else F.col(c) for c in fields]
+    others = [c for c in df.columns if c not in fields and c != source_url]
+    return df.select(
+        *others, *values, F.col(source_url).alias("source_url"), F.lit(jurisdiction).alias("jurisdiction")
+    )
 
 
 def clean_records(df: DataFrame, fields: list[str], source_url: str, jurisdiction: str) -> DataFrame:
     """Strip text, drop blanks, drop empty records, add source and jurisdiction."""
-    text = [f.name for f in df.schema if f.name in fields and f.dataType.simpleString() == "string"]
-    cleaned = df.withColumns({c: blank_to_null(F.col(c)) for c in text}) if text else df
+    cleaned = _cleaned(df, fields, source_url, jurisdiction)
     any_value = F.lit(False)
     for c in fields:
         any_value = any_value | F.col(c).isNotNull()
-    rest_cols = [c for c in df.columns if c not in fields and c != source_url]
-    return cleaned.filter(any_value).select(
-        *rest_cols, *fields, F.col(source_url).alias("source_url"), F.lit(jurisdiction).alias("jurisdiction")
-    )
+    return cleaned.filter(any_value)
 
 
 def has_required(df: DataFrame, fields: list[str]) -> Column:

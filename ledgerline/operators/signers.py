@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD, non_blank, squeeze, strip
+from ..functions.text import WORD, any_of, bound, non_blank
 from .selection import keep_first
 
 # Words around signatures, words that hint at a role, and how a
@@ -30,20 +30,39 @@ ROLE_HINTS = [
 ROLE_LABELS = ["cargo", "posición", "puesto", "título", "role", "position", "title"]
 NAME_WORD = "(?:[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+|[A-ZÁÉÍÓÚÑ]{2,})"
 
-LINE_BREAKS = "\\r\\n|[\\n\\r\\x0b\\f\\x1c-\\x1e\\x85\\u2028\\u2029]"
-SIGNATURE_LINE = rf"(?iu)(?<![{WORD}])(?:{'|'.join(SIGNATURE_WORDS)})(?![{WORD}])"
-ROLE_HINT_LINE = f"(?iu)(?:{'|'.join(ROLE_HINTS)})"
-NAME = rf"(?U)(?<![{WORD}])({NAME_WORD}(?:\s+{NAME_WORD}){{1,3}})(?![{WORD}])"
-ROLE_LINE = rf"(?iuU)(?:{'|'.join(ROLE_LABELS)})\s*[:\-–]\s*(.+)$"
+BREAKS = "\r\x0b\f\x1c\x1d\x1e\x85\u2028\u2029"
+# Spaces other than U+0020 and tab, and bullets, which read as spaces.
+GAPS = "\x1f\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000•·●"
+# Most text has none of these characters, so one look saves replacing them all.
+UNUSUAL = "[\\x0b-\\x1f\\x85\\u00a0\\u00b7\\u1680-\\u3000]"
+SIGNATURE_LINE = rf"(?<![{WORD}])(?:{'|'.join(SIGNATURE_WORDS)})(?![{WORD}])"
+# The look-ahead rules out most positions before the slower look-behind runs.
+NAME = rf"(?=[A-ZÁÉÍÓÚÑ])(?<![{WORD}])({NAME_WORD}(?: {NAME_WORD}){{1,3}})(?![{WORD}])"
+ROLE_LINE = rf"(?iu)(?:{'|'.join(ROLE_LABELS)}) *[:\-–] *(.+)$"
 REACH = 5
 
+# Cheap tests before the patterns: a line that holds none of these cannot match.
+SIGNATURE_STEMS = ["firm", "suscri", "sign"]
+PAGE_STEMS = SIGNATURE_STEMS + sorted({h.split()[0] for h in ROLE_HINTS})
+
+
+def _plain(text: Column) -> Column:
+    """Text whose line breaks are all newlines and whose gaps are single spaces."""
+    full = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    for chars, to in ((BREAKS, "\n"), (GAPS, " ")):
+        for char in chars:
+            full = F.replace(full, F.lit(char), F.lit(to))
+    usual = F.when(F.regexp_like(text, F.lit(UNUSUAL)), full).otherwise(text)
+    return F.regexp_replace(usual, "[ \\t]{2,}|\\t", " ")
+
 
 def clean_line(c: Column) -> Column:
-    return strip(squeeze(F.regexp_replace(c, "[•·●]+", " ")))
+    return F.trim(_plain(c))
 
 
 def clean_lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, LINE_BREAKS), clean_line), lambda s: s != "")
+    """Non-empty lines of a page without bullets and repeated spaces."""
+    return F.filter(F.transform(F.split(_plain(text), "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def context(all_lines: Column, i: Column, reach: int = REACH) -> Column:
@@ -66,34 +85,40 @@ def line_context(pages: DataFrame, keys: list[str], text: str = "text") -> DataF
     return with_lines.select(*keys, F.inline(rows))
 
 
-def _matches(c: Column, pattern: str) -> Column:
-    return F.regexp_like(c, F.lit(pattern))
+def _name_in(items: Column) -> Column:
+    """First name in the first line that holds one."""
+    return F.get(F.filter(F.transform(items, lambda s: F.regexp_extract(s, NAME, 1)), lambda n: n != ""), 0)
 
 
-def _first_of(items: Column, pattern: str) -> Column:
-    """Cleaned first group of the first line that matches, null without one."""
-    line = F.get(F.filter(items, lambda s: _matches(s, pattern)), 0)
-    return F.when(line.isNotNull(), clean_line(F.regexp_extract(line, pattern, 1)))
+def _role_in(items: Column) -> Column:
+    """Text after the first role label."""
+    line = F.get(
+        F.filter(items, lambda s: any_of(F.lower(s), ROLE_LABELS) & F.regexp_like(s, F.lit(ROLE_LINE))), 0
+    )
+    return F.when(line.isNotNull(), clean_line(F.regexp_extract(line, ROLE_LINE, 1)))
 
 
 def _candidates(all_lines: Column) -> Column:
     """Keyword and role-hint lines with the lines each may draw on."""
-    numbered = F.transform(
-        all_lines,
-        lambda s, i: F.struct(
-            i.cast("bigint").alias("line_no"),
-            s.alias("line"),
-            _matches(s, SIGNATURE_LINE).alias("signed"),
-        ),
+
+    def marked(s, i):
+        def kinds(low):
+            signed = any_of(low, SIGNATURE_STEMS) & F.regexp_like(low, F.lit(SIGNATURE_LINE))
+            return F.struct(signed.alias("signed"), any_of(low, ROLE_HINTS).alias("hinted"))
+
+        found = bound(F.lower(s), kinds)
+        return F.struct(i.alias("line_no"), s.alias("line"), found.alias("found"))
+
+    wanted = F.filter(
+        F.transform(all_lines, marked), lambda e: e["found"]["signed"] | e["found"]["hinted"]
     )
-    wanted = F.filter(numbered, lambda e: e["signed"] | _matches(e["line"], ROLE_HINT_LINE))
     return F.transform(
         wanted,
         lambda e: F.struct(
-            e["line_no"].alias("line_no"),
+            e["line_no"].cast("bigint").alias("line_no"),
             e["line"].alias("line"),
-            e["signed"].alias("signed"),
-            F.when(e["signed"], context(all_lines, e["line_no"].cast("int")))
+            e["found"]["signed"].alias("signed"),
+            F.when(e["found"]["signed"], context(all_lines, e["line_no"]))
             .otherwise(F.array(e["line"])).alias("around"),
         ),
     )
@@ -106,8 +131,8 @@ def _hits(all_lines: Column) -> Column:
         own = F.array(e["line"])
         return F.struct(
             e["line_no"].alias("line_no"),
-            F.coalesce(_first_of(own, NAME), _first_of(e["around"], NAME)).alias("name"),
-            _first_of(e["around"], ROLE_LINE).alias("role"),
+            F.coalesce(_name_in(own), _name_in(e["around"])).alias("name"),
+            _role_in(e["around"]).alias("role"),
             F.array_join(e["around"], "\n").alias("context"),
             e["signed"].alias("signed"),
             F.startswith(F.lower(e["line"]), F.lit("firma:")).alias("label_only"),
@@ -121,8 +146,11 @@ def _hits(all_lines: Column) -> Column:
 
 
 def _found(pages: DataFrame, keys: list[str], text: str, outer: bool) -> DataFrame:
-    listed = pages.select(*keys, F.length(text).cast("bigint").alias("raw_text_len"),
-                          clean_lines(F.col(text)).alias("_lines"))
+    # Pages without any of the words are not cut into lines at all.
+    wanted = F.when(any_of(F.lower(text), PAGE_STEMS), clean_lines(F.col(text)))
+    listed = pages.select(
+        *keys, F.length(text).cast("bigint").alias("raw_text_len"), wanted.alias("_lines")
+    )
     explode = F.inline_outer if outer else F.inline
     rows = listed.select(*keys, "raw_text_len", explode(_hits(F.col("_lines"))))
     first = keep_first(rows, [*keys, "name", "role"], [F.col("line_no")])
