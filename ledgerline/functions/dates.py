@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import non_blank, squeeze
+from .text import bound, non_blank, squeeze
 
 # Formats tried in this order, month first before day first.
 DATE_FORMATS = [
@@ -46,7 +46,7 @@ def normalize_date(raw: Column, has_date: Column) -> Column:
 
     Text that already starts like an ISO date is kept whole.
     """
-    parsed = F.coalesce(*_as_iso(squeeze(raw), DATE_FORMATS), raw)
+    parsed = bound(squeeze(raw), lambda text: F.coalesce(*_as_iso(text, DATE_FORMATS), raw))
     found = F.when(F.regexp_like(raw, F.lit(r"^\d{4}-\d{2}-\d{2}")), raw).otherwise(parsed)
     return F.when(F.coalesce(has_date, F.lit(False)) & non_blank(raw), found).otherwise("")
 
@@ -58,5 +58,5 @@ def normalize_free_date(raw: Column) -> Column:
     text = F.regexp_replace(text, r"(?i)^(mon|tues?|wed(nes)?|thur?s?|fri|sat(ur)?|sun)(day)?,? ", "")
     # Day first only where the month-first reading is impossible.
     formats = ["yyyy-M-d"] + [f for f in DATE_FORMATS if f != "yyyy-M-d"] + FREE_FORMATS
-    found = F.coalesce(*_as_iso(text, formats), raw)
+    found = bound(text, lambda t: F.coalesce(*_as_iso(t, formats), raw))
     return F.when(non_blank(raw), found).otherwise("")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bound
+
 # Parts of any reference: scheme, authority, path, query, fragment (RFC 3986, appendix B).
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(?s:(#.*))?$"
 
@@ -15,6 +17,7 @@ def _part(url: Column, n: int) -> Column:
 
 def _resolve(path: Column) -> Column:
     """Path with '.' and '..' segments worked out, always rooted."""
+    ends_in_dots = F.regexp_like(path, F.lit(r"(^|/)\.\.?$"))
     segments = F.filter(F.split(path, "/"), lambda s: s != ".")
     kept = F.aggregate(
         segments,
@@ -23,31 +26,33 @@ def _resolve(path: Column) -> Column:
             s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
         ).otherwise(F.concat(done, F.array(s))),
     )
-    slash = F.when(F.regexp_like(path, F.lit(r"(^|/)\.\.?$")) & (F.size(kept) > 0), "/").otherwise("")
-    joined = F.concat(F.array_join(kept, "/"), slash)
-    return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
+    joined = F.concat(F.array_join(kept, "/"), F.when(ends_in_dots, "/").otherwise(""))
+    return F.concat(F.lit("/"), F.ltrim(joined, F.lit("/")))
 
 
 def absolute_url(url: Column, base: Column) -> Column:
     """Resolve a reference against a base URL (RFC 3986)."""
-    path, query, fragment = _part(url, 3), _part(url, 4), _part(url, 5)
-    scheme, authority = F.concat(_part(base, 1), F.lit(":")), _part(base, 2)
-    base_path = _part(base, 3)
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
-    # Empty segments inside a relative path collapse.
-    merged = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
-    resolved = (
-        F.when(path == "", base_path)
-        .when(F.startswith(path, F.lit("/")), _resolve(path))
-        .otherwise(_resolve(merged))
-    )
-    kept_query = F.when((path == "") & (query == ""), _part(base, 4)).otherwise(query)
-    return (
-        F.when(url == "", base)
-        .when(_part(url, 1) != "", url)
-        .when(F.startswith(url, F.lit("//")), F.concat(scheme, url))
-        .otherwise(F.concat(scheme, authority, resolved, kept_query, fragment))
-    )
+
+    def parts(u):
+        names = ("scheme", "authority", "path", "query", "fragment")
+        return F.struct(u.alias("url"), *[_part(u, n).alias(name) for n, name in enumerate(names, 1)])
+
+    def resolve(u, b):
+        folder = F.regexp_replace(b["path"], "[^/]*$", "")
+        # Empty segments inside a relative path collapse.
+        merged = F.regexp_replace(F.concat(folder, u["path"]), "/{2,}", "/")
+        rooted = F.startswith(u["path"], F.lit("/"))
+        path = F.when(u["path"] == "", b["path"]).otherwise(_resolve(F.when(rooted, u["path"]).otherwise(merged)))
+        query = F.when((u["path"] == "") & (u["query"] == ""), b["query"]).otherwise(u["query"])
+        scheme = F.concat(b["scheme"], F.lit(":"))
+        return (
+            F.when(u["url"] == "", b["url"])
+            .when(u["scheme"] != "", u["url"])
+            .when(u["authority"] != "", F.concat(scheme, u["url"]))
+            .otherwise(F.concat(scheme, b["authority"], path, query, u["fragment"]))
+        )
+
+    return bound(parts(url), lambda u: bound(parts(base), lambda b: resolve(u, b)))
 
 
 def file_type(url: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import non_blank, strip
+from ..functions.text import bound, non_blank, strip
 from .responses import lower_lines, says
 
 KINDS = ("text", "tables", "figures", "signatures")
@@ -20,16 +20,20 @@ PAGES_PER_PART = 500
 ANALYSIS_KEYS = ("should_parse:", "has_text:", "has_tables:", "has_figures:", "has_signatures:")
 
 
-def page_analysis(response: Column) -> dict[str, Column]:
-    """Flags of the analysis response; a line counts for the first key it holds."""
-    found = lower_lines(response)
-    return {
-        key.rstrip(":"): says(found, key, ANALYSIS_KEYS[:n]) for n, key in enumerate(ANALYSIS_KEYS)
-    }
+def page_analysis(response: Column) -> Column:
+    """Struct of the analysis flags; a line counts for the first key it holds."""
+
+    def flags(found):
+        return F.struct(*[
+            says(found, key, ANALYSIS_KEYS[:n]).alias(key.rstrip(":")) for n, key in enumerate(ANALYSIS_KEYS)
+        ])
+
+    return bound(lower_lines(response), flags)
 
 
 def with_analysis(pages: DataFrame, analysis: str = "analysis") -> DataFrame:
-    return pages.withColumns(page_analysis(F.col(analysis)))
+    flagged = pages.withColumn("_flags", page_analysis(F.col(analysis)))
+    return flagged.select(*pages.columns, "_flags.*")
 
 
 def required_extractors() -> Column:
@@ -55,19 +59,25 @@ def sections(response: Column, kind: str) -> Column:
 
     Empty sections are dropped; of a repeated id the last content is kept.
     """
-    pattern = rf"(?dms)^({kind}_\d+)$(.*?)(?=^{kind}_\d+$|\z)"
-    ids = F.regexp_extract_all(response, F.lit(pattern), 1)
-    bodies = F.transform(F.regexp_extract_all(response, F.lit(pattern), 2), strip)
-    filled = F.filter(
-        F.arrays_zip(ids.alias("id"), bodies.alias("content")), lambda e: e["content"] != ""
-    )
-    kept = F.transform(
-        F.array_distinct(F.transform(filled, lambda e: e["id"])),
-        lambda i: F.struct(
-            i.alias("id"),
-            F.element_at(F.filter(filled, lambda e: e["id"] == i), -1)["content"].alias("content"),
+    pattern = rf"(?dms)^{kind}_\d+$.*?(?=^{kind}_\d+$|\z)"
+    entries = F.transform(
+        F.regexp_extract_all(response, F.lit(pattern), 0),
+        lambda piece: F.struct(
+            F.substring_index(piece, "\n", 1).alias("id"),
+            strip(F.regexp_replace(piece, r"^[^\n]*", "")).alias("content"),
         ),
     )
+
+    def last_of_each(filled):
+        return F.transform(
+            F.array_distinct(F.transform(filled, lambda e: e["id"])),
+            lambda i: F.struct(
+                i.alias("id"),
+                F.element_at(F.filter(filled, lambda e: e["id"] == i), -1)["content"].alias("content"),
+            ),
+        )
+
+    kept = bound(F.filter(entries, lambda e: e["content"] != ""), last_of_each)
     return F.coalesce(kept, F.array().cast("array<struct<id:string,content:string>>"))
 
 
@@ -92,6 +102,11 @@ def _fill(text: Column, entries: Column, block) -> Column:
     )
 
 
+def _without_unless(kind: str, present: Column):
+    """Drop the placeholders of a kind, unless the page has that kind."""
+    return lambda text: F.when(present, text).otherwise(F.regexp_replace(text, rf"\[{kind}_\d+\]", ""))
+
+
 def _framed(*parts: Column) -> Column:
     return F.concat(F.lit("\n\n"), *parts, F.lit("\n\n"))
 
@@ -136,7 +151,7 @@ def integrate(
     seen = {"TABLE": (has_tables, True), "FIGURE": (has_figures, True), "SIGNATURE": (has_signatures, False)}
     for kind, (flag, default) in seen.items():
         present = F.lit(default) if flag is None else flag
-        out = F.when(present, out).otherwise(F.regexp_replace(out, rf"\[{kind}_\d+\]", ""))
+        out = bound(out, _without_unless(kind, present))
     out = _fill(out, tables, _content_block("Table"))
     out = _fill(out, figures, _content_block("Figure"))
     if signatures is not None:
@@ -144,8 +159,8 @@ def integrate(
     return F.when(non_blank(text), strip(squeeze_blank_lines(out))).otherwise("")
 
 
-def signature_markdown(record: dict[str, Column]) -> Column:
-    """Markdown block of a signature record, null when there is no signature."""
+def signature_markdown(record) -> Column:
+    """Markdown block of a signature record (a struct), null when there is no signature."""
     kinds = F.concat_ws(
         ", ",
         F.when(record["is_image_signature"], "Image signature"),

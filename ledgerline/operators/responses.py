@@ -46,6 +46,27 @@ def says(items: Column, key: str, before: tuple[str, ...] = (), word: str = "tru
     return F.coalesce(F.contains(last_with(items, key, before), F.lit(word)), F.lit(False))
 
 
+def keyed_lines(items: Column) -> Column:
+    """array<struct<key, value>> of the lines with a colon, split at the first one; keys upper case."""
+    with_colon = F.filter(items, lambda s: F.contains(s, F.lit(":")))
+    return F.transform(
+        with_colon,
+        lambda s: F.struct(F.upper(F.substring_index(s, ":", 1)).alias("key"), after_colon(s).alias("value")),
+    )
+
+
+def value_of(entries: Column, keys: tuple[str, ...], n: int, also=None) -> Column:
+    """Value of the last entry whose key holds keys[n] and none of the keys before it."""
+
+    def test(entry):
+        ok = F.contains(entry["key"], F.lit(keys[n]))
+        for other in keys[:n]:
+            ok = ok & ~F.contains(entry["key"], F.lit(other))
+        return ok if also is None else ok & also(entry["value"])
+
+    return last(F.filter(entries, test))["value"]
+
+
 def after_colon(line: Column) -> Column:
     """Stripped text after the first colon."""
     return strip(F.substring(line, F.instr(line, ":") + 1, F.length(line)))

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import normalize_date, normalize_free_date
-from ..functions.text import SPACES, keep_word_chars, lines, non_blank, squeeze, strip
+from ..functions.text import SPACES, bound, keep_word_chars, lines, non_blank, squeeze, strip
 from .responses import (
-    after_colon, blocks, body_lines, first_line, graded_confidence, last, last_with, lower_lines,
-    number_in, says,
+    after_colon, blocks, body_lines, first_line, graded_confidence, keyed_lines, last, last_with,
+    lower_lines, number_in, says, value_of,
 )
 
 # Output columns of the consolidated table, in order.
@@ -31,55 +31,59 @@ _BLOCK_KEYS = ("signature_type:", "is_image:", "is_scanned:", "signature_block_f
 
 # --- two responses per page: detection with analysis, then extraction ---
 
-def parse_detection(response: Column, numbered_only: bool = False) -> dict[str, Column]:
-    """Flags, count, confidence and the per-signature blocks of a detection response.
+def parse_detection(response: Column, numbered_only: bool = False) -> Column:
+    """Struct of flags, count, confidence and the per-signature blocks of a detection response.
 
     Any line starting SIGNATURE_ with a colon opens a block, section titles
     included, so the first block of a usual response is the empty one under its
     title. ``numbered_only`` opens blocks at SIGNATURE_<n> alone.
     """
-    found = lower_lines(response)
     name = r"SIGNATURE_\d+" if numbered_only else "SIGNATURE_"
     header = rf"{name}[^\n]*:)(?!(?iu:[^\n]*(?:{'|'.join(_GLOBAL_KEYS)}))"
-    per_block = F.transform(blocks(response, header), _detection_block)
-    return {
-        "has_signatures": says(found, "has_signatures:"),
-        "signature_count": F.coalesce(
-            number_in(last_with(found, "signature_count:", _GLOBAL_KEYS[:1],
-                                also=lambda s: F.regexp_like(s, F.lit(r"\d")))), F.lit(0)),
-        "confidence": graded_confidence(found, _GLOBAL_KEYS[:2]),
-        "signatures_analysis": per_block,
-    }
+
+    def fields(found):
+        count = last_with(
+            found, "signature_count:", _GLOBAL_KEYS[:1], also=lambda s: F.regexp_like(s, F.lit(r"\d"))
+        )
+        return F.struct(
+            says(found, "has_signatures:").alias("has_signatures"),
+            F.coalesce(number_in(count), F.lit(0)).alias("signature_count"),
+            graded_confidence(found, _GLOBAL_KEYS[:2]).alias("confidence"),
+            F.transform(blocks(response, header), _detection_block).alias("signatures_analysis"),
+        )
+
+    return bound(lower_lines(response), fields)
 
 
 def _detection_block(block: Column) -> Column:
-    body = F.transform(body_lines(block), F.lower)
+    def fields(body):
+        def line(n):
+            return last_with(body, _BLOCK_KEYS[n], _GLOBAL_KEYS + _BLOCK_KEYS[:n])
 
-    def line(n):
-        return last_with(body, _BLOCK_KEYS[n], _GLOBAL_KEYS + _BLOCK_KEYS[:n])
+        def second_part(n, default):
+            return F.coalesce(strip(F.get(F.split(line(n), ":"), 1)), F.lit(default))
 
-    def second_part(text):
-        return strip(F.get(F.split(text, ":"), 1))
+        def true(n):
+            return F.coalesce(F.contains(line(n), F.lit("true")), F.lit(False))
 
-    def true(n):
-        return F.coalesce(F.contains(line(n), F.lit("true")), F.lit(False))
+        return F.struct(
+            second_part(0, "unknown").alias("signature_type"),
+            true(1).alias("is_image"),
+            true(2).alias("is_scanned"),
+            second_part(3, "none").alias("signature_block_format"),
+        )
 
-    return F.struct(
-        F.coalesce(second_part(line(0)), F.lit("unknown")).alias("signature_type"),
-        true(1).alias("is_image"),
-        true(2).alias("is_scanned"),
-        F.coalesce(second_part(line(3)), F.lit("none")).alias("signature_block_format"),
-    )
+    return bound(F.transform(body_lines(block), F.lower), fields)
 
 
-def parse_extraction(response: Column) -> dict[str, Column]:
-    """Signatory texts, date entries and the date flag of an extraction response.
+def parse_extraction(response: Column) -> Column:
+    """Struct of signatory texts, date entries and the date flag of an extraction response.
 
     Any line starting ``date_`` opens a date entry, the section title included.
     """
-    pieces = blocks(response, r"(?iu:signatory_text_|date_)")
-    # A header matches in any case.
-    is_text = lambda b: F.startswith(F.lower(first_line(b)), F.lit("signatory_text_"))
+
+    def is_text(block):
+        return F.startswith(F.lower(first_line(block)), F.lit("signatory_text_"))
 
     def kept_text(block):
         kept = F.filter(
@@ -88,19 +92,20 @@ def parse_extraction(response: Column) -> dict[str, Column]:
         )
         return F.array_join(kept, "\n")
 
-    texts = F.filter(F.transform(F.filter(pieces, is_text), kept_text), lambda t: t != "")
-    date_blocks = F.filter(pieces, lambda b: ~is_text(b))
-    dates = F.transform(date_blocks, _date_block)
-    raw_lines = F.flatten(F.transform(date_blocks, body_lines))
-    has_date = F.exists(
-        raw_lines,
-        lambda s: F.contains(F.lower(s), F.lit("raw_date_text:")) & (after_colon(s) != ""),
+    def fields(pieces):
+        texts = F.filter(F.transform(F.filter(pieces, is_text), kept_text), lambda t: t != "")
+        dates = F.transform(F.filter(pieces, lambda b: ~is_text(b)), _date_block)
+        return F.struct(texts.alias("signatory_texts"), dates.alias("dates"))
+
+    found = bound(blocks(response, r"(?iu:signatory_text_|date_)"), fields)
+    return bound(
+        found,
+        lambda f: F.struct(
+            f["signatory_texts"].alias("signatory_texts"),
+            f["dates"].alias("dates"),
+            F.coalesce(F.exists(f["dates"], lambda d: d["any_raw"]), F.lit(False)).alias("has_date"),
+        ),
     )
-    return {
-        "signatory_texts": texts,
-        "dates": dates,
-        "has_date": F.coalesce(has_date, F.lit(False)),
-    }
 
 
 _DATE_KEYS = (
@@ -109,28 +114,25 @@ _DATE_KEYS = (
 
 
 def _date_block(block: Column) -> Column:
-    body = body_lines(block)
-
-    def value(n, default=""):
-        def test(s):
-            low = F.lower(s)
-            ok = F.contains(low, F.lit(_DATE_KEYS[n]))
-            for other in _DATE_KEYS[:n]:
-                ok = ok & ~F.contains(low, F.lit(other))
-            return ok
-
-        return F.coalesce(after_colon(last(F.filter(body, test))), F.lit(default))
-
-    return F.struct(
-        value(0).alias("raw_date_text"),
-        value(1).alias("associated_signature"),
-        value(2).alias("standardized_date"),
-        value(3, "low").alias("date_confidence"),
-        value(4).alias("position_context"),
-    )
+    def holds(line, n):
+        ok = F.contains(line["low"], F.lit(_DATE_KEYS[n]))
+        for other in _DATE_KEYS[:n]:
+            ok = ok & ~F.contains(line["low"], F.lit(other))
+        return ok
+
+    def fields(body):
+        def value(n, default=""):
+            line = last(F.filter(body, lambda s: holds(s, n)))
+            return F.coalesce(after_colon(line["raw"]), F.lit(default)).alias(_DATE_KEYS[n].rstrip(":"))
+
+        filled = F.exists(body, lambda s: holds(s, 0) & (after_colon(s["raw"]) != ""))
+        return F.struct(value(0), value(1), value(2), value(3, "low"), value(4), filled.alias("any_raw"))
+
+    both = F.transform(body_lines(block), lambda s: F.struct(s.alias("raw"), F.lower(s).alias("low")))
+    return bound(both, fields)
 
 
-def signature_record(detection: dict[str, Column], extraction: dict[str, Column]) -> dict[str, Column]:
+def signature_record(detection: Column, extraction: Column) -> dict[str, Column]:
     """One record per page: texts joined, the first block's flags, the first date."""
     first = F.get(detection["signatures_analysis"], 0)
     date = F.get(extraction["dates"], 0)
@@ -146,11 +148,26 @@ def signature_record(detection: dict[str, Column], extraction: dict[str, Column]
     }
 
 
+def has_signatures(detection: Column) -> Column:
+    """The detection response says there are signatures."""
+    return says(lower_lines(detection), "has_signatures:")
+
+
+def with_record(pages: DataFrame, numbered_only: bool = False) -> DataFrame:
+    """Pages with their signature record as a struct column ``record``."""
+    parsed = pages.withColumns({
+        "_found": parse_detection(F.col("detection"), numbered_only),
+        "_data": parse_extraction(F.col("extraction")),
+    })
+    fields = signature_record(F.col("_found"), F.col("_data"))
+    record = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return parsed.withColumn("record", record).drop("_found", "_data")
+
+
 def signature_pages(pages: DataFrame, numbered_only: bool = False) -> DataFrame:
     """Raw signature records of the pages whose detection response says there are some."""
-    found = parse_detection(F.col("detection"), numbered_only)
-    record = signature_record(found, parse_extraction(F.col("extraction")))
-    return pages.filter(found["has_signatures"]).withColumns(record)
+    signed = with_record(pages.filter(has_signatures(F.col("detection"))), numbered_only)
+    return signed.select(*pages.columns, "record.*")
 
 
 # --- four responses per page ---
@@ -197,49 +214,40 @@ _FIELD_KEYS = ("HAS_SIGNATURES", "SIGNATURE_COUNT", "SIGNATURE_TYPE", "IS_IMAGE"
 _PERSON_KEYS = ("NAME", "TITLE", "COMPANY", "DATE")
 
 
-def _keyed_value(items: Column, keys: tuple[str, ...], n: int, also=None) -> Column:
-    """Value of the last ``key: value`` line whose key holds keys[n] and no earlier key."""
-
-    def test(s):
-        key = F.upper(F.substring_index(s, ":", 1))
-        ok = F.contains(s, F.lit(":")) & F.contains(key, F.lit(keys[n]))
-        for other in keys[:n]:
-            ok = ok & ~F.contains(key, F.lit(other))
-        return ok if also is None else ok & also(s)
-
-    return after_colon(last(F.filter(items, test)))
+def parse_person_detection(response: Column) -> Column:
+    """Struct of the detection fields, the last line with a key deciding."""
 
+    def whole(value):
+        return F.regexp_like(value, F.lit(r"^[+-]?\d+$"))
 
-def parse_person_detection(response: Column) -> dict[str, Column]:
-    items = lines(response)
+    def fields(entries):
+        def text(n, default):
+            return F.coalesce(F.lower(value_of(entries, _FIELD_KEYS, n)), F.lit(default))
 
-    def text(n, default):
-        return F.coalesce(F.lower(_keyed_value(items, _FIELD_KEYS, n)), F.lit(default))
+        def yes(n):
+            return F.contains(text(n, ""), F.lit("yes"))
 
-    def yes(n):
-        return F.contains(text(n, ""), F.lit("yes"))
+        count = F.coalesce(value_of(entries, _FIELD_KEYS, 1, whole).try_cast("int"), F.lit(0))
+        return F.struct(
+            yes(0).alias("has_signatures"),
+            count.alias("signature_count"),
+            text(2, "unknown").alias("signature_type"),
+            yes(3).alias("is_image"),
+            yes(4).alias("is_scanned"),
+            text(5, "low").alias("confidence"),
+        )
 
-    whole = lambda s: F.regexp_like(after_colon(s), F.lit(r"^[+-]?\d+$"))
-    return {
-        "has_signatures": yes(0),
-        "signature_count": F.coalesce(
-            _keyed_value(items, _FIELD_KEYS, 1, whole).try_cast("int"), F.lit(0)),
-        "signature_type": text(2, "unknown"),
-        "is_image": yes(3),
-        "is_scanned": yes(4),
-        "confidence": text(5, "low"),
-    }
+    return bound(keyed_lines(lines(response)), fields)
 
 
 def parse_persons(response: Column) -> Column:
     """array<struct<name, title, company, date>>, empty when none were found."""
 
     def person(block):
-        body = body_lines(block)
-        return F.struct(*[
-            F.coalesce(_keyed_value(body, _PERSON_KEYS, n), F.lit("")).alias(key.lower())
+        return bound(keyed_lines(body_lines(block)), lambda entries: F.struct(*[
+            F.coalesce(value_of(entries, _PERSON_KEYS, n), F.lit("")).alias(key.lower())
             for n, key in enumerate(_PERSON_KEYS)
-        ])
+        ]))
 
     people = F.transform(blocks(response, "SIGNATORY_"), person)
     none = F.array().cast("array<struct<name:string,title:string,company:string,date:string>>")
@@ -256,12 +264,12 @@ def joined_parts(*parts: Column) -> Column:
 
 def person_records(pages: DataFrame) -> DataFrame:
     """One record per signatory; a source whose first page has none gets one "No" record."""
-    found = parse_person_detection(F.col("detection"))
     flags = ["has_signatures", "is_image", "is_scanned", "confidence"]
-    base = pages.select(
+    parsed = pages.select(
         "source_id", "page_number", parse_persons(F.col("extraction")).alias("people"),
-        *[found[f].alias(f) for f in flags],
+        parse_person_detection(F.col("detection")).alias("found"),
     )
+    base = parsed.select("source_id", "page_number", "people", *[F.col(f"found.{f}") for f in flags])
     people = F.transform(
         "people",
         lambda p: F.struct(

@@ -324,10 +324,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before work that is heavy per row.
+
+    Only for a scan with fewer splits than cores, such as one small file; a
+    table of many files is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def load(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
     """A derived input as a DataFrame over the tables in ``folder``."""
     sql = INPUTS[name]
     used = {t: table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql}
+    if heavy:
+        used = {t: spread(df) for t, df in used.items()}
     return spark.sql(sql, **used)
 
 

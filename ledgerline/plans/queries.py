@@ -16,7 +16,7 @@ from ..session import shared_dir
 from ..sources import pdf_lists, sinks, tables
 from ..streaming import result_log
 from . import profiles
-from .inputs import load, table
+from .inputs import load, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -297,7 +297,7 @@ def join_stats(spark, folder):
 @query
 def register_with_pdf(spark, folder):
     register = register_records(load(spark, folder, "register"))
-    found = html.parse_pages(load(spark, folder, "register_pages"))
+    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
     return pages.register_with_pdf(register, found).select("idx", "statement_url", "pdf_url")
 
 
@@ -331,7 +331,7 @@ def prefer_current(spark, folder):
 @query
 def distinct_first_seen(spark, folder):
     links = pages.statement_links(
-        html.parse_pages(load(spark, folder, "search_pages")), "https://www.example.ca/cnt/")
+        html.parse_pages(load(spark, folder, "search_pages", heavy=True)), "https://www.example.ca/cnt/")
     return selection.distinct_first_seen(links, "statement_url", ["page_id", "position"])
 
 
@@ -363,7 +363,7 @@ def split_head_tail(spark, folder):
 
 @query
 def sector_split(spark, folder):
-    found = html.parse_pages(load(spark, folder, "statement_pages"))
+    found = html.parse_pages(load(spark, folder, "statement_pages", heavy=True))
     subjects = pages._section("Subject", "anchors")
     rows = found.select("page_id", *[c.alias(n) for n, c in pages.sector_fields(subjects).items()])
     return rows.select(
@@ -454,7 +454,7 @@ def country_summary(spark, folder):
 
 @query
 def crawl_stats(spark, folder):
-    found = html.parse_pages(load(spark, folder, "register_pages"))
+    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
     return report.crawl_stats(found, pages.register_pdf_url().isNotNull())
 
 
@@ -595,7 +595,7 @@ def normalize_date_v5(spark, folder):
 
 @query
 def clean_signatory(spark, folder):
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         "doc_id", signatures.clean_signatory(F.col("text")).alias("cleaned"))
 
 
@@ -643,7 +643,7 @@ def log_lines(spark, folder):
 # --- pages ---
 
 def _statement_pages(spark, folder) -> DataFrame:
-    return html.parse_pages(load(spark, folder, "statement_pages"))
+    return html.parse_pages(load(spark, folder, "statement_pages", heavy=True))
 
 
 def _records(spark, folder) -> DataFrame:
@@ -652,7 +652,7 @@ def _records(spark, folder) -> DataFrame:
 
 @query
 def page_links(spark, folder):
-    found = html.parse_pages(load(spark, folder, "search_pages"))
+    found = html.parse_pages(load(spark, folder, "search_pages", heavy=True))
     return pages.statement_links(found, "https://www.example.ca/cnt/").select(
         "page_id", F.col("position").cast("bigint"), "statement_url")
 
@@ -660,12 +660,12 @@ def page_links(spark, folder):
 @query
 def page_title(spark, folder):
     """Titles of the raw web pages."""
-    return html.parse_pages(table(spark, folder, "pages")).select("page_id", pages.title().alias("title"))
+    return html.parse_pages(spread(table(spark, folder, "pages"))).select("page_id", pages.title().alias("title"))
 
 
 @query
 def page_language(spark, folder):
-    return html.parse_pages(table(spark, folder, "pages")).select("page_id", pages.language().alias("language"))
+    return html.parse_pages(spread(table(spark, folder, "pages"))).select("page_id", pages.language().alias("language"))
 
 
 @query
@@ -719,7 +719,7 @@ def page_records(spark, folder):
 
 @query
 def au_pdf_url(spark, folder):
-    found = html.parse_pages(load(spark, folder, "register_pages"))
+    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
     return found.select("page_id", pages.register_pdf_url().alias("pdf_url"))
 
 
@@ -736,7 +736,7 @@ def _paragraphs(root) -> dict:
 @query
 def custom_extractor(spark, folder):
     """A caller's own function over the raw web pages."""
-    return html.extract_with(table(spark, folder, "pages"), _paragraphs, "paragraphs bigint, first_bold string")
+    return html.extract_with(spread(table(spark, folder, "pages")), _paragraphs, "paragraphs bigint, first_bold string")
 
 
 # --- documents ---
@@ -752,10 +752,9 @@ def _contents(spark, folder) -> DataFrame:
 
 
 def _with_signature_block(pages_: DataFrame) -> DataFrame:
-    found = signatures.parse_detection(F.col("detection"))
-    record = signatures.signature_record(found, signatures.parse_extraction(F.col("extraction")))
-    block = F.when(found["has_signatures"], documents.signature_markdown(record))
-    return pages_.withColumn("signature_block", block)
+    block = F.when(
+        signatures.has_signatures(F.col("detection")), documents.signature_markdown(F.col("record")))
+    return signatures.with_record(pages_).withColumn("signature_block", block)
 
 
 @query
@@ -866,7 +865,8 @@ def _output(spark, folder) -> DataFrame:
 def sig_detection(spark, folder):
     rows = load(spark, folder, "responses").filter("kind = 'detection'")
     parsed = rows.select(
-        "source_id", "page_number", *[c.alias(n) for n, c in signatures.parse_detection(F.col("response")).items()])
+        "source_id", "page_number", signatures.parse_detection(F.col("response")).alias("p"))
+    parsed = parsed.select("source_id", "page_number", "p.*")
     types = F.transform("signatures_analysis", lambda b: F.concat_ws(
         "/", b["signature_type"], b["is_image"].cast("string"), b["is_scanned"].cast("string"),
         b["signature_block_format"]))
@@ -879,12 +879,12 @@ def sig_detection(spark, folder):
 @query
 def sig_extraction(spark, folder):
     rows = load(spark, folder, "responses").filter("kind = 'extraction'")
-    parsed = signatures.parse_extraction(F.col("response"))
-    shown = F.transform(parsed["dates"], lambda d: F.concat_ws(
+    rows = rows.withColumn("p", signatures.parse_extraction(F.col("response")))
+    shown = F.transform("p.dates", lambda d: F.concat_ws(
         "/", d["raw_date_text"], d["associated_signature"], d["standardized_date"], d["date_confidence"]))
     return rows.select(
-        "source_id", "page_number", F.array_join(parsed["signatory_texts"], "|").alias("signatory_texts"),
-        F.array_join(shown, "|").alias("dates"), parsed["has_date"].alias("has_date"))
+        "source_id", "page_number", F.array_join("p.signatory_texts", "|").alias("signatory_texts"),
+        F.array_join(shown, "|").alias("dates"), "p.has_date")
 
 
 @query
@@ -901,14 +901,14 @@ def sig_v2_records(spark, folder):
 @query
 def sig_v5_parse(spark, folder):
     rows = load(spark, folder, "person_responses")
-    parsed = signatures.parse_person_detection(F.col("detection"))
+    parsed = signatures.parse_person_detection(F.col("detection")).alias("p")
     people = F.transform(
         signatures.parse_persons(F.col("extraction")),
         lambda p: F.concat_ws("/", p["name"], p["title"], p["company"], p["date"]))
     return rows.select(
-        "source_id", "page_number", *[c.alias(n) for n, c in parsed.items()],
-        F.array_join(people, "|").alias("people"),
-    ).withColumn("signature_count", F.col("signature_count").cast("bigint"))
+        "source_id", "page_number", parsed, F.array_join(people, "|").alias("people"),
+    ).select("source_id", "page_number", "p.*", "people").withColumn(
+        "signature_count", F.col("signature_count").cast("bigint"))
 
 
 @query
@@ -967,23 +967,23 @@ def detection_totals(spark, folder):
 
 @query
 def line_context(spark, folder):
-    return signers.line_context(table(spark, folder, "documents"), ["doc_id"])
+    return signers.line_context(spread(table(spark, folder, "documents")), ["doc_id"])
 
 
 @query
 def signer_hits(spark, folder):
-    return signers.signer_hits(load(spark, folder, "signer_pages"), ["doc_id", "page_number"])
+    return signers.signer_hits(load(spark, folder, "signer_pages", heavy=True), ["doc_id", "page_number"])
 
 
 @query
 def signer_dedup(spark, folder):
-    hits = signers.signer_hits(load(spark, folder, "signer_pages"), ["doc_id", "page_number"])
+    hits = signers.signer_hits(load(spark, folder, "signer_pages", heavy=True), ["doc_id", "page_number"])
     return hits.select("doc_id", "page_number", "name", "role", "line_no")
 
 
 @query
 def signer_rows(spark, folder):
-    return signers.signer_rows(load(spark, folder, "signer_pages"), ["doc_id", "page_number"])
+    return signers.signer_rows(load(spark, folder, "signer_pages", heavy=True), ["doc_id", "page_number"])
 
 
 # --- the result log ---
