@@ -75,15 +75,26 @@ def one_row_per_parent(
     return joined.drop("_key", "_match")
 
 
+def matched_parents(statements: DataFrame, registry: DataFrame) -> DataFrame:
+    """Distinct parents found in the registry by exact name and by name key, in one row."""
+    name, parent = F.col("business_name"), F.col("parent_company")
+    names = registry.select(name.alias("_name")).distinct().withColumn("_direct", F.lit(1))
+    keys = registry.select(match_key(name).alias("_match")).distinct().withColumn("_fuzzy", F.lit(1))
+    parents = statements.select(parent, match_key(parent).alias("_key")).distinct()
+    found = parents.join(names, parent == F.col("_name"), "left").join(
+        keys, F.col("_key") == F.col("_match"), "left"
+    )
+    return found.agg(F.count("_direct").alias("direct"), F.count("_fuzzy").alias("fuzzy"))
+
+
 def best_parent_join(statements: DataFrame, registry: DataFrame, **options) -> DataFrame:
     """Match by name key only when that finds strictly more parents.
 
-    The choice needs two counts, taken as one-row aggregates before the plan of
-    the chosen join is built.
+    The choice takes one aggregate of one row, read before the plan of the
+    chosen join is built.
     """
-    candidates = [one_row_per_parent(statements, registry, fuzzy, **options) for fuzzy in (False, True)]
-    direct, fuzzy = [c.agg(F.count("idx")).first()[0] for c in candidates]
-    return candidates[1] if fuzzy > direct else candidates[0]
+    direct, fuzzy = matched_parents(statements, registry).first()
+    return one_row_per_parent(statements, registry, fuzzy > direct, **options)
 
 
 def join_stats(joined: DataFrame, match: str, row_id: str) -> DataFrame:
