@@ -10,36 +10,75 @@ from .selection import keep_first
 
 # Rows without a key are spread over this many join partitions.
 NULL_KEY_SPREAD = 4096
+# Registry rows of one key that a join task may hold; beyond it the key is split.
+ROWS_PER_SPLIT = 1_000_000
 
 
-def _rename_collisions(right: DataFrame, taken: set[str], suffix: str) -> DataFrame:
+def _renamed(right: DataFrame, right_key: str, taken: list[str], suffix: str) -> DataFrame:
+    """Registry with its key as ``_rkey`` and colliding names suffixed."""
     lowered = {c.lower() for c in taken}
-    return right.select(
-        *[F.col(c).alias(c + suffix) if c.lower() in lowered else F.col(c) for c in right.columns]
-    )
+
+    def name(c: str) -> str:
+        return "_rkey" if c == right_key else c + suffix if c.lower() in lowered else c
+
+    return right.select(*[F.col(c).alias(name(c)) for c in right.columns])
+
+
+def _hot_keys(registry: DataFrame, rows_per_split: int) -> DataFrame:
+    """Keys with more rows than one task should hold, and the pieces to cut them into.
+
+    There are at most (registry rows / rows_per_split) of them, which is what
+    makes them safe to broadcast.
+    """
+    counts = registry.groupBy(F.col("_rkey").alias("_hot")).agg(F.count("*").alias("_n"))
+    pieces = F.ceil(F.col("_n") / rows_per_split).cast("int")
+    return F.broadcast(counts.filter(F.col("_n") > rows_per_split).select("_hot", pieces.alias("_pieces")))
 
 
 def registry_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, suffix: str
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    suffix: str,
+    unique_right: bool = False,
+    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Left join to a registry; registry columns that collide get a suffix.
 
-    A missing key matches nothing, yet all such rows would hash to one
-    partition; a second join column spreads them. Hot keys with values are
-    left to the adaptive skew join, which splits either side.
+    Skew is met on three sides. A missing key matches nothing, yet all such
+    rows would hash to one partition, so a second join column spreads them. A
+    key with many registry rows is cut into pieces by row hash, and the few
+    left rows with that key are repeated once per piece; as a left join cannot
+    split its right side, the adaptive skew join would not do this. A key with
+    many left rows is what that join does split. ``unique_right`` promises one
+    registry row per key, which needs no pieces.
     """
-    registry = _rename_collisions(right.filter(F.col(right_key).isNotNull()), set(left.columns), suffix)
-    key_name = right_key + suffix if right_key.lower() in {c.lower() for c in left.columns} else right_key
-    registry = registry.withColumnRenamed(key_name, "_rkey").withColumn("_rspread", F.lit(0))
-    spread = F.when(
-        F.col(left_key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
-    ).otherwise(0)
-    joined = left.withColumn("_lspread", spread).join(
-        registry, (F.col(left_key) == F.col("_rkey")) & (F.col("_lspread") == F.col("_rspread")), "left"
+    registry = _renamed(right.filter(F.col(right_key).isNotNull()), right_key, left.columns, suffix)
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
+    if unique_right:
+        sided = left.withColumn("_lpart", F.when(F.col(left_key).isNull(), spread).otherwise(0))
+        parted = registry.withColumn("_rpart", F.lit(0))
+    else:
+        hot = _hot_keys(registry, rows_per_split)
+        flagged = left.join(hot, F.col(left_key) == F.col("_hot"), "left")
+        part = (
+            F.when(F.col(left_key).isNull(), F.array(spread))
+            .when(F.col("_pieces").isNotNull(), F.sequence(F.lit(0), F.col("_pieces") - 1))
+            .otherwise(F.array(F.lit(0)))
+        )
+        sided = flagged.withColumn("_lpart", F.explode(part)).drop("_hot")
+        piece = F.pmod(F.xxhash64(*registry.columns), F.coalesce("_pieces", F.lit(1))).cast("int")
+        parted = registry.join(hot, F.col("_rkey") == F.col("_hot"), "left")
+        parted = parted.withColumn("_rpart", piece).drop("_hot", "_pieces")
+    joined = sided.join(
+        parted, (F.col(left_key) == F.col("_rkey")) & (F.col("_lpart") == F.col("_rpart")), "left"
     )
-    if left_key == right_key:
-        return joined.drop("_lspread", "_rspread", "_rkey")
-    return joined.drop("_lspread", "_rspread").withColumnRenamed("_rkey", right_key)
+    if not unique_right:
+        # A split key is in the registry, so a piece without a match is no result.
+        joined = joined.filter(F.col("_pieces").isNull() | F.col("_rkey").isNotNull()).drop("_pieces")
+    joined = joined.drop("_lpart", "_rpart")
+    return joined.drop("_rkey") if left_key == right_key else joined.withColumnRenamed("_rkey", right_key)
 
 
 def first_registry_rows(registry: DataFrame, key: Column, tiebreak: list[str]) -> DataFrame:
@@ -69,7 +108,7 @@ def one_row_per_parent(
     key = match_key if fuzzy else (lambda c: c)
     named = first_registry_rows(registry, key(F.col("business_name")), ["idx"])
     parents = parents.withColumn("_key", key(F.col("parent_company")))
-    joined = registry_join(parents, named, "_key", "_match", suffix)
+    joined = registry_join(parents, named, "_key", "_match", suffix, unique_right=True)
     if fuzzy:
         return joined.withColumnRenamed("_key", "parent_company_match_key").drop("_match")
     return joined.drop("_key", "_match")

@@ -303,4 +303,6 @@ def register_with_pdf(register: DataFrame, pages: DataFrame) -> DataFrame:
         .filter(F.col("pdf_url").isNotNull())
         .groupBy("_url").agg(F.min("pdf_url").alias("pdf_url"))
     )
-    return registry_join(register, found, "statement_url", "_url", "_page").drop("_url")
+    return registry_join(
+        register, found, "statement_url", "_url", "_page", unique_right=True
+    ).drop("_url")

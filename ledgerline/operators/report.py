@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fields whose completeness every report shows.
@@ -66,8 +66,7 @@ def distributions(df: DataFrame, keys: list[str]) -> DataFrame:
 def share_distribution(df: DataFrame, key: str, missing: str) -> DataFrame:
     """Rows and percentage per value, null shown as ``missing``."""
     counts = df.groupBy(F.coalesce(F.col(key), F.lit(missing)).alias(key)).agg(F.count("*").alias("count"))
-    # The window runs over one row per value, not over the data.
-    total = F.sum("count").over(Window.partitionBy(F.lit(1)))
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percentage", F.col("count") / total * 100)
 
 
@@ -108,10 +107,9 @@ def expansion_stats(df: DataFrame, entity: str = "abn", year: str = "statement_y
 def compliance_dist(df: DataFrame) -> DataFrame:
     """Rows per compliance score beside the mean over all rows."""
     counts = df.groupBy("compliance_score").agg(F.count("*").alias("count"))
-    whole = Window.partitionBy(F.lit(1))
-    points = F.sum(F.col("compliance_score") * F.col("count")).over(whole)
-    scored = F.sum(F.when(F.col("compliance_score").isNotNull(), F.col("count"))).over(whole)
-    return counts.withColumn("average_score", points / scored)
+    points = F.sum(F.col("compliance_score") * F.col("count"))
+    scored = F.sum(F.when(F.col("compliance_score").isNotNull(), F.col("count")))
+    return counts.withColumn("average_score", counts.agg(points / scored).scalar())
 
 
 def country_summary(df: DataFrame, entity: str = "entity_key", statement: str = "statement_key",
@@ -124,11 +122,15 @@ def country_summary(df: DataFrame, entity: str = "entity_key", statement: str =
         mean_completeness(df).alias("average_completeness"),
         (F.count_if(matched) / F.count("*") * 100).alias("join_success_rate"),
     )
-    total = per_country.agg(
-        F.lit("all").alias("data_country"),
-        *[F.sum(c).alias(c) for c in ("records", "unique_entities", "unique_statements")],
-    )
-    return per_country.unionByName(total, allowMissingColumns=True)
+    # Rolled up from the few country rows, so the profiles are read once.
+    whole = F.grouping("data_country") == 1
+    sums = [F.sum(c).alias(c) for c in ("records", "unique_entities", "unique_statements")]
+    means = [
+        F.when(~whole, F.max(c)).alias(c) for c in ("average_completeness", "join_success_rate")
+    ]
+    rolled = per_country.rollup("data_country").agg(*sums, *means, whole.alias("_whole"))
+    country = F.when(F.col("_whole"), "all").otherwise(F.col("data_country"))
+    return rolled.withColumn("data_country", country).drop("_whole")
 
 
 def crawl_stats(df: DataFrame, ok: Column) -> DataFrame:

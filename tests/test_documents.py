@@ -54,19 +54,19 @@ def test_integration_twice_changes_nothing(spark):
 
 def test_signature_block_of_a_published_page(spark):
     row = {
-        "has_signature": True, "signatory_text": "Nathan Poyner\nChief Executive Officer", "signature_date": "",
+        "has_signature": True, "signatory_text": "Jane Roe\nChief Executive Officer", "signature_date": "",
         "confidence": "high", "is_image_signature": False, "is_scanned": False,
     }
     df = spark.createDataFrame([tuple(row.values())],
                                "has_signature boolean, signatory_text string, signature_date string, confidence string,"
                                " is_image_signature boolean, is_scanned boolean")
     block = df.select(d.signature_markdown({k: F.col(k) for k in row})).first()[0]
-    assert block == ("**Signature Information**\n- **Signatory:** Nathan Poyner\nChief Executive Officer\n"
+    assert block == ("**Signature Information**\n- **Signatory:** Jane Roe\nChief Executive Officer\n"
                      "- **Detection confidence:** High\n")
-    text = "approved\n\n[SIGNATURE_1]\n\n**Nathan Poyner**"
+    text = "approved\n\n[SIGNATURE_1]\n\n**Jane Roe**"
     out = integrated(spark, text, signatures=[("SIGNATURE_1", block)], has_signatures=True)
-    assert out == ("approved\n\n## Signature 1\n\n**Signature Information**\n- **Signatory:** Nathan Poyner\n"
-                   "Chief Executive Officer\n- **Detection confidence:** High\n\n**Nathan Poyner**")
+    assert out == ("approved\n\n## Signature 1\n\n**Signature Information**\n- **Signatory:** Jane Roe\n"
+                   "Chief Executive Officer\n- **Detection confidence:** High\n\n**Jane Roe**")
 
 
 ANALYSIS = "should_parse: {}\nhas_text: true\nhas_tables: true\nhas_figures: false\nhas_signatures: false"

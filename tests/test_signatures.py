@@ -66,8 +66,8 @@ def test_page_record(spark):
 
 
 def test_published_record(spark):
-    text = ("Nathan Poyner\nChief Executive Officer Vehicle Systems International Asia Pacific\n"
-            "Managing Director Rheinmetall Defence Australia Pty Ltd")
+    text = ("Jane Roe\nChief Executive Officer Vehicles Asia Pacific\n"
+            "Managing Director Example Vehicles Australia Pty Ltd")
     raw = spark.createDataFrame(
         [(True, text, False, False, False, "", "dir_0", 6, "high")],
         "has_signature boolean, signatory_text string, is_image_signature boolean, is_scanned boolean,"

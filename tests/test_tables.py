@@ -159,3 +159,23 @@ def test_profile_needs_its_parameters(spark):
 def test_distinct_first_seen(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1), ("b", 0), ("a", 5)], "u string, n int")
     assert rows(selection.distinct_first_seen(df, "u", ["n"])) == [("b", 0), ("a", 1)]
+
+
+def test_registry_join_splits_a_hot_registry_key(spark):
+    """Same rows as a plain left join, with one key cut into pieces and many null keys."""
+    left = spark.createDataFrame(
+        [(i, None if i % 3 == 0 else "hot" if i % 3 == 1 else str(i)) for i in range(60)], "seq int, k string")
+    right = spark.createDataFrame(
+        [("hot", i) for i in range(50)] + [(str(i), i) for i in range(0, 60, 2)] + [(None, 1)], "k string, n int")
+    plain = left.join(right, "k", "left").select("seq", "k", "n")
+    for size in (7, 49, 1000):
+        made = joins.registry_join(left, right, "k", "k", "_r", rows_per_split=size).select("seq", "k", "n")
+        assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_hot_current_name_key(spark):
+    data = [("hot" if i % 3 == 0 else str(i % 40), "Y" if i % 7 == 0 else "N", i) for i in range(900)]
+    df = spark.createDataFrame(data, "abn string, ind string, seq int")
+    with_y = {a for a, ind, _ in data if ind == "Y"}
+    want = sorted(seq for a, ind, seq in data if ind == "Y" or a not in with_y)
+    assert sorted(r.seq for r in selection.prefer_current(df, "abn", "ind").collect()) == want
