@@ -12,6 +12,10 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.urls import absolute_url
 
 VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen "
@@ -230,7 +234,7 @@ def extract_with(pages: DataFrame, fn, schema: str) -> DataFrame:
     ``fn`` takes the tree of one page and returns a dict (or None to skip it);
     ``schema`` describes the dict's fields, which follow page_id and url.
     """
-    fields = [f.split()[0] for f in schema.split(",")]
+    fields = T.StructType.fromDDL(schema).names
 
     def run(frames):
         import pandas as pd
@@ -246,5 +250,12 @@ def extract_with(pages: DataFrame, fn, schema: str) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id bigint, url string, {schema}")
 
 
+def links_with(pages: DataFrame, fn, base_url: str) -> DataFrame:
+    """Absolute links that a caller's function finds on each page, with their position."""
+    found = extract_with(pages, lambda root: {"links": list(fn(root))}, "links array<string>")
+    rows = found.select("page_id", "url", F.posexplode("links").alias("position", "href"))
+    return rows.withColumn("link", absolute_url(F.col("href"), F.lit(base_url)))
+
+
 # Workers may lack this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

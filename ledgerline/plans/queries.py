@@ -13,7 +13,7 @@ from ..operators import (
     documents, expand, html, joins, pages, report, responses, schema, selection, signatures, signers,
 )
 from ..session import shared_dir
-from ..sources import pdf_lists, sinks, tables
+from ..sources import pdf_lists, register, sinks, tables
 from ..streaming import result_log
 from . import profiles
 from .inputs import load, spread, table
@@ -97,33 +97,9 @@ def select_existing(spark, folder):
     return schema.select_existing(table(spark, folder, "orders"), wanted)
 
 
-# Register columns and the record fields they become.
-REGISTER_FIELDS = {
-    "IDX": "idx", "PeriodStart": "period_start", "PeriodEnd": "period_end", "Type": "statement_type",
-    "HeadquarteredCountries": "headquartered_countries", "AnnualRevenue": "annual_revenue",
-    "ReportingEntities": "reporting_entities", "IncludedEntities": "included_entities",
-    "ABN": "abn", "ACN": "acn", "ARBN": "arbn", "Link": "statement_url",
-    "IndustrySectors": "industry_sectors", "RelatedStatements": "related_statements",
-}
-
-
-def register_records(rows: DataFrame, country: str | None = None) -> DataFrame:
-    """Rows of the register download as records; blanks become null."""
-    fields = [
-        text.blank_to_null(F.col(old).cast("string")).alias(new)
-        for old, new in REGISTER_FIELDS.items() if old in rows.columns
-    ]
-    return rows.select(
-        *fields,
-        F.lit("AU").alias("jurisdiction"),
-        F.lit("Australian Modern Slavery Register").alias("source_system"),
-        F.lit(country).cast("string").alias("country_filter"),
-    )
-
-
 @query
 def register_rows(spark, folder):
-    return register_records(load(spark, folder, "register"), "Australia")
+    return register.register_records(load(spark, folder, "register"), "Australia")
 
 
 @query
@@ -296,9 +272,9 @@ def join_stats(spark, folder):
 
 @query
 def register_with_pdf(spark, folder):
-    register = register_records(load(spark, folder, "register"))
+    rows = register.register_records(load(spark, folder, "register"))
     found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
-    return pages.register_with_pdf(register, found).select("idx", "statement_url", "pdf_url")
+    return pages.register_with_pdf(rows, found).select("idx", "statement_url", "pdf_url")
 
 
 # --- one row per key ---
@@ -461,7 +437,7 @@ def crawl_stats(spark, folder):
 @query
 def expected_vs_actual(spark, folder):
     return report.expected_vs_actual(
-        register_records(load(spark, folder, "register")), "headquartered_countries")
+        register.register_records(load(spark, folder, "register")), "headquartered_countries")
 
 
 @query
@@ -728,15 +704,16 @@ def detect_country(spark, folder):
     return pages.detect_country(load(spark, folder, "ca_records")).select("page_id", "detected_country")
 
 
-def _paragraphs(root) -> dict:
-    found = root.find_all("p")
-    return {"paragraphs": len(found), "first_bold": next((b.tight_text() for b in root.find_all("h1")), None)}
-
-
 @query
 def custom_extractor(spark, folder):
     """A caller's own function over the raw web pages."""
-    return html.extract_with(spread(table(spark, folder, "pages")), _paragraphs, "paragraphs bigint, first_bold string")
+
+    def paragraphs(root) -> dict:
+        first = next((b.tight_text() for b in root.find_all("h1")), None)
+        return {"paragraphs": len(root.find_all("p")), "first_bold": first}
+
+    found = spread(table(spark, folder, "pages"))
+    return html.extract_with(found, paragraphs, "paragraphs bigint, first_bold string")
 
 
 # --- documents ---

@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Pages are wide rows: keep one Arrow batch well under executor memory.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -52,10 +52,13 @@ def read_csv_sources(spark: SparkSession, path: str) -> DataFrame:
     return csv_sources(numbered(read_delimited(spark, path)))
 
 
+def _stem(path: str):
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
+
+
 def directory_sources(files: DataFrame, root: str, idx: str = "idx") -> DataFrame:
     """Source rows from a listing of (path, length) and its row number by path."""
-    name = F.element_at(F.split("path", "/"), -1)
-    stem = F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    name, stem = F.element_at(F.split("path", "/"), -1), _stem("path")
     relative = F.when(
         F.startswith("path", F.lit(root)), F.ltrim(F.substring("path", len(root) + 1, 1 << 20), F.lit("/"))
     ).otherwise(name)
@@ -68,6 +71,19 @@ def directory_sources(files: DataFrame, root: str, idx: str = "idx") -> DataFram
     )
 
 
+def directory_sources_with_metadata(files: DataFrame, idx: str = "idx") -> DataFrame:
+    """Source rows with a padded id, and file name and size as ``metadata``."""
+    number = F.col(idx).cast("string")
+    padded = F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number)
+    return files.select(
+        F.concat(F.lit("pdf_"), padded, F.lit("_"), _stem("path")).alias("source_id"),
+        F.col("path").alias("pdf_path"),
+        F.struct(
+            F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes")
+        ).alias("metadata"),
+    )
+
+
 def read_directory_sources(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """PDFs of a folder, numbered in path order; file contents are never read."""
     listing = (

@@ -115,3 +115,13 @@ def test_register_rows_keep_what_has_no_page(spark):
     found = html.parse_pages(page_table(spark, '<a href="/a.pdf">x</a>'))
     joined = pages.register_with_pdf(register, found).orderBy("idx")
     assert [(r.idx, r.pdf_url) for r in joined.collect()] == [("1", f"{pages.REGISTER_SITE}/a.pdf"), ("2", None), ("3", None)]
+
+
+def test_links_of_a_custom_function(spark):
+    body = '<a href="b.html">x</a><p><a href="/c">y</a></p><a>z</a>'
+
+    def every_link(root):
+        return [a.attrs["href"] for a in root.find_all("a") if "href" in a.attrs]
+
+    made = html.links_with(page_table(spark, body, ""), every_link, "https://s.org/d/a.html")
+    assert [(r.position, r.link) for r in made.collect()] == [(0, "https://s.org/d/b.html"), (1, "https://s.org/c")]

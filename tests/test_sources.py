@@ -105,3 +105,9 @@ def test_other_sinks(spark, tmp_path):
     assert header[0] == "# Statement URLs collected for CA" and header[2] == "# Total URLs: 2"
     sinks.write_json(docs, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_directory_metadata(spark):
+    files = spark.createDataFrame([("/in/a.b.pdf", 7, 4)], "path string, length bigint, idx bigint")
+    row = pdf_lists.directory_sources_with_metadata(files).first()
+    assert (row.source_id, tuple(row.metadata)) == ("pdf_004_a.b", ("a.b.pdf", 7))
