@@ -378,7 +378,7 @@ FROM ca_p p LEFT JOIN ca_n n ON p.parent_company = n.business_name""",
 SELECT count(*) AS total_records, CAST(sum(h) AS BIGINT) AS successful_joins, count_if(h > 0) AS matched_rows,
   count(*) - count_if(h > 0) AS failed_joins, count_if(h > 0) / count(*) * 100 AS join_rate FROM r""",
     "register_with_pdf": f"""WITH p AS (SELECT 'https://modernslaveryregister.gov.au/statements/' || CAST({K} AS VARCHAR) || '/' AS u,
-  {AU_PDF} AS pdf_url FROM customer)
+  min({AU_PDF}) AS pdf_url FROM customer GROUP BY 1)
 SELECT idx, statement_url, pdf_url FROM ({register_fields()}) r LEFT JOIN p ON r.statement_url = p.u""",
     "latest_per_key": f"WITH {UK} SELECT CompanyNumber, StatementYear, statement_seq FROM uk_l",
     "unique_statements": f"WITH {AU} SELECT uid AS statement_unique_id, statement_seq FROM au_u",
