@@ -24,15 +24,15 @@ def _renamed(right: DataFrame, right_key: str, taken: list[str], suffix: str) ->
     return right.select(*[F.col(c).alias(name(c)) for c in right.columns])
 
 
-def _hot_keys(registry: DataFrame, rows_per_split: int) -> DataFrame:
+def hot_keys(registry: DataFrame, key: str, rows_per_split: int) -> list[tuple]:
     """Keys with more rows than one task should hold, and the pieces to cut them into.
 
-    There are at most (registry rows / rows_per_split) of them, which is what
-    makes them safe to broadcast.
+    A partial count per key; at most (registry rows / rows_per_split) keys pass
+    the filter, and only those reach the driver.
     """
-    counts = registry.groupBy(F.col("_rkey").alias("_hot")).agg(F.count("*").alias("_n"))
+    counts = registry.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_split)
     pieces = F.ceil(F.col("_n") / rows_per_split).cast("int")
-    return F.broadcast(counts.filter(F.col("_n") > rows_per_split).select("_hot", pieces.alias("_pieces")))
+    return [tuple(r) for r in counts.select(key, pieces).collect()]
 
 
 def registry_join(
@@ -48,39 +48,41 @@ def registry_join(
 
     Skew is met on three sides. A missing key matches nothing, yet all such
     rows would hash to one partition, so a second join column spreads them. A
-    key with many registry rows is cut into pieces by row hash, and the few
-    left rows with that key are repeated once per piece; as a left join cannot
-    split its right side, the adaptive skew join would not do this. A key with
-    many left rows is what that join does split. ``unique_right`` promises one
-    registry row per key, which needs no pieces.
+    key with many registry rows is cut into pieces by row hash, and the left
+    rows with that key are repeated once per piece; as a left join cannot split
+    its right side, the adaptive skew join would not do this. A key with many
+    left rows is what that join does split. ``unique_right`` promises one
+    registry row per key, which saves the look for such keys.
     """
     registry = _renamed(right.filter(F.col(right_key).isNotNull()), right_key, left.columns, suffix)
+    hot = [] if unique_right else hot_keys(registry, "_rkey", rows_per_split)
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
-    if unique_right:
-        sided = left.withColumn("_lpart", F.when(F.col(left_key).isNull(), spread).otherwise(0))
-        parted = registry.withColumn("_rpart", F.lit(0))
+    missing = F.col(left_key).isNull()
+    if not hot:
+        sided = left.withColumn("_lpart", F.when(missing, spread).otherwise(0))
+        joined = _on_parts(sided, registry.withColumn("_rpart", F.lit(0)), left_key)
     else:
-        hot = _hot_keys(registry, rows_per_split)
-        flagged = left.join(hot, F.col(left_key) == F.col("_hot"), "left")
+        kind = registry.schema["_rkey"].dataType.simpleString()
+        split = F.broadcast(left.sparkSession.createDataFrame(hot, f"_hot {kind}, _pieces int"))
         part = (
-            F.when(F.col(left_key).isNull(), F.array(spread))
+            F.when(missing, F.array(spread))
             .when(F.col("_pieces").isNotNull(), F.sequence(F.lit(0), F.col("_pieces") - 1))
             .otherwise(F.array(F.lit(0)))
         )
-        sided = flagged.withColumn("_lpart", F.explode(part)).drop("_hot")
+        sided = left.join(split, F.col(left_key) == F.col("_hot"), "left").withColumn("_lpart", F.explode(part))
         piece = F.pmod(F.xxhash64(*registry.columns), F.coalesce("_pieces", F.lit(1))).cast("int")
-        parted = registry.join(hot, F.col("_rkey") == F.col("_hot"), "left")
-        parted = parted.withColumn("_rpart", piece).drop("_hot", "_pieces")
-    joined = sided.join(
-        parted, (F.col(left_key) == F.col("_rkey")) & (F.col("_lpart") == F.col("_rpart")), "left"
-    )
-    if not unique_right:
+        parted = registry.join(split, F.col("_rkey") == F.col("_hot"), "left").withColumn("_rpart", piece)
+        joined = _on_parts(sided.drop("_hot"), parted.drop("_hot", "_pieces"), left_key)
         # A split key is in the registry, so a piece without a match is no result.
         joined = joined.filter(F.col("_pieces").isNull() | F.col("_rkey").isNotNull()).drop("_pieces")
-    joined = joined.drop("_lpart", "_rpart")
     return joined.drop("_rkey") if left_key == right_key else joined.withColumnRenamed("_rkey", right_key)
 
 
+def _on_parts(left: DataFrame, registry: DataFrame, left_key: str) -> DataFrame:
+    same = (F.col(left_key) == F.col("_rkey")) & (F.col("_lpart") == F.col("_rpart"))
+    return left.join(registry, same, "left").drop("_lpart", "_rpart")
+
+
 def first_registry_rows(registry: DataFrame, key: Column, tiebreak: list[str]) -> DataFrame:
     """One registry row per key value."""
     keyed = registry.withColumn("_match", key).filter(F.col("_match").isNotNull())
