@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from .selection import keep_first
+from .selection import keep_first, total_order
 
 
 def statement_id(idx: str = "idx", start: str = "period_start", end: str = "period_end") -> Column:
@@ -15,10 +15,10 @@ def statement_id(idx: str = "idx", start: str = "period_start", end: str = "peri
     return F.concat(text[0], F.lit("_"), text[1], F.lit("_"), text[2])
 
 
-def unique_statements(df: DataFrame, tiebreak: list[str]) -> DataFrame:
+def unique_statements(df: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """One row per idx and period; rows lacking a part all share one null id."""
     df = df.withColumn("statement_unique_id", statement_id())
-    order = [F.desc_nulls_first("period_end"), *map(F.col, tiebreak)]
+    order = [F.desc_nulls_first("period_end"), *total_order(df, tiebreak)]
     return keep_first(df, ["statement_unique_id"], order)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import match_key
-from .selection import keep_first
+from .selection import keep_first, total_order
 
 # Rows without a key are spread over this many join partitions.
 NULL_KEY_SPREAD = 4096
@@ -83,10 +83,10 @@ def _on_parts(left: DataFrame, registry: DataFrame, left_key: str) -> DataFrame:
     return left.join(registry, same, "left").drop("_lpart", "_rpart")
 
 
-def first_registry_rows(registry: DataFrame, key: Column, tiebreak: list[str]) -> DataFrame:
+def first_registry_rows(registry: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """One registry row per key value."""
     keyed = registry.withColumn("_match", key).filter(F.col("_match").isNotNull())
-    return keep_first(keyed, ["_match"], [F.col(c) for c in tiebreak])
+    return keep_first(keyed, ["_match"], order)
 
 
 def one_row_per_parent(
@@ -95,6 +95,7 @@ def one_row_per_parent(
     fuzzy: bool,
     suffix: str = "_biz",
     keep_null_keys: bool = False,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Parents joined to the registry by name, then one row per parent company.
 
@@ -102,13 +103,15 @@ def one_row_per_parent(
     is cut to its first row per key before the join: no key multiplies. All
     statements without a parent count as one parent unless ``keep_null_keys``.
     """
-    order = [F.col("organization"), F.col("statement_seq")]
+    order = [F.col("organization"), *total_order(statements, tiebreak)]
     parents = keep_first(statements, ["parent_company"], order)
     if keep_null_keys:
         orphans = statements.filter("parent_company is null")
         parents = parents.filter("parent_company is not null").unionByName(orphans)
     key = match_key if fuzzy else (lambda c: c)
-    named = first_registry_rows(registry, key(F.col("business_name")), ["idx"])
+    named = first_registry_rows(
+        registry, key(F.col("business_name")), [F.col("idx"), *total_order(registry, tiebreak and ["idx"])]
+    )
     parents = parents.withColumn("_key", key(F.col("parent_company")))
     joined = registry_join(parents, named, "_key", "_match", suffix, unique_right=True)
     if fuzzy:

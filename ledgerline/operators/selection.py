@@ -22,23 +22,35 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
+def total_order(df: DataFrame, tiebreak: list[str] | None = None) -> list[Column]:
+    """Columns that settle ties: the given ones, else all of the table's by name.
+
+    Name a unique column where there is one, as all others can then be pruned.
+    """
+    every = sorted(n for n, kind in df.dtypes if not kind.startswith("map"))
+    return [F.col(c) for c in (tiebreak or every)]
+
+
 def latest_per_key(
-    df: DataFrame, key: str, year: str, tiebreak: list[str], nulls_last: bool = False
+    df: DataFrame, key: str, year: str, tiebreak: list[str] | None = None, nulls_last: bool = False
 ) -> DataFrame:
     """Latest row of every non-empty key.
 
     A missing year sorts before all others unless ``nulls_last`` is set.
     """
     newest = F.desc_nulls_last(year) if nulls_last else F.desc_nulls_first(year)
-    return keep_first(filter_nonempty(df, key), [key], [newest, *map(F.col, tiebreak)])
+    return keep_first(filter_nonempty(df, key), [key], [newest, *total_order(df, tiebreak)])
 
 
 def prefer_current(df: DataFrame, key: str, indicator: str, current: str = "Y") -> DataFrame:
     """Rows marked current; keys that have none keep all their rows.
 
     The keys with a current row come from a partial aggregate and are joined
-    back, so no key's rows are gathered in one window; null is a key too.
+    back, so no key's rows are gathered in one window; null is a key too. A
+    table without one of the columns comes back as it is.
     """
+    if key not in df.columns or indicator not in df.columns:
+        return df
     is_current = F.col(indicator) == current
     with_current = (
         df.filter(is_current).select(F.col(key).alias("_key")).distinct().withColumn("_has", F.lit(True))

@@ -82,7 +82,7 @@ def run_profiles(
     inputs: dict[str, tuple[DataFrame, DataFrame]],
     output: str,
     current_year: int,
-    tiebreak: list[str] = ("statement_seq",),
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Build, write and report the profile of each country; the summary is returned.
 

@@ -34,7 +34,7 @@ def au_clean_registry(df: DataFrame) -> DataFrame:
     )
 
 
-def au_entities(statements: DataFrame, tiebreak: list[str]) -> DataFrame:
+def au_entities(statements: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """One row per entity of every unique statement."""
     unique = unique_statements(au_clean_statements(statements), tiebreak)
     return expand_entities(unique).withColumn("statement_year", F.year("period_end")).drop(
@@ -42,7 +42,7 @@ def au_entities(statements: DataFrame, tiebreak: list[str]) -> DataFrame:
     )
 
 
-def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str]) -> DataFrame:
+def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     entities = au_entities(statements, tiebreak).withColumns({
         "abn": blank_to_null(F.col("abn")),
         "entity_name_normalized": F.upper(strip(F.col("reporting_entities"))),
@@ -89,12 +89,16 @@ def ca_clean_registry(df: DataFrame) -> DataFrame:
     return clean_columns(df, ["business_name", "business_id_no"], upper=["prov_terr"])
 
 
-def ca_latest(statements: DataFrame) -> DataFrame:
-    return latest_per_key(ca_clean_statements(statements), "organization", "year", ["statement_seq"])
+def ca_latest(statements: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+    return latest_per_key(ca_clean_statements(statements), "organization", "year", tiebreak)
 
 
-def ca_profiles(statements: DataFrame, registry: DataFrame, **options) -> DataFrame:
-    return best_parent_join(ca_latest(statements), ca_clean_registry(registry), **options)
+def ca_profiles(
+    statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None, **options
+) -> DataFrame:
+    return best_parent_join(
+        ca_latest(statements, tiebreak), ca_clean_registry(registry), tiebreak=tiebreak, **options
+    )
 
 
 def ca_measures(df: DataFrame, current_year: int) -> DataFrame:
@@ -134,15 +138,15 @@ def uk_clean_registry(df: DataFrame) -> DataFrame:
     return parse_dates(cleaned, UK_REGISTRY_DATES, day_first_date)
 
 
-def uk_latest(statements: DataFrame) -> DataFrame:
-    return latest_per_key(
-        uk_clean_statements(statements), "CompanyNumber", "StatementYear", ["statement_seq"]
-    )
+def uk_latest(statements: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+    return latest_per_key(uk_clean_statements(statements), "CompanyNumber", "StatementYear", tiebreak)
 
 
-def uk_profiles(statements: DataFrame, registry: DataFrame) -> DataFrame:
+def uk_profiles(
+    statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None
+) -> DataFrame:
     return registry_join(
-        uk_latest(statements), uk_clean_registry(registry), "CompanyNumber", "CompanyNumber", "_ch"
+        uk_latest(statements, tiebreak), uk_clean_registry(registry), "CompanyNumber", "CompanyNumber", "_ch"
     )
 
 
@@ -182,20 +186,22 @@ def build_profiles(
     registry: DataFrame,
     country: str,
     current_year: int | None = None,
-    tiebreak: list[str] = ("statement_seq",),
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """The standard profile of a country: join, measures, standard names.
 
     ``current_year`` is needed for Canada, whose recency score counts from it.
+    ``tiebreak`` names the statement columns that order equal rows, best a
+    unique one; without it all columns do.
     """
     if country == "australia":
-        out = au_measures(au_profiles(statements, registry, list(tiebreak)))
+        out = au_measures(au_profiles(statements, registry, tiebreak))
     elif country == "canada":
         if current_year is None:
             raise ValueError("canada needs current_year")
-        out = ca_measures(ca_profiles(statements, registry), current_year)
+        out = ca_measures(ca_profiles(statements, registry, tiebreak), current_year)
     elif country == "uk":
-        out = uk_measures(uk_profiles(statements, registry))
+        out = uk_measures(uk_profiles(statements, registry, tiebreak))
     else:
         raise ValueError(f"unknown country: {country}")
     return standardize(out, country)

@@ -23,6 +23,8 @@ QUERIES: dict[str, Query] = {}
 
 # The year that recency counts from; a fixed parameter, so that results repeat.
 CURRENT_YEAR = 2025
+# The unique column that orders statements.
+SEQ = ["statement_seq"]
 
 
 def query(fn: Query) -> Query:
@@ -216,17 +218,17 @@ def country_filter(spark, folder):
 
 def _uk(spark, folder) -> DataFrame:
     return profiles.build_profiles(
-        load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"), "uk")
+        load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"), "uk", tiebreak=SEQ)
 
 
 def _au(spark, folder) -> DataFrame:
     return profiles.build_profiles(
-        load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), "australia")
+        load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), "australia", tiebreak=SEQ)
 
 
 def _ca(spark, folder) -> DataFrame:
     return profiles.build_profiles(
-        load(spark, folder, "ca_statements"), load(spark, folder, "ca_registry"), "canada", CURRENT_YEAR)
+        load(spark, folder, "ca_statements"), load(spark, folder, "ca_registry"), "canada", CURRENT_YEAR, SEQ)
 
 
 @query
@@ -245,9 +247,9 @@ def ca_profiles(spark, folder):
 
 
 def _ca_join(spark, folder, fuzzy, **options):
-    statements = profiles.ca_latest(load(spark, folder, "ca_statements"))
+    statements = profiles.ca_latest(load(spark, folder, "ca_statements"), SEQ)
     registry = profiles.ca_clean_registry(load(spark, folder, "ca_registry"))
-    joined = joins.one_row_per_parent(statements, registry, fuzzy, **options)
+    joined = joins.one_row_per_parent(statements, registry, fuzzy, tiebreak=SEQ, **options)
     return joined.select("parent_company", "organization", "idx", "business_name", "statement_seq")
 
 
@@ -265,7 +267,7 @@ def ca_fuzzy_join(spark, folder):
 def join_stats(spark, folder):
     return joins.join_stats(
         profiles.au_profiles(
-            load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), ["statement_seq"]
+            load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), SEQ
         ).withColumn("row_id", F.struct("statement_seq", "entity_index_in_group")),
         "Company_Name", "row_id")
 
@@ -281,19 +283,19 @@ def register_with_pdf(spark, folder):
 
 @query
 def latest_per_key(spark, folder):
-    return profiles.uk_latest(load(spark, folder, "uk_statements")).select(
+    return profiles.uk_latest(load(spark, folder, "uk_statements"), SEQ).select(
         "CompanyNumber", "StatementYear", "statement_seq")
 
 
 @query
 def unique_statements(spark, folder):
     cleaned = profiles.au_clean_statements(load(spark, folder, "au_statements"))
-    return expand.unique_statements(cleaned, ["statement_seq"]).select("statement_unique_id", "statement_seq")
+    return expand.unique_statements(cleaned, SEQ).select("statement_unique_id", "statement_seq")
 
 
 @query
 def unique_keep_first(spark, folder):
-    latest = profiles.ca_latest(load(spark, folder, "ca_statements"))
+    latest = profiles.ca_latest(load(spark, folder, "ca_statements"), SEQ)
     order = [F.col("organization"), F.col("statement_seq")]
     return selection.keep_first(latest, ["parent_company"], order).select(
         "parent_company", "organization", "statement_seq")
@@ -323,7 +325,7 @@ def detection_select(spark, folder):
 
 @query
 def expand_entities(spark, folder):
-    return profiles.au_entities(load(spark, folder, "au_statements"), ["statement_seq"]).select(
+    return profiles.au_entities(load(spark, folder, "au_statements"), SEQ).select(
         "statement_seq", "abn", "group_entity_count", "entity_index_in_group", "statement_group_id",
         "is_primary_entity", F.col("statement_year").cast("bigint"))
 
@@ -372,13 +374,13 @@ def entity_structure(spark, folder):
 
 @query
 def expansion_stats(spark, folder):
-    entities = profiles.au_entities(load(spark, folder, "au_statements"), ["statement_seq"])
+    entities = profiles.au_entities(load(spark, folder, "au_statements"), SEQ)
     return report.expansion_stats(entities).withColumn("statement_year", F.col("statement_year").cast("bigint"))
 
 
 @query
 def dist_by_key(spark, folder):
-    return report.distributions(profiles.ca_latest(load(spark, folder, "ca_statements")), ["year", "language"])
+    return report.distributions(profiles.ca_latest(load(spark, folder, "ca_statements"), SEQ), ["year", "language"])
 
 
 @query
@@ -487,7 +489,7 @@ def match_key(spark, folder):
 @query
 def company_age(spark, folder):
     return profiles.uk_measures(
-        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"))
+        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"), SEQ)
     ).select("CompanyNumber", "CompanyAgeAtStatement")
 
 
@@ -508,7 +510,7 @@ def count_matches(spark, folder):
 @query
 def flags(spark, folder):
     return profiles.uk_measures(
-        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"))
+        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"), SEQ)
     ).select("CompanyNumber", *profiles.COMPLIANCE_FLAGS, "HasRisk1", "HasRisk2", "HasRisk3", "IsActive",
              "IsDissolved", "HasMortgageCharges")
 
@@ -516,7 +518,7 @@ def flags(spark, folder):
 @query
 def scores(spark, folder):
     return profiles.uk_measures(
-        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"))
+        profiles.uk_profiles(load(spark, folder, "uk_statements"), load(spark, folder, "uk_registry"), SEQ)
     ).select("CompanyNumber", F.col("ComplianceScore").cast("bigint"),
              F.col("RiskAssessmentCompleteness").cast("bigint"))
 

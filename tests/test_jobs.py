@@ -43,3 +43,22 @@ def test_documents_and_signatures(spark):
     mark = "final_markdown LIKE '%**Signature Information**%'"
     assert plain.filter(mark).count() == 0 and signed.filter(mark).count() > 0
     assert jobs.build_signatures(answers).count() == 48
+
+
+def test_profiles_from_files(spark, tmp_path):
+    """Files with their own headers give the profile of the same rows in memory."""
+    from ledgerline.plans.profiles import build_profiles
+    from ledgerline.sources import sinks, tables
+
+    statements = load(spark, FOLDER, "uk_statements").drop("statement_seq")
+    registry = load(spark, FOLDER, "uk_registry")
+    sinks.write_csv(statements, f"{tmp_path}/in/StatementSummaries2024.csv")
+    dotted = registry.toDF(*[" " + c.replace("RegAddress_", "RegAddress.").replace("Mortgages_", "Mortgages.")
+                             for c in registry.columns])
+    sinks.write_csv(dotted, f"{tmp_path}/companies.csv")
+    read = build_profiles(
+        tables.read_uk_statements(spark, f"{tmp_path}/in"),
+        tables.read_uk_registry(spark, f"{tmp_path}/companies.csv"), "uk")
+    direct = build_profiles(statements, registry, "uk").select(*read.columns)
+    from_files, in_memory = sorted(map(str, read.collect())), sorted(map(str, direct.collect()))
+    assert len(from_files) == 150 and from_files == in_memory
