@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import normalize_date, normalize_free_date
-from ..functions.text import SPACES, bound, keep_word_chars, lines, non_blank, squeeze, strip
+from ..functions.text import SPACES, bound, keep_word_chars, lines, squeeze, strip
 from .responses import (
     after_colon, blocks, body_lines, first_line, graded_confidence, keyed_lines, last, last_with,
     lower_lines, number_in, says, value_of,

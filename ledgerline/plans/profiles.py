@@ -17,7 +17,7 @@ from ..functions.measures import (
 from ..functions.text import blank_to_null, clean_columns, strip
 from ..operators.expand import expand_entities, unique_statements
 from ..operators.joins import best_parent_join, registry_join
-from ..operators.schema import standardize
+from ..operators.schema import key_first, standardize
 from ..operators.selection import latest_per_key, prefer_current
 
 
@@ -53,7 +53,7 @@ def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str]
         "company_name_normalized": F.upper(strip(F.col("Company_Name"))),
     })
     joined = registry_join(entities, companies, "ABN", "ABN", "_asic")
-    return joined.withColumn("join_method", F.lit("ABN"))
+    return key_first(joined.withColumn("join_method", F.lit("ABN")), "ABN")
 
 
 def au_measures(df: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # None of these changes a result: operators carry their own null, date and
 # ordering rules, so they also run on a session built elsewhere.
@@ -40,11 +40,3 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="ledgerline-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, for plans that several aggregates will read."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()

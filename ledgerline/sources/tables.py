@@ -7,8 +7,6 @@ types what it needs.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -158,7 +156,3 @@ def read_au_registry(spark, path):
 def union_relaxed(*tables: DataFrame) -> DataFrame:
     """Rows of all tables; columns that differ in type become text."""
     return tables[0] if len(tables) == 1 else align_union(*tables)
-
-
-def union_batches(batches: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, batches)

@@ -62,3 +62,10 @@ def test_profiles_from_files(spark, tmp_path):
     direct = build_profiles(statements, registry, "uk").select(*read.columns)
     from_files, in_memory = sorted(map(str, read.collect())), sorted(map(str, direct.collect()))
     assert len(from_files) == 150 and from_files == in_memory
+
+
+def test_the_australian_profile_starts_with_its_key(spark):
+    from ledgerline.plans.profiles import build_profiles
+
+    made = build_profiles(load(spark, FOLDER, "au_statements"), load(spark, FOLDER, "au_registry"), "australia")
+    assert made.columns[0] == "abn" and made.columns[-1] == "data_country"

@@ -111,3 +111,11 @@ def test_directory_metadata(spark):
     files = spark.createDataFrame([("/in/a.b.pdf", 7, 4)], "path string, length bigint, idx bigint")
     row = pdf_lists.directory_sources_with_metadata(files).first()
     assert (row.source_id, tuple(row.metadata)) == ("pdf_004_a.b", ("a.b.pdf", 7))
+
+
+def test_canadian_files(spark, tmp_path):
+    statements = write(tmp_path / "s.csv", "organization, year ,junk\nA,2024,1\n")
+    registry = write(tmp_path / "r.csv", "idx,business_name,derived_NAICS\n1,\"Acme, Inc.\",31\n")
+    assert [tuple(r) for r in tables.read_ca_statements(spark, statements).collect()] == [("2024", "A")]
+    assert tables.read_ca_registry(spark, registry).columns == ["idx", "business_name", "derived_NAICS"]
+    assert tables.read_ca_registry(spark, registry).first().business_name == "Acme, Inc."
