@@ -311,7 +311,7 @@ SELECT doc_id, CAST(1 AS INT) AS page_number, text
   || CASE WHEN doc_id % 7 = 0 THEN chr(10) || 'Signed by John Smith' || chr(10) || '• on behalf' || chr(10) || 'Title:  Director of Trade'
      WHEN doc_id % 7 = 1 THEN chr(13) || chr(10) || 'firmado por Juan Pérez' || chr(10) || 'cargo - Gerente  General' || chr(10) || 'Signature'
      WHEN doc_id % 7 = 2 THEN chr(10) || 'Position: Chief Officer' || chr(10) || 'Firma: ANA MARÍA LÓPEZ'
-     WHEN doc_id % 7 = 3 THEN chr(10) || 'Manager Maria Gomez Ruiz' || chr(10) || 'Manager Maria Gomez Ruiz' ELSE '' END AS text
+     WHEN doc_id % 7 = 3 THEN chr(10) || 'Manager Maria Torres Ruiz' || chr(10) || 'Manager Maria Torres Ruiz' ELSE '' END AS text
 FROM {documents}""",
     "detections": """
 SELECT 'pdf_' || CAST(l_suppkey AS STRING) AS source_id, l_orderkey AS page_number, l_linenumber AS xmin, l_partkey AS ymin,
