@@ -15,7 +15,9 @@ from ledgerline.llm.superminhash import band_keys, identity, shingle_sets, signa
 from ledgerline.llm.tables import cut
 from ledgerline.llm.words import batches
 
-BLOCK = 512
+# Shingles in a block of a bucket's documents; each document counts DOCUMENT more, so a block has 512 at most.
+BLOCK = 1 << 22
+DOCUMENT = 1 << 13
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -23,7 +25,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def sign(docs: DataFrame, width: int, registers: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, sig, keys): set size, identity of the set, 16 bits of each register, band keys."""
+    """(doc_id, n_shingles, h1, h2, sig, keys): set size, identity of the set, 16 bits of each register and 32 of each band key, band keys."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -32,13 +34,13 @@ def sign(docs: DataFrame, width: int, registers: int, bands: int, rows: int) ->
                 sets = shingle_sets(texts[first:last], width)
                 signed = signatures(sets, registers)
                 keys = band_keys(signed, bands, rows)
-                short = (signed & np.uint64(0xFFFF)).astype(np.uint16)
+                short = [a.tobytes() + b.tobytes() for a, b in zip(signed.astype(np.uint16), keys.astype(np.uint32))]
                 marks = [identity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).slice(first, last - first),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
-                    pa.array([s.tobytes() for s in short], pa.binary()),
+                    pa.array(short, pa.binary()),
                     pa.array([k if len(s) else None for k, s in zip(keys.tolist(), sets)], pa.list_(pa.int64())),
                 ], ["doc_id", "n_shingles", "h1", "h2", "sig", "keys"])
 
@@ -65,6 +67,14 @@ def shingles_of(docs: DataFrame, width: int) -> DataFrame:
         run, "id long, h1 long, h2 long, shingles binary")
 
 
+def near(p: np.ndarray, q: np.ndarray, part: int, whole: int) -> bool:
+    """Whether whole * |p and q| >= part * |p or q|, for sorted distinct hashes."""
+    if len(p) > len(q):
+        p, q = q, p
+    shared = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+    return whole * shared >= part * (len(p) + len(q) - shared)
+
+
 def linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
     """The pairs (a, b) with whole * intersection >= part * union on the full sets."""
 
@@ -72,36 +82,35 @@ def linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFram
         for batch in parts:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(p) + len(q) - len(np.union1d(p, q))
-                keep.append(whole * shared >= part * (len(p) + len(q) - shared))
+                keep.append(near(*(np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y)), part, whole))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
 
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    near = F.expr(f"{whole} * least(octet_length(x), octet_length(y)) >= {part} * greatest(octet_length(x), octet_length(y))")
-    return (pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "x", "y")
+    sizes = F.expr(f"{whole} * least(octet_length(x), octet_length(y)) >= {part} * greatest(octet_length(x), octet_length(y))")
+    return (pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b", "x", "y")
             .mapInArrow(run, "a long, b long").distinct())
 
 
 def strangers(members: DataFrame, part: int, whole: int, registers: int) -> DataFrame:
-    """The pairs of ids of different components that share a band and may be near enough.
+    """(key, i, j, id, component, wants): blocks of a bucket's ids, with the ids that each may be linked to.
 
-    members: (key, id, component, n_shingles, sig). In a band's bucket the ids outside its most common
-    component meet all ids of other components, in blocks of a bounded number of ids. A pair is left out
-    only where sizes forbid the link or the signatures agree on less than the threshold minus six
-    standard deviations of the estimate.
+    members: (key, band, id, component, n_shingles, sig). In a band's bucket the ids outside its most common
+    component ask all ids of other components, in blocks of a bounded number of shingles. A pair is left out
+    only where sizes forbid the link, where the signatures agree on less than the threshold minus six
+    standard deviations of the estimate, or where an earlier band holds both ids. Each id gives a
+    row per block at most, whatever the number of its partners.
     """
     share = part / whole
     least = (share - 6 * (share * (1 - share) / registers) ** 0.5) * registers
-    counts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    counts = members.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum(F.col("n_shingles") + DOCUMENT).alias("size"))
     common = counts.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("common"),
-        F.sum("n").alias("all"), F.max("n").alias("most")).where("all > most")
-    members = members.join(common, "key")
-    members = members.withColumns({"n": F.expr(f"1 + (all - most) DIV {BLOCK}"), "m": F.expr(f"1 + all DIV {BLOCK}")})
-    columns = ["id", "component", "common", "n_shingles", "sig"]
+        F.max_by("component", F.struct("n", "component")).alias("common"), F.max_by("size", F.struct("n", "component")).alias("most"),
+        F.sum("size").alias("all")).where("all > most")
+    members = members.join(common, "key").withColumns(
+        {"n": F.expr(f"1 + (all - most) DIV {BLOCK}"), "m": F.expr(f"1 + all DIV {BLOCK}")})
+    columns = ["band", "id", "component", "common", "n_shingles", "sig"]
     outside = members.where("component <> common").select(
         "key", F.expr("pmod(xxhash64(id), n) AS i"), F.expr("explode(sequence(0L, m - 1)) AS j"), *columns, F.lit(True).alias("asks"))
     every = members.select(
@@ -109,20 +118,60 @@ def strangers(members: DataFrame, part: int, whole: int, registers: int) -> Data
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
         left, right = block[block["asks"]], block[~block["asks"]]
-        found = []
+        rows, wanted = [], np.zeros(len(right), dtype=bool)
         if len(left) and len(right):
-            sig = np.frombuffer(b"".join(right["sig"]), dtype=np.uint16).reshape(len(right), -1)
+            band = int(block["band"].iloc[0])
+            sig = np.frombuffer(b"".join(right["sig"]), dtype=np.uint8).reshape(len(right), -1)
+            short, keys = (sig[:, a:b].copy().view(t) for a, b, t in ((0, 2 * registers, np.uint16), (2 * registers, None, np.uint32)))
             ids, size, own = (right[c].to_numpy() for c in ("id", "n_shingles", "component"))
             apart = (right["component"] != right["common"]).to_numpy()
             for i, comp, n, mine in zip(left["id"], left["component"], left["n_shingles"], left["sig"]):
-                same = (sig == np.frombuffer(mine, dtype=np.uint16)).sum(axis=1)
-                fit = (own != comp) & ~(apart & (ids < i)) & (same >= least)
-                fit &= whole * np.minimum(size, n) >= part * np.maximum(size, n)
-                found += [(i, b) for b in ids[fit].tolist()]
+                fit = (own != comp) & ~(apart & (ids < i)) & (whole * np.minimum(size, n) >= part * np.maximum(size, n))
+                at = np.flatnonzero(fit)
+                if len(at):
+                    agree = (short[at] == np.frombuffer(mine, dtype=np.uint16, count=registers)).sum(axis=1)
+                    before = (keys[at, :band] == np.frombuffer(mine, dtype=np.uint32, offset=2 * registers, count=band)).any(axis=1)
+                    at = at[(agree >= least) & ~before]
+                if len(at):
+                    wanted[at] = True
+                    rows.append((i, comp, ids[at]))
+            rows += [(i, comp, None) for i, comp in zip(ids[wanted], own[wanted])]
+        out = pd.DataFrame(rows, columns=["id", "component", "wants"])
+        for name in ("key", "i", "j"):
+            out[name] = block[name].iloc[0]
+        return out
+
+    return outside.union(every).groupBy("key", "i", "j").applyInPandas(
+        meet, "id long, component long, wants array<long>, key long, i long, j long")
+
+
+def block_links(blocks: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """Links (a, b) of the wanted pairs, confirmed on full sets, as many as join their block's components."""
+
+    def check(block: pd.DataFrame) -> pd.DataFrame:
+        full: dict[int, list[np.ndarray]] = {}
+        for i, s, wants in zip(block["id"], block["shingles"], block["wants"]):
+            if wants is None:
+                full.setdefault(i, []).append(np.frombuffer(s, dtype=np.uint64))
+        parent = {c: c for c in block["component"]}
+        where = dict(zip(block["id"], block["component"]))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        for i, s, wants in zip(block["id"], block["shingles"], block["wants"]):
+            for j in wants if wants is not None else ():
+                a, b = root(where[i]), root(where[j])
+                if a != b and any(near(np.frombuffer(s, dtype=np.uint64), q, part, whole) for q in full[j]):
+                    parent[a] = b
+                    found.append((i, j))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    pairs = outside.union(every).groupBy("key", "i", "j").applyInPandas(meet, "a long, b long")
-    return pairs.selectExpr("least(a, b) a", "greatest(a, b) b").distinct()
+    return blocks.join(sets, "id").groupBy("key", "i", "j").applyInPandas(check, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, part: int = 85,
@@ -145,7 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(known.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("keys").alias("keys")))
 
-    posted = classes.select("id", F.explode("keys").alias("key"))
+    posted = classes.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = posted.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").select("key", "a")
     members = cut(posted.join(buckets, "key"))
     stars = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
@@ -157,8 +206,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     first = components(links)
     placed = (members.join(first, "id", "left").join(classes.select("id", "n_shingles", "sig"), "id")
-              .select("key", "id", F.coalesce("component", "id").alias("component"), "n_shingles", "sig"))
-    more = linked(cut(strangers(placed, part, whole, registers)), sets, part, whole)
+              .select("key", "band", "id", F.coalesce("component", "id").alias("component"), "n_shingles", "sig"))
+    more = block_links(cut(strangers(placed, part, whole, registers)), sets, part, whole)
 
     member_of = known.select("doc_id", "h1", "h2").join(classes.select("h1", "h2", "id"), ["h1", "h2"])
     repeated = (member_of.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
