@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm import byte_bpe
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
+from ledgerline.llm.token_counts import token_counts
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"))
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup}
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.encode(read(spark, folder, "documents"), path, offsets=False), path)
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op7_byte_bpe, op10_token_counts)}
 ORACLES: dict[str, str] = {}

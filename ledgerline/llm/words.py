@@ -26,13 +26,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_codes() -> np.ndarray:
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-    codes[ord("A") : ord("Z") + 1] = codes[ord("a") : ord("z") + 1]
-    return codes
+def codes(values: np.ndarray) -> np.ndarray:
+    """A code for each byte or code point, for hashes of stretches of them."""
+    return mix((values.astype(np.uint64) + np.uint64(1)) * _BASE)
 
 
-_CODES = _byte_codes()
+_PLAIN = codes(np.arange(256))
+_FOLDED = _PLAIN.copy()
+_FOLDED[ord("A") : ord("Z") + 1] = _PLAIN[ord("a") : ord("z") + 1]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,9 +55,10 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial in its byte codes, mixed. Worked out over stretches of
-    whole words, so memory does not follow the length of a text."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes or code points: a polynomial in their codes, mixed. Worked out over
+    some whole stretches at a time, so memory does not follow the length of a text. fold: A-Z counts as a-z (bytes)."""
+    table = (_FOLDED if fold else _PLAIN) if data.dtype == np.uint8 else None
     out = np.empty(len(starts), dtype=np.uint64)
     first = 0
     while first < len(starts):
@@ -64,7 +66,8 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         low, high = int(starts[first]), int(ends[last - 1])
         up, down = _powers(high - low + 1)
         total = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(_CODES[data[low:high]] * up[:-1], out=total[1:])
+        own = data[low:high]
+        np.cumsum((codes(own) if table is None else table[own]) * up[:-1], out=total[1:])
         a, b = starts[first:last] - low, ends[first:last] - low
         out[first:last] = mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
         first = last
