@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe
+from ledgerline.llm import byte_bpe, language_model, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
 from ledgerline.llm.token_counts import token_counts
@@ -30,5 +30,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op7_byte_bpe, op10_token_counts)}
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, folder, "labels")))
+
+
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(read(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op5_toxicity, op7_byte_bpe, op8_lm_score, op10_token_counts)}
 ORACLES: dict[str, str] = {}
