@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe, language_model, toxicity
+from ledgerline.llm import byte_bpe, fingerprints, language_model, mixing, secrets, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
 from ledgerline.llm.token_counts import token_counts
@@ -21,6 +21,10 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(read(spark, folder, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(byte_bpe.encode(read(spark, folder, "documents"), path, offsets=False), path)
@@ -30,6 +34,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_next(read(spark, folder, "documents"))
+
+
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, folder, "labels")))
@@ -39,5 +51,5 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op5_toxicity, op7_byte_bpe, op8_lm_score, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op10_token_counts)}
 ORACLES: dict[str, str] = {}
