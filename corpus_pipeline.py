@@ -5,22 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.llm import byte_bpe, mixing, secrets, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
+from ledgerline.llm.queries import vocabulary
 from ledgerline.llm.tables import cut, read
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go. The score depends on the text alone, so texts are scored where they lie."""
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.keep_ordinary(docs, model)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the least id. Rows without an id stay."""
     kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns).union(docs.where("doc_id IS NULL"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are replaced by a mark; every document stays, and n_chars follows the text."""
+    columns = docs.columns
+    scanned = secrets.scan(docs, *secrets.train(docs))
+    clean = scanned.withColumn("text", secrets.redact(scanned))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate asks, in shuffled order."""
+    return mixing.mix(docs).select(docs.columns)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of each text and of what they decode to."""
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.encode(docs, path, offsets=False), path)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("near duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("encoding", encode_texts),
 ]
 
-#: Signatures, models and encodings cannot be told in SQL; tests compare the stages with plain versions.
+#: Models, signatures and encodings cannot be told in SQL; tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 

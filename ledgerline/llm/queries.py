@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe, fingerprints, language_model, mixing, secrets, toxicity
+from ledgerline.llm import byte_bpe, fingerprints, language_model, main_text, mixing, neighbours, secrets, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
 from ledgerline.llm.token_counts import token_counts
@@ -30,6 +30,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(read(spark, folder, "documents"), path, offsets=False), path)
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(read(spark, folder, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -42,6 +46,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(read(spark, folder, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, folder, "labels")))
@@ -51,5 +59,5 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op4_neighbours, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op9_main_text, op10_token_counts)}
 ORACLES: dict[str, str] = {}

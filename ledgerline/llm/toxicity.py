@@ -197,3 +197,20 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     return given.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_ordinary(docs: DataFrame, model: Model | None, text_col: str = "text", bound: float = 0.5) -> DataFrame:
+    """The rows of docs whose score is below the bound, with all their columns. Without a model all stay."""
+    if model is None:
+        return docs
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Gains(model)
+        for part in parts:
+            texts = [(t or "").encode() for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
+            for first in range(0, len(texts), 64):
+                x = known.features(texts[first : first + 64])
+                keep = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))) < bound
+                yield part.slice(first, len(keep)).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
