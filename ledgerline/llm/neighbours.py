@@ -67,9 +67,11 @@ def fit(sample: np.ndarray, parts: int, k: int = 5, graph: int = 10, recall: flo
     """Partitions the neighbour graph of the sample's unit vectors and trains the router on where neighbours lie. probes is the
     least number of most probable partitions in which `recall` of the sample's k nearest lie, and one more."""
     rng = np.random.default_rng(5)
-    likeness = sample @ sample.T
-    np.fill_diagonal(likeness, -np.inf)
-    near = np.argsort(-likeness, axis=1, kind="stable")[:, : min(graph, len(sample) - 1)]
+    near = np.empty((len(sample), min(graph, len(sample) - 1)), dtype=np.int32)
+    for first in range(0, len(sample), 500):
+        likeness = sample[first : first + 500] @ sample.T
+        likeness[np.arange(len(likeness)), first + np.arange(len(likeness))] = -np.inf
+        near[first : first + 500] = np.argsort(-likeness, axis=1, kind="stable")[:, : near.shape[1]]
     part = partition(near, sample, parts)
     share = np.zeros((len(sample), parts))
     np.add.at(share, (np.arange(len(sample))[:, None], part[near]), 1.0)
@@ -107,7 +109,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return ok.where(F.size("v") == (usual.n if usual else 0))
 
 
-def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, sample: int = 6000,
+def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, sample: int = 3000,
            rows_per_part: int = 4000, largest: int = 64) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, the k nearest other rows found by cosine.
 
