@@ -54,6 +54,7 @@ def _starts(symbols: np.ndarray, begins: np.ndarray) -> np.ndarray:
         label = TOSS[label << 6 | _left(label, begins)].astype(np.uint16)
     peak = np.zeros(len(label), dtype=bool)
     peak[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
+    peak[begins[1:] - 1] = False  # a text's last symbol has no right neighbour
     peak[begins] = True
     return np.flatnonzero(peak)
 

@@ -78,7 +78,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A page with an article or main element gives the text in it; another the text in its host's holder, or all text
     where it has none there, without what the host's template repeats. Menus, headers, footers, sidebars, forms and elements marked as
-    adverts, notices or comments never count, nor does markup. Nothing inside an article is dropped for being repeated. Null and
+    adverts, notices or comments never count, nor does markup. Nothing inside an article or a holder is dropped for being repeated. Null and
     empty pages have an empty text; rows that repeat an id are rows of their own; a null url is a host of its own.
     """
     parsed = cut(tokens(pages))
@@ -86,8 +86,8 @@ def extract(pages: DataFrame) -> DataFrame:
     own = F.filter("blocks", lambda b: ~b["aside"])
     main = F.filter(own, lambda b: b["path"].rlike(IN_MAIN))
     held = F.filter(own, lambda b: (b["path"] == F.col("holder")) | F.startswith(b["path"], F.concat("holder", F.lit("/"))))
-    fresh = lambda blocks: F.filter(blocks, lambda b: ~F.array_contains(
+    fresh = F.filter(own, lambda b: ~F.array_contains(
         F.coalesce("repeated", F.array().cast("array<bigint>")), F.xxhash64(b["path"], F.xxhash64(b["text"]))))
-    chosen: Column = F.when(F.size(main) > 0, main).when(F.col("holder").isNotNull() & (F.size(held) > 0), fresh(held)).otherwise(fresh(own))
+    chosen: Column = F.when(F.size(main) > 0, main).when(F.col("holder").isNotNull() & (F.size(held) > 0), held).otherwise(fresh)
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
     return given.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -14,7 +14,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"[A-Za-z0-9_]{8,}"
+IDENTIFIER = r"\b[A-Za-z_]{8,}\b"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 
 
@@ -61,10 +61,10 @@ def _mean_ratio(value: Column, ratios: Column) -> Column:
 def train(docs: DataFrame, sample: int = 2000, text_col: str = "text", id_col: str = "doc_id") -> tuple[list[float], float]:
     """Log ratios of neighbouring characters, and the ratio per pair from which a string counts as random.
 
-    Labelled samples: strings that the fixed patterns find, as random, and words of eight or more identifier characters beside them, as
+    Labelled samples: strings that the fixed patterns find, as random, and words of eight or more letters and underscores beside them, as
     ordinary; each from at most `sample` documents, by the hash of the id. The counts have a row per pair of the alphabet
-    at most. The bound lies between the classes: the middle of a low quantile of the one and a high one of the other,
-    and never under the latter.
+    at most. The bound lies between the classes: the middle of a low quantile of random strings and the median of ordinary ones,
+    which a few secrets among the latter do not move.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     order = [F.xxhash64(id_col), F.xxhash64(text)]
@@ -85,10 +85,10 @@ def train(docs: DataFrame, sample: int = 2000, text_col: str = "text", id_col: s
         logs.append([math.log(own[k] / rows[k // size]) for k in range(size * size)])
     ratios = [a - b for a, b in zip(*logs)]
     scored = labelled.select("label", _mean_ratio(F.col("value"), F.lit(ratios)).alias("r"))
-    got = {r.label: r.q for r in scored.groupBy("label").agg(F.percentile_approx("r", [0.05, 0.995]).alias("q")).collect()}
+    got = {r.label: r.q for r in scored.groupBy("label").agg(F.percentile_approx("r", [0.05, 0.5]).alias("q")).collect()}
     if 1 not in got or 0 not in got:
         return ratios, math.inf
-    return ratios, max(got[0][1], (got[1][0] + got[0][1]) / 2)
+    return ratios, (got[1][0] + got[0][1]) / 2
 
 
 def scan(docs: DataFrame, ratios: list[float], bound: float, text_col: str = "text") -> DataFrame:
