@@ -247,7 +247,8 @@ def extract_with(pages: DataFrame, fn, schema: str) -> DataFrame:
                     out.append([page_id, url] + [record.get(f) for f in fields])
             yield pd.DataFrame(out, columns=["page_id", "url", *fields])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id bigint, url string, {schema}")
+    kept = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
+    return pages.select("page_id", "url", "html").mapInPandas(run, f"{kept}, {schema}")
 
 
 def links_with(pages: DataFrame, fn, base_url: str) -> DataFrame:

@@ -113,13 +113,19 @@ def compliance_dist(df: DataFrame) -> DataFrame:
 
 
 def country_summary(df: DataFrame, entity: str = "entity_key", statement: str = "statement_key",
-                    matched: str = "is_matched") -> DataFrame:
-    """One row per country and one for all; the overall entities are the sum over countries."""
+                    matched: str = "is_matched", fields: dict[str, list[str]] | None = None) -> DataFrame:
+    """One row per country and one for all; the overall entities are the sum over countries.
+
+    ``fields`` names the fields that each country's own profile has; a field that only other countries have must not count
+    as empty. Without it every country is measured over all fields of the table.
+    """
+    completeness = mean_completeness(df) if fields is None else F.coalesce(
+        *[F.when(F.col("data_country") == c, mean_completeness(df, own)) for c, own in fields.items()])
     per_country = df.groupBy("data_country").agg(
         F.count("*").alias("records"),
         n_unique(entity).alias("unique_entities"),
         n_unique(statement).alias("unique_statements"),
-        mean_completeness(df).alias("average_completeness"),
+        completeness.alias("average_completeness"),
         (F.count_if(matched) / F.count("*") * 100).alias("join_success_rate"),
     )
     # Rolled up from the few country rows, so the profiles are read once.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import non_blank
 
@@ -85,17 +86,12 @@ def select_detections(
     flagged = df.withColumn("likely_signature", likely)
     if not ensure_one:
         return flagged.withColumn("picked", likely).withColumn("forced_pick", F.lit(False))
-    # -confidence then box order: the smallest struct is the first maximum.
-    rank = F.struct((-F.col(confidence)).alias("_neg"), *box)
-    best = (
-        df.groupBy(*page)
-        .agg(F.min(rank).alias("_best"), F.max(likely).alias("_any"))
-        .filter(~F.col("_any"))
-        .select(*page, *[F.col("_best")[c].alias(c) for c in box], F.lit(True).alias("forced_pick"))
-    )
-    joined = flagged.join(best, [*page, *box], "left")
-    forced = F.coalesce("forced_pick", F.lit(False))
-    return joined.withColumns({"forced_pick": forced, "picked": likely | forced})
+    # The first box of largest confidence, one row of the page even where boxes are equal.
+    whole = Window.partitionBy(*page)
+    first = F.row_number().over(whole.orderBy(F.col(confidence).desc_nulls_last(), *box)) == 1
+    some = F.coalesce(F.max("likely_signature").over(whole), F.lit(False))
+    forced = flagged.withColumn("forced_pick", first & ~some)
+    return forced.withColumn("picked", F.coalesce("likely_signature", F.lit(False)) | F.col("forced_pick"))
 
 
 def page_limit(df: DataFrame, n: int, page: str = "page_number") -> DataFrame:

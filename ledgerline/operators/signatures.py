@@ -410,9 +410,7 @@ def detection_summary(picked: DataFrame) -> DataFrame:
     )
 
 
-def detection_totals(picked: DataFrame) -> DataFrame:
-    """Sources and boxes of the whole run."""
-    per_source = detection_summary(picked)
-    return per_source.agg(
-        F.count("*").alias("total_pdfs"), F.coalesce(F.sum("signatures_found"), F.lit(0)).alias("total_signatures")
-    )
+def detection_totals(picked: DataFrame, sources: DataFrame, key: str = "source_id") -> DataFrame:
+    """All sources, also those without a picked box, and the picked boxes of the whole run."""
+    return sources.agg(F.count_distinct(key).alias("total_pdfs")).crossJoin(
+        picked.agg(F.count("*").alias("total_signatures")))

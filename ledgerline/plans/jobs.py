@@ -89,14 +89,15 @@ def run_profiles(
     ``inputs`` maps a country to its statements and registry. Written are
     profiles/<country> (Parquet), reports/<country> and summary (JSON).
     """
-    rows = []
+    rows, fields = [], {}
     for country, (statements, registry) in inputs.items():
         path = f"{output}/profiles/{country}"
         build_profiles(statements, registry, country, current_year, tiebreak).write.mode("overwrite").parquet(path)
         profile = spark.read.parquet(path)
         sinks.write_json(quality_report(profile, country), f"{output}/reports/{country}")
         rows.append(_summary_rows(profile, country))
-    summary = report.country_summary(schema.align_union(*rows))
+        fields[country] = [f for f in report.KEY_FIELDS if f in profile.columns]
+    summary = report.country_summary(schema.align_union(*rows), fields=fields)
     sinks.write_json(summary, f"{output}/summary")
     return spark.read.json(f"{output}/summary")
 

@@ -593,7 +593,8 @@ FROM (SELECT DISTINCT {SID} AS source_id FROM conversations) s LEFT JOIN n USING
   count(DISTINCT source_id) AS sources_with_signatures FROM so""",
     "detection_summary": f"""WITH {PICKED} SELECT source_id, count(*) AS signatures_found, count(DISTINCT page_number) AS pages_processed
 FROM picks WHERE picked GROUP BY 1""",
-    "detection_totals": "SELECT count(DISTINCT l_suppkey) AS total_pdfs, count(*) AS total_signatures FROM lineitem",
+    "detection_totals": f"""WITH {PICKED} SELECT (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS total_pdfs,
+  count(*) AS total_signatures FROM picks WHERE picked""",
     "line_context": f"""WITH {numbered_lines("documents", "doc_id")} SELECT doc_id, line_no, line,
   string_agg(line, chr(10)) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS context FROM ln""",
     "signer_hits": signer_sql() + " SELECT *, 'pdf_text' AS source FROM hits",

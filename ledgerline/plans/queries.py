@@ -932,16 +932,20 @@ def corpus_summary(spark, folder):
     return signatures.corpus_summary(_output(spark, folder), _sources(spark, folder))
 
 
-@query
-def detection_summary(spark, folder):
+def _picked_boxes(spark, folder):
     boxes = selection.select_detections(
         load(spark, folder, "detections"), ["source_id", "page_number"], ["xmin", "ymin", "box_area"], threshold=6.0)
-    return signatures.detection_summary(boxes.filter("picked"))
+    return boxes.filter("picked")
+
+
+@query
+def detection_summary(spark, folder):
+    return signatures.detection_summary(_picked_boxes(spark, folder))
 
 
 @query
 def detection_totals(spark, folder):
-    return signatures.detection_totals(load(spark, folder, "detections"))
+    return signatures.detection_totals(_picked_boxes(spark, folder), load(spark, folder, "detections").select("source_id"))
 
 
 @query

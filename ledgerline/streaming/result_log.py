@@ -39,9 +39,15 @@ def encoded_line(stamp: Column) -> Column:
 
 
 def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch: int = 1000) -> DataFrame:
-    """A table's Parquet files as a stream; the schema comes from the files there now."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    """A table's Parquet files as a stream, one file or a folder of part files; the schema comes from the files there now."""
+    path = f"{folder}/{table}.parquet"
+    now = spark.read.parquet(path)
+    reader = spark.readStream.schema(now.schema).option("maxFilesPerTrigger", files_per_batch)
+    files = now.inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no files in {path}")
+    if not any(f.endswith(f"/{table}.parquet") for f in files):
+        return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from ledgerline.plans import jobs
 from ledgerline.plans.inputs import load, table
 from ledgerline.streaming import result_log
@@ -14,6 +16,12 @@ def test_profiles_written_and_summarised(spark, tmp_path):
     both = jobs.combined_profiles(spark, str(tmp_path), list(inputs))
     assert summary["all"].records == both.count() == sum(summary[c].records for c in inputs)
     assert summary["all"].join_success_rate is None and 0 < summary["uk"].join_success_rate <= 100
+    from ledgerline.operators import report as reports
+
+    for country in inputs:
+        own = spark.read.parquet(f"{tmp_path}/profiles/{country}").agg(F.lit(1), reports.mean_completeness(
+            spark.read.parquet(f"{tmp_path}/profiles/{country}")).alias("mean")).first().mean
+        assert abs(summary[country].average_completeness - own) < 1e-9
     report = spark.read.json(f"{tmp_path}/reports/uk")
     score = report.filter("section = 'distribution.compliance_score'")
     assert score.agg({"value": "sum"}).first()[0] == summary["uk"].records
@@ -36,6 +44,20 @@ def test_crawl_to_log(spark):
     assert result_log.read_log(spark, path).count() == table(spark, FOLDER, "pages").count()
 
 
+def test_stream_of_a_folder(spark, tmp_path):
+    table(spark, FOLDER, "pages").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    path = result_log.new_log(spark, "folder")
+    jobs.crawl_to_log(result_log.stream_table(spark, str(tmp_path), "pages"), path)
+    assert result_log.read_log(spark, path).count() == table(spark, FOLDER, "pages").count()
+
+
+def test_text_page_ids(spark):
+    from ledgerline.operators import html
+
+    pages = spark.createDataFrame([("abc", "u", "<p>x")], "page_id string, url string, html string")
+    assert html.extract_with(pages, lambda root: {"n": 1}, "n int").first().page_id == "abc"
+
+
 def test_documents_and_signatures(spark):
     answers = load(spark, FOLDER, "responses")
     plain, signed = jobs.build_documents(answers), jobs.build_documents(answers, with_signatures=True)

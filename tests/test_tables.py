@@ -41,6 +41,8 @@ def test_detections(spark):
         (1, 0, False), (1, 1, False), (2, 0, True), (3, 0, True)]
     none = selection.select_detections(df, ["source_id", "page_number"], ["box"], ensure_one=False)
     assert none.filter("picked").count() == 2
+    equal = spark.createDataFrame([("s", 1, None, 0.2)] * 3, "source_id string, page_number int, box int, confidence double")
+    assert selection.select_detections(equal, ["source_id", "page_number"], ["box"]).filter("forced_pick AND picked").count() == 1
 
 
 def brute_expand(statements):
