@@ -13,10 +13,6 @@ KINDS = ("text", "tables", "figures", "signatures")
 NOT_INFORMATIVE = "NOT_INFORMATIVE"
 PAGE_RULE = "\n\n---\n\n"
 
-# A document is put together in parts of this many pages, so that a source of
-# any length never becomes one group; shorter documents are one part.
-PAGES_PER_PART = 500
-
 ANALYSIS_KEYS = ("should_parse:", "has_text:", "has_tables:", "has_figures:", "has_signatures:")
 
 
@@ -182,6 +178,11 @@ def signature_markdown(record) -> Column:
     )
 
 
+def _is_parsed(pages: DataFrame) -> Column:
+    parsed = F.coalesce("should_parse", F.lit(False))
+    return parsed & F.col("error").isNull() if "error" in pages.columns else parsed
+
+
 def page_contents(pages: DataFrame, signature_blocks: str | None = None) -> DataFrame:
     """Content of every parsed page: text, mappings and the integrated text.
 
@@ -189,9 +190,10 @@ def page_contents(pages: DataFrame, signature_blocks: str | None = None) -> Data
     ``signature_blocks`` names a column of markdown blocks per page, used when
     signature data belongs in the document. Pages with an ``error`` are skipped.
     """
-    parsed = pages.filter("should_parse")
-    if "error" in pages.columns:
-        parsed = parsed.filter("error is null")
+    return _with_contents(pages.filter(_is_parsed(pages)), signature_blocks)
+
+
+def _with_contents(parsed: DataFrame, signature_blocks: str | None) -> DataFrame:
     empty = F.array().cast("array<struct<id:string,content:string>>")
     out = parsed.withColumns({
         "text_content": F.when(F.col("has_text"), F.col("text")),
@@ -241,22 +243,24 @@ def integration_check(contents: DataFrame) -> DataFrame:
     )
 
 
-def combine_pages(contents: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
-    """Pages of a source joined in order: (source_id, part, markdown).
+def _piece() -> Column:
+    return F.coalesce(F.nullif("integrated_content", F.lit("")), F.nullif("text_content", F.lit("")))
 
-    A source within ``pages_per_part`` pages is one part; a longer one comes in
-    consecutive parts, which joined by the page rule give the whole document.
-    """
-    piece = F.coalesce(F.nullif("integrated_content", F.lit("")), F.nullif("text_content", F.lit("")))
-    rows = contents.select(
-        "source_id",
-        F.floor((F.col("page_number") - 1) / pages_per_part).cast("bigint").alias("part"),
-        "page_number",
-        piece.alias("piece"),
-    ).filter("piece is not null")
-    ordered = F.array_sort(F.collect_list(F.struct("page_number", "piece")))
+
+def _markdown(piece: Column) -> Column:
+    """Aggregate: the pieces in page order with a rule between; null pieces are left out."""
+    ordered = F.array_sort(F.collect_list(F.when(piece.isNotNull(), F.struct("page_number", piece.alias("piece")))))
     joined = F.array_join(F.transform(ordered, lambda p: p["piece"]), PAGE_RULE)
-    return rows.groupBy("source_id", "part").agg(strip(squeeze_blank_lines(joined)).alias("markdown"))
+    return strip(squeeze_blank_lines(joined))
+
+
+def combine_pages(contents: DataFrame) -> DataFrame:
+    """Pages of a source joined in order: one (source_id, markdown) per source with content.
+
+    A document is one value, so its size is that of its own pages.
+    """
+    piece = _piece()
+    return contents.filter(piece.isNotNull()).groupBy("source_id").agg(_markdown(piece).alias("markdown"))
 
 
 def page_summary(contents: DataFrame) -> DataFrame:
@@ -281,57 +285,46 @@ def page_summary(contents: DataFrame) -> DataFrame:
     return contents.select("source_id", "page_number", line.alias("summary"))
 
 
-def document_stats(pages: DataFrame, contents: DataFrame | None = None) -> DataFrame:
-    """One row per source: pages, tables, figures, placeholders, integrations, rate.
+def document_totals(pages: DataFrame, signature_blocks: str | None = None) -> DataFrame:
+    """One row per source: totals of pages, tables, figures, placeholders and integrations, and the markdown.
 
-    ``pages`` holds every page. Skipped pages carry no content, so both kinds
-    go through one aggregate.
+    ``pages`` holds every page and is aggregated once; a page that is not
+    parsed counts as skipped and gives no content.
     """
-    contents = page_contents(pages) if contents is None else contents
-    done = contents.select(
-        "source_id",
-        F.lit(0).alias("page"),
-        F.lit(1).alias("processed"),
-        F.size("table_mapping").alias("tables"),
-        F.size("figure_mapping").alias("figures"),
-        (placeholder_count(F.col("text_content"), "TABLE")
-         + placeholder_count(F.col("text_content"), "FIGURE")).alias("placeholders"),
-        (F.col("integrated_content") != "").cast("int").alias("integrated"),
-    )
-    seen = pages.select(
-        "source_id", F.lit(1).alias("page"),
-        *[F.lit(0).alias(c) for c in ("processed", "tables", "figures", "placeholders", "integrated")],
+    parsed = _is_parsed(pages)
+
+    def total(amount):
+        return F.coalesce(F.sum(F.when(parsed, amount)), F.lit(0).cast("bigint"))
+
+    placeholders = sum(placeholder_count(F.col("text_content"), kind) for kind in ("TABLE", "FIGURE"))
+    sums = _with_contents(pages, signature_blocks).groupBy("source_id").agg(
+        F.count("*").alias("total_pages"),
+        F.count_if(parsed).alias("processed_pages"),
+        F.count_if(~parsed).alias("skipped_pages"),
+        total(F.size("table_mapping")).alias("total_tables"),
+        total(F.size("figure_mapping")).alias("total_figures"),
+        total(placeholders).alias("total_placeholders"),
+        total((F.col("integrated_content") != "").cast("int")).alias("successful_integrations"),
+        _markdown(F.when(parsed, _piece())).alias("final_markdown"),
     )
-    sums = done.unionByName(seen).groupBy("source_id").agg(
-        F.sum("page").alias("total_pages"),
-        F.sum("processed").alias("processed_pages"),
-        (F.sum("page") - F.sum("processed")).alias("skipped_pages"),
-        F.sum("tables").alias("total_tables"),
-        F.sum("figures").alias("total_figures"),
-        F.sum("placeholders").alias("total_placeholders"),
-        F.sum("integrated").alias("successful_integrations"),
-    )
-    rate = F.when(F.col("total_pages") > 0, F.col("processed_pages") / F.col("total_pages") * 100)
-    return sums.withColumn("success_rate", F.coalesce(rate, F.lit(0.0)))
+    return sums.withColumn("success_rate", F.col("processed_pages") / F.col("total_pages") * 100)
+
+
+def document_stats(pages: DataFrame) -> DataFrame:
+    """One row per source: pages, tables, figures, placeholders, integrations, rate."""
+    return document_totals(pages).drop("final_markdown")
 
 
 def build_documents(
     pages: DataFrame, signature_blocks: str | None = None, failed: DataFrame | None = None
 ) -> DataFrame:
-    """Markdown parts and page totals per source.
+    """Markdown and page totals, one row per source of any length.
 
     ``failed(source_id, error)`` lists sources that could not be read at all;
     each gives a row with no pages and the message as its text.
     """
-    contents = page_contents(pages, signature_blocks)
-    stats = document_stats(pages, contents).select(
-        "source_id", "total_pages", "processed_pages", "skipped_pages", "success_rate"
-    )
-    parts = combine_pages(contents)
-    out = stats.join(parts, "source_id", "left").select(
-        *stats.columns,
-        F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
-        F.coalesce("markdown", F.lit("")).alias("final_markdown"),
+    out = document_totals(pages, signature_blocks).select(
+        "source_id", "total_pages", "processed_pages", "skipped_pages", "success_rate", "final_markdown"
     )
     if failed is None:
         return out
@@ -340,7 +333,6 @@ def build_documents(
         "source_id",
         *[zero.alias(c) for c in ("total_pages", "processed_pages", "skipped_pages")],
         F.lit(0.0).alias("success_rate"),
-        zero.alias("part"),
         F.concat(F.lit("Processing failed: "), "error").alias("final_markdown"),
     )
     return out.unionByName(lost)

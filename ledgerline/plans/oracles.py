@@ -529,8 +529,8 @@ SELECT source_id, page_number, CASE WHEN len(et) + len(ef) = 0 THEN 0.0
   CASE WHEN has_tables THEN 'TABLE_1|TABLE_2' ELSE '' END AS available_tables,
   CASE WHEN has_figures THEN 'FIGURE_1' ELSE '' END AS available_figures FROM x""",
     "combine_pages": f"""WITH {DOC}, p AS (SELECT *, coalesce(nullif(integrated_content, ''), text_content) AS piece FROM done)
-SELECT source_id, CAST((page_number - 1) // 500 AS BIGINT) AS part, {strip("regexp_replace(string_agg(piece, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page_number), '\\n{3,}', chr(10) || chr(10), 'g')")} AS markdown
-FROM p WHERE piece IS NOT NULL GROUP BY 1, 2""",
+SELECT source_id, {strip("regexp_replace(string_agg(piece, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page_number), '\\n{3,}', chr(10) || chr(10), 'g')")} AS markdown
+FROM p WHERE piece IS NOT NULL GROUP BY 1""",
     "page_summary": f"""WITH {DOC}, x AS (SELECT source_id, page_number, concat_ws(', ', CASE WHEN has_text THEN 'text' END,
     CASE WHEN has_tables THEN '2 table(s)' END, CASE WHEN has_figures THEN '1 figure(s)' END,
     CASE WHEN has_signatures THEN 'signatures (placeholder mode)' END) AS s FROM done)
@@ -609,11 +609,11 @@ FROM events ORDER BY 2 DESC, event_id DESC LIMIT 5""",
 
 # Documents as parts with their page totals.
 ORACLES["document_result"] = f"""WITH {DOC}, p AS (SELECT *, coalesce(nullif(integrated_content, ''), text_content) AS piece FROM done),
-m AS (SELECT source_id, (page_number - 1) // 500 AS part, {strip("regexp_replace(string_agg(piece, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page_number), '\\n{3,}', chr(10) || chr(10), 'g')")} AS markdown
-  FROM p WHERE piece IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT source_id, {strip("regexp_replace(string_agg(piece, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page_number), '\\n{3,}', chr(10) || chr(10), 'g')")} AS markdown
+  FROM p WHERE piece IS NOT NULL GROUP BY 1),
 a AS (SELECT source_id, count(*) AS total_pages, count_if(should_parse) AS processed_pages,
   count_if(NOT should_parse) AS skipped_pages, count_if(should_parse) / count(*) * 100 AS success_rate FROM pg GROUP BY 1)
-SELECT a.*, CAST(coalesce(part, 0) AS BIGINT) AS part, coalesce(markdown, '') AS final_markdown FROM a LEFT JOIN m USING (source_id)"""
+SELECT a.*, coalesce(markdown, '') AS final_markdown FROM a LEFT JOIN m USING (source_id)"""
 
 _BLOCK = """'**Signature Information**' || chr(10) || '- **Signatory:** ' || signatory_text || chr(10)
   || CASE WHEN signature_date <> '' THEN '- **Date:** ' || signature_date || chr(10) ELSE '' END

@@ -30,19 +30,23 @@ def write_records(df: DataFrame, path: str, file_format: str = "csv", mode: str
     writers[file_format](df, path, mode)
 
 
-def write_per_source(records: DataFrame, path: str, buckets_per_source: int = 1) -> None:
-    """One folder per source. A large source is spread over several tasks and files."""
-    spread = F.pmod(F.xxhash64(*records.columns), F.lit(buckets_per_source))
-    rows = records.repartition("source_id", spread) if buckets_per_source > 1 else records
-    rows.write.mode("overwrite").partitionBy("source_id").json(path)
+def write_per_source(records: DataFrame, path: str, buckets: int = 256, files_per_bucket: int = 1) -> None:
+    """JSON lines in folders ``bucket=n`` by a hash of the source, whose id stays a column.
 
+    The number of folders does not grow with the sources; ``files_per_bucket``
+    spreads the rows of a large source over as many tasks and files.
+    """
+    bucket = F.pmod(F.xxhash64("source_id"), F.lit(buckets))
+    spread = F.pmod(F.xxhash64(*records.columns), F.lit(files_per_bucket))
+    rows = records.withColumn("bucket", bucket).repartition("bucket", spread)
+    rows.write.mode("overwrite").partitionBy("bucket").json(path)
 
-def write_markdown(documents: DataFrame, path: str, text: str = "final_markdown") -> None:
-    """Text files per source and part; a document without content gets a note."""
+
+def write_markdown(documents: DataFrame, path: str, text: str = "final_markdown", buckets: int = 256) -> None:
+    """Documents as (source_id, text) in buckets; one without content gets a note."""
     note = "No content was extracted from the document."
     body = F.when(F.col(text) == "", note).otherwise(F.col(text))
-    rows = documents.select("source_id", "part", body.alias("value"))
-    rows.write.mode("overwrite").partitionBy("source_id", "part").text(path)
+    write_per_source(documents.select("source_id", body.alias(text)), path, buckets)
 
 
 def write_links(links: DataFrame, path: str, jurisdiction: str, generated: str, url: str = "url") -> None:

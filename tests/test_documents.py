@@ -97,15 +97,18 @@ def test_a_page_error_counts_as_skipped(spark):
 def test_a_source_without_content_still_has_a_row(spark):
     rows = page_rows(spark, 2).filter("page_number = 2")
     out = d.build_documents(rows).first()
-    assert (out.processed_pages, out.final_markdown, out.part) == (0, "", 0)
-
-
-def test_long_source_comes_in_parts_that_join_to_the_whole(spark):
-    contents = d.page_contents(page_rows(spark, 25))
-    whole = d.combine_pages(contents).collect()
-    parts = d.combine_pages(contents, pages_per_part=4).orderBy("part").collect()
-    assert len(whole) == 1 and len(parts) == 7
-    assert d.PAGE_RULE.join(p.markdown for p in parts) == whole[0].markdown
+    assert (out.processed_pages, out.final_markdown) == (0, "")
+
+
+def test_a_long_source_is_one_document(spark):
+    """Over a thousand pages, delivered in any order, and pages numbered from 0."""
+    out = d.build_documents(page_rows(spark, 1200).orderBy(F.desc("page_number"))).collect()
+    assert [(r.total_pages, r.processed_pages, r.skipped_pages) for r in out] == [(1200, 1199, 1)]
+    assert out[0].final_markdown == d.PAGE_RULE.join(
+        f"page {n} \n\n## Table 1\n\nt" for n in range(1, 1201) if n != 2)
+    from_zero = page_rows(spark, 4).withColumn("page_number", F.col("page_number") - 1)
+    assert [r.total_pages for r in d.build_documents(from_zero).collect()] == [4]
+    assert d.combine_pages(d.page_contents(from_zero)).count() == 1
 
 
 def test_check_summary_and_limits(spark):

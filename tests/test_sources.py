@@ -92,12 +92,15 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_other_sinks(spark, tmp_path):
     records = spark.createDataFrame([("s1", "Yes"), ("s1", "No"), ("s2", "Yes")], "source_id string, Signature string")
-    sinks.write_per_source(records, str(tmp_path / "per"), buckets_per_source=2)
-    assert spark.read.json(str(tmp_path / "per")).groupBy("source_id").count().count() == 2
-    docs = spark.createDataFrame([("s1", 0, "# A\n\nb"), ("s2", 0, "")], "source_id string, part bigint, final_markdown string")
+    sinks.write_per_source(records, str(tmp_path / "per"), buckets=2, files_per_bucket=2)
+    back = spark.read.json(str(tmp_path / "per"))
+    assert sorted(map(tuple, back.select(*records.columns).collect())) == [("s1", "No"), ("s1", "Yes"), ("s2", "Yes")]
+    assert back.groupBy("source_id").agg(F.count_distinct("bucket").alias("n")).filter("n > 1").isEmpty()
+    docs = spark.createDataFrame([("s1", "# A\n\nb"), ("s2", "")], "source_id string, final_markdown string")
     sinks.write_markdown(docs, str(tmp_path / "md"))
-    text = spark.read.text(str(tmp_path / "md"), wholetext=True)
-    assert sorted(r.value.strip() for r in text.collect()) == ["# A\n\nb", "No content was extracted from the document."]
+    text = spark.read.json(str(tmp_path / "md"))
+    assert {r.source_id: r.final_markdown for r in text.collect()} == {
+        "s1": "# A\n\nb", "s2": "No content was extracted from the document."}
     links = spark.createDataFrame([("https://a",), ("https://b",)], "url string")
     sinks.write_links(links, str(tmp_path / "links"), "ca", "2025-01-01 00:00:00")
     assert spark.read.text(str(tmp_path / "links" / "links")).count() == 2
