@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.names import match_key
 from .selection import keep_first, total_order
 
-# Rows without a key are spread over this many join partitions.
-NULL_KEY_SPREAD = 4096
-# Registry rows of one key that a join task may hold; beyond it the key is split.
-ROWS_PER_SPLIT = 1_000_000
-
 
 def _renamed(right: DataFrame, right_key: str, taken: list[str], suffix: str) -> DataFrame:
     """Registry with its key as ``_rkey`` and colliding names suffixed."""
@@ -24,17 +19,6 @@ def _renamed(right: DataFrame, right_key: str, taken: list[str], suffix: str) ->
     return right.select(*[F.col(c).alias(name(c)) for c in right.columns])
 
 
-def hot_keys(registry: DataFrame, key: str, rows_per_split: int) -> list[tuple]:
-    """Keys with more rows than one task should hold, and the pieces to cut them into.
-
-    A partial count per key; at most (registry rows / rows_per_split) keys pass
-    the filter, and only those reach the driver.
-    """
-    counts = registry.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_split)
-    pieces = F.ceil(F.col("_n") / rows_per_split).cast("int")
-    return [tuple(r) for r in counts.select(key, pieces).collect()]
-
-
 def registry_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,47 +26,28 @@ def registry_join(
     right_key: str,
     suffix: str,
     unique_right: bool = False,
-    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Left join to a registry; registry columns that collide get a suffix.
 
-    Skew is met on three sides. A missing key matches nothing, yet all such
-    rows would hash to one partition, so a second join column spreads them. A
-    key with many registry rows is cut into pieces by row hash, and the left
-    rows with that key are repeated once per piece; as a left join cannot split
-    its right side, the adaptive skew join would not do this. A key with many
-    left rows is what that join does split. ``unique_right`` promises one
-    registry row per key, which saves the look for such keys.
+    Rows without a key match nothing and bypass the join, so they never gather
+    in one partition. The others meet the registry in an inner join, of which
+    the adaptive skew join splits a hot key on either side (of a left join only
+    on the left); those without a match come from an anti join on the keys.
+    ``unique_right`` promises one registry row per key; then only the left side
+    can be hot, and one left join does.
     """
     registry = _renamed(right.filter(F.col(right_key).isNotNull()), right_key, left.columns, suffix)
-    hot = [] if unique_right else hot_keys(registry, "_rkey", rows_per_split)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
-    missing = F.col(left_key).isNull()
-    if not hot:
-        sided = left.withColumn("_lpart", F.when(missing, spread).otherwise(0))
-        joined = _on_parts(sided, registry.withColumn("_rpart", F.lit(0)), left_key)
+    keyed, same = left.filter(F.col(left_key).isNotNull()), F.col(left_key) == F.col("_rkey")
+    lost = left.filter(F.col(left_key).isNull())
+    if unique_right:
+        joined = keyed.join(registry, same, "left")
     else:
-        kind = registry.schema["_rkey"].dataType.simpleString()
-        split = F.broadcast(left.sparkSession.createDataFrame(hot, f"_hot {kind}, _pieces int"))
-        part = (
-            F.when(missing, F.array(spread))
-            .when(F.col("_pieces").isNotNull(), F.sequence(F.lit(0), F.col("_pieces") - 1))
-            .otherwise(F.array(F.lit(0)))
-        )
-        sided = left.join(split, F.col(left_key) == F.col("_hot"), "left").withColumn("_lpart", F.explode(part))
-        piece = F.pmod(F.xxhash64(*registry.columns), F.coalesce("_pieces", F.lit(1))).cast("int")
-        parted = registry.join(split, F.col("_rkey") == F.col("_hot"), "left").withColumn("_rpart", piece)
-        joined = _on_parts(sided.drop("_hot"), parted.drop("_hot", "_pieces"), left_key)
-        # A split key is in the registry, so a piece without a match is no result.
-        joined = joined.filter(F.col("_pieces").isNull() | F.col("_rkey").isNotNull()).drop("_pieces")
+        joined = keyed.join(registry, same)
+        lost = lost.unionByName(keyed.join(registry.select("_rkey"), same, "left_anti"))
+    joined = joined.unionByName(lost, allowMissingColumns=True)
     return joined.drop("_rkey") if left_key == right_key else joined.withColumnRenamed("_rkey", right_key)
 
 
-def _on_parts(left: DataFrame, registry: DataFrame, left_key: str) -> DataFrame:
-    same = (F.col(left_key) == F.col("_rkey")) & (F.col("_lpart") == F.col("_rpart"))
-    return left.join(registry, same, "left").drop("_lpart", "_rpart")
-
-
 def first_registry_rows(registry: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """One registry row per key value."""
     keyed = registry.withColumn("_match", key).filter(F.col("_match").isNotNull())
@@ -92,7 +57,7 @@ def first_registry_rows(registry: DataFrame, key: Column, order: list[Column]) -
 def one_row_per_parent(
     statements: DataFrame,
     registry: DataFrame,
-    fuzzy: bool,
+    fuzzy: bool | Column,
     suffix: str = "_biz",
     keep_null_keys: bool = False,
     tiebreak: list[str] | None = None,
@@ -102,21 +67,25 @@ def one_row_per_parent(
     Only the first (organization, idx) pair of a parent survives, so each side
     is cut to its first row per key before the join: no key multiplies. All
     statements without a parent count as one parent unless ``keep_null_keys``.
+    ``fuzzy`` may be a column of one value, such as a scalar subquery.
+    ``parent_company_match_key`` holds the parent's name key either way.
     """
     order = [F.col("organization"), *total_order(statements, tiebreak)]
     parents = keep_first(statements, ["parent_company"], order)
     if keep_null_keys:
         orphans = statements.filter("parent_company is null")
         parents = parents.filter("parent_company is not null").unionByName(orphans)
-    key = match_key if fuzzy else (lambda c: c)
+    chosen = fuzzy if isinstance(fuzzy, Column) else F.lit(fuzzy)
+
+    def key(c):
+        return F.when(chosen, match_key(c)).otherwise(c)
+
     named = first_registry_rows(
         registry, key(F.col("business_name")), [F.col("idx"), *total_order(registry, tiebreak and ["idx"])]
     )
-    parents = parents.withColumn("_key", key(F.col("parent_company")))
-    joined = registry_join(parents, named, "_key", "_match", suffix, unique_right=True)
-    if fuzzy:
-        return joined.withColumnRenamed("_key", "parent_company_match_key").drop("_match")
-    return joined.drop("_key", "_match")
+    parent = F.col("parent_company")
+    parents = parents.withColumns({"parent_company_match_key": match_key(parent), "_key": key(parent)})
+    return registry_join(parents, named, "_key", "_match", suffix, unique_right=True).drop("_key", "_match")
 
 
 def matched_parents(statements: DataFrame, registry: DataFrame) -> DataFrame:
@@ -134,24 +103,27 @@ def matched_parents(statements: DataFrame, registry: DataFrame) -> DataFrame:
 def best_parent_join(statements: DataFrame, registry: DataFrame, **options) -> DataFrame:
     """Match by name key only when that finds strictly more parents.
 
-    The choice takes one aggregate of one row, read before the plan of the
-    chosen join is built.
+    The choice is a scalar subquery of one row, part of the same lazy plan.
     """
-    direct, fuzzy = matched_parents(statements, registry).first()
-    return one_row_per_parent(statements, registry, fuzzy > direct, **options)
+    fuzzy = matched_parents(statements, registry).select(F.col("fuzzy") > F.col("direct")).scalar()
+    return one_row_per_parent(statements, registry, fuzzy, **options)
 
 
-def join_stats(joined: DataFrame, match: str, row_id: str) -> DataFrame:
-    """Totals of a left join: joined rows, matched source rows, and the rate.
+def join_stats(left: DataFrame, right: DataFrame, left_key: str, right_key: str, match: str) -> DataFrame:
+    """Totals of a left join, without joining rows: joined rows, matched source rows, and the rate.
 
+    Both sides are cut to (key, rows) first, so nothing fans out. A registry
+    row is a match when its ``match`` column has a value.
     ``successful_joins`` counts joined rows, so duplicates in the registry can
     push it past the total; ``matched_rows`` counts each source row once.
     """
-    per_row = joined.groupBy(row_id).agg(F.count(match).alias("_hits"))
-    counts = per_row.agg(
-        F.count("*").alias("total_records"),
-        F.coalesce(F.sum("_hits"), F.lit(0)).alias("successful_joins"),
-        F.count_if(F.col("_hits") > 0).alias("matched_rows"),
+    sizes = right.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias("_rkey")).agg(
+        F.count(match).alias("_rows"))
+    keys = left.groupBy(F.col(left_key).alias("_lkey")).agg(F.count("*").alias("_n"))
+    counts = keys.join(sizes, F.col("_lkey") == F.col("_rkey"), "left").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum(F.col("_n") * F.col("_rows")), F.lit(0)).alias("successful_joins"),
+        F.coalesce(F.sum(F.when(F.col("_rows") > 0, F.col("_n"))), F.lit(0)).alias("matched_rows"),
     )
     rate = F.when(F.col("total_records") > 0, F.col("matched_rows") / F.col("total_records") * 100)
     return counts.withColumns({

@@ -42,7 +42,10 @@ def au_entities(statements: DataFrame, tiebreak: list[str] | None = None) -> Dat
     )
 
 
-def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+def au_join_sides(
+    statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Entities and companies, each with its key in ``ABN``."""
     entities = au_entities(statements, tiebreak).withColumns({
         "abn": blank_to_null(F.col("abn")),
         "entity_name_normalized": F.upper(strip(F.col("reporting_entities"))),
@@ -52,6 +55,11 @@ def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str]
         "ABN": blank_to_null(F.col("ABN")),
         "company_name_normalized": F.upper(strip(F.col("Company_Name"))),
     })
+    return entities, companies
+
+
+def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+    entities, companies = au_join_sides(statements, registry, tiebreak)
     joined = registry_join(entities, companies, "ABN", "ABN", "_asic")
     return key_first(joined.withColumn("join_method", F.lit("ABN")), "ABN")
 

@@ -265,11 +265,9 @@ def ca_fuzzy_join(spark, folder):
 
 @query
 def join_stats(spark, folder):
-    return joins.join_stats(
-        profiles.au_profiles(
-            load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), SEQ
-        ).withColumn("row_id", F.struct("statement_seq", "entity_index_in_group")),
-        "Company_Name", "row_id")
+    entities, companies = profiles.au_join_sides(
+        load(spark, folder, "au_statements"), load(spark, folder, "au_registry"), SEQ)
+    return joins.join_stats(entities, companies, "ABN", "ABN", "Company_Name")
 
 
 @query

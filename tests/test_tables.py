@@ -98,7 +98,7 @@ def test_registry_join_fans_out_and_never_matches_null(spark):
     assert joined.columns == ["seq", "abn", "name", "seq_r"]
     assert rows(joined, "seq", "name") == [(1, "33", "a", 9), (1, "33", "b", 8), (2, None, None, None),
                                           (3, "44", None, None)]
-    stats = joins.join_stats(joined, "name", "seq").first()
+    stats = joins.join_stats(left, right, "abn", "abn", "name").first()
     assert tuple(stats)[:4] == (3, 2, 1, 2) and stats.join_rate == pytest.approx(100 / 3)
 
 
@@ -113,7 +113,11 @@ def test_parent_join_keeps_one_row_per_parent(spark):
         ("Acme Inc.", "o1", 1), (None, "o3", None), ("Zed", "o5", 3)]
     assert joins.one_row_per_parent(statements, registry, True, keep_null_keys=True).count() == 4
     assert tuple(joins.matched_parents(statements, registry).first()) == (1, 2)
-    assert "parent_company_match_key" in joins.best_parent_join(statements, registry).columns
+    best = joins.best_parent_join(statements, registry).select("parent_company", "business_name", "parent_company_match_key")
+    assert rows(best.drop("parent_company_match_key"), "parent_company") == [(None, None), ("Acme Inc.", "ACME"), ("Zed", "Zed")]
+    exact = joins.best_parent_join(statements, registry.filter("business_name = 'Zed'"))
+    assert rows(exact.select("parent_company", "idx"), "parent_company") == [(None, None), ("Acme Inc.", None), ("Zed", 3)]
+    assert exact.columns == joins.best_parent_join(statements, registry).columns
 
 
 def test_standard_names(spark):
@@ -163,16 +167,20 @@ def test_distinct_first_seen(spark):
     assert rows(selection.distinct_first_seen(df, "u", ["n"])) == [("b", 0), ("a", 1)]
 
 
-def test_registry_join_splits_a_hot_registry_key(spark):
-    """Same rows as a plain left join, with one key cut into pieces and many null keys."""
+def test_registry_join_of_a_key_hot_on_both_sides(spark):
+    """Same rows as a plain left join, also for rows without a key or match; planning runs no job."""
     left = spark.createDataFrame(
         [(i, None if i % 3 == 0 else "hot" if i % 3 == 1 else str(i)) for i in range(60)], "seq int, k string")
     right = spark.createDataFrame(
         [("hot", i) for i in range(50)] + [(str(i), i) for i in range(0, 60, 2)] + [(None, 1)], "k string, n int")
     plain = left.join(right, "k", "left").select("seq", "k", "n")
-    for size in (7, 49, 1000):
-        made = joins.registry_join(left, right, "k", "k", "_r", rows_per_split=size).select("seq", "k", "n")
-        assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+    spark.sparkContext.setJobGroup("planning", "")
+    made = joins.registry_join(left, right, "k", "k", "_r").select("seq", "k", "n")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+    first = right.filter("k is not null").dropDuplicates(["k"]).withColumn("n", F.lit(1))
+    made = joins.registry_join(left, first, "k", "k", "_r", unique_right=True).select("seq", "k", "n")
+    assert sorted(map(str, made.collect())) == sorted(map(str, left.join(first, "k", "left").select("seq", "k", "n").collect()))
 
 
 def test_a_hot_current_name_key(spark):
