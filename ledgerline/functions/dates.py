@@ -17,7 +17,8 @@ DATE_FORMATS = [
 # Further spellings met in free-form dates, tried after DATE_FORMATS.
 FREE_FORMATS = [
     "MMMM d yyyy", "MMM d, yyyy", "MMM d yyyy", "d MMM yyyy", "d-MMM-yyyy",
-    "d MMMM, yyyy", "d.M.yyyy", "yyyyMMdd",
+    "d MMMM, yyyy", "d.M.yyyy", "yyyy.M.d", "yyyyMMdd",
+    "M/d/yy", "d/M/yy", "M-d-yy", "d-M-yy", "d MMM yy", "d MMMM yy", "MMM d, yy", "MMMM d, yy",
 ]
 
 
@@ -52,10 +53,17 @@ def normalize_date(raw: Column, has_date: Column) -> Column:
 
 
 def normalize_free_date(raw: Column) -> Column:
-    """As ``normalize_date`` for dates written freely, ordinals included."""
+    """As ``normalize_date`` for dates written freely: ordinals, ``3rd of May``, ``Sept``, times of day.
+
+    Two-digit years are 2000 to 2099. A month without a day names no date and
+    stays as it was written.
+    """
     text = squeeze(F.btrim(raw))
     text = F.regexp_replace(text, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1")
     text = F.regexp_replace(text, r"(?i)^(mon|tues?|wed(nes)?|thur?s?|fri|sat(ur)?|sun)(day)?,? ", "")
+    text = F.regexp_replace(text, r"(?i)^(\d{1,2}) of ", "$1 ")
+    text = F.regexp_replace(text, r"(?i)\bsept\b\.?", "Sep")
+    text = F.regexp_replace(text, r"^(\d{4}-\d{1,2}-\d{1,2})[T ]\d{1,2}:\d{2}.*$", "$1")
     # Day first only where the month-first reading is impossible.
     formats = ["yyyy-M-d"] + [f for f in DATE_FORMATS if f != "yyyy-M-d"] + FREE_FORMATS
     found = bound(text, lambda t: F.coalesce(*_as_iso(t, formats), raw))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD, any_of, bound, non_blank
-from .selection import keep_first
 
 # Words around signatures, words that hint at a role, and how a
 # name and a role line look.
@@ -125,7 +124,7 @@ def _candidates(all_lines: Column) -> Column:
 
 
 def _hits(all_lines: Column) -> Column:
-    """array<struct<line_no, name, role, context>> of the lines that name someone."""
+    """array<struct<line_no, name, role, context>> of the lines that name someone, each (name, role) once."""
 
     def hit(e):
         own = F.array(e["line"])
@@ -142,7 +141,16 @@ def _hits(all_lines: Column) -> Column:
         near = (non_blank(h["name"]) | non_blank(h["role"])) & ~h["label_only"]
         return F.when(h["signed"], near).otherwise(h["name"].isNotNull() | h["role"].isNotNull())
 
-    return F.filter(F.transform(_candidates(all_lines), hit), useful)
+    def first_of_each(found):
+        def signer(h):
+            return F.struct(h["name"], h["role"])
+
+        return bound(
+            F.transform(found, signer),
+            lambda all_signers: F.filter(found, lambda h, i: F.array_position(all_signers, signer(h)) == i + 1),
+        )
+
+    return bound(F.filter(F.transform(_candidates(all_lines), hit), useful), first_of_each)
 
 
 def _found(pages: DataFrame, keys: list[str], text: str, outer: bool) -> DataFrame:
@@ -152,9 +160,7 @@ def _found(pages: DataFrame, keys: list[str], text: str, outer: bool) -> DataFra
         *keys, F.length(text).cast("bigint").alias("raw_text_len"), wanted.alias("_lines")
     )
     explode = F.inline_outer if outer else F.inline
-    rows = listed.select(*keys, "raw_text_len", explode(_hits(F.col("_lines"))))
-    first = keep_first(rows, [*keys, "name", "role"], [F.col("line_no")])
-    return first.drop("signed", "label_only")
+    return listed.select(*keys, "raw_text_len", explode(_hits(F.col("_lines")))).drop("signed", "label_only")
 
 
 def signer_hits(pages: DataFrame, keys: list[str], text: str = "text", source: str = "pdf_text") -> DataFrame:

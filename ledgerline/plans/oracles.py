@@ -203,6 +203,8 @@ def register_fields() -> str:
            "HeadquarteredCountries": "headquartered_countries", "ReportingEntities": "reporting_entities",
            "ABN": "abn", "Link": "statement_url"}
     fields = ", ".join(f"{blank_null(f'CAST({o} AS VARCHAR)')} AS {n}" for o, n in old.items())
+    absent = ("annual_revenue", "included_entities", "acn", "arbn", "industry_sectors", "related_statements")
+    fields += "".join(f", CAST(NULL AS VARCHAR) AS {n}" for n in absent)
     return f"SELECT {fields} FROM {src('register')}"
 
 

@@ -18,10 +18,13 @@ REGISTER_FIELDS = {
 
 
 def register_records(rows: DataFrame, country: str | None = None) -> DataFrame:
-    """Rows of the register download as records; blanks become null."""
+    """Rows of the register download as records of always the same fields.
+
+    Blanks become null, and so do fields whose column the download lacks.
+    """
     fields = [
-        blank_to_null(F.col(old).cast("string")).alias(new)
-        for old, new in REGISTER_FIELDS.items() if old in rows.columns
+        (blank_to_null(F.col(old).cast("string")) if old in rows.columns else F.lit(None).cast("string")).alias(new)
+        for old, new in REGISTER_FIELDS.items()
     ]
     return rows.select(
         *fields,

@@ -49,6 +49,10 @@ def test_normalized_dates(values):
         "2024-03-15x", "2024-03-04", "2024-12-25", "2024-01-05", "2024-03-05", "2024-03-05", "soon", "", "",
         "2024-01-02"]
     assert values(["2024-03-15"], lambda c: dates.normalize_date(c, F.lit(False))) == [""]
+    more = ["5/3/24", "03 May 24", "May 3, 2024", "2024-05-03T10:00:00", "2024-05-03 10:00", "3rd of May 2024", "2024.05.03"]
+    assert values(more, dates.normalize_free_date) == ["2024-05-03"] * 7
+    odd = ["Sept 3, 2024", "25/12/24", "May 2024", "2024-05-03Tx"]
+    assert values(odd, dates.normalize_free_date) == ["2024-09-03", "2024-12-25", "May 2024", "2024-05-03Tx"]
     free = ["3 May 2024", "May 3rd, 2024", "Fri, 3 May 2024", "3-May-2024", "20240503", "someday", ""]
     assert values(free, dates.normalize_free_date) == ["2024-05-03"] * 5 + ["someday", ""]
 

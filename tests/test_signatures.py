@@ -16,14 +16,14 @@ SIGNATURE_1:
 - signature_block_format: formal
 """
 EXTRACTION = """SIGNATORY_TEXT_1:
-John Smith
-Chief Executive Officer
+Oona Vell
+Harbour Master
 
 DATE_INFORMATION:
 DATE_1:
-- raw_date_text: 15 March 2024
+- raw_date_text: 7 July 2021
 - associated_signature: 1
-- standardized_date: 2024-03-15
+- standardized_date: 2021-07-07
 """
 
 
@@ -45,9 +45,9 @@ def test_detection_keys_win_over_blocks(values):
 
 def test_extraction(values):
     found = values([EXTRACTION, "no sections", None], s.parse_extraction)
-    assert found[0].signatory_texts == ["John Smith\nChief Executive Officer"]
+    assert found[0].signatory_texts == ["Oona Vell\nHarbour Master"]
     # The section title is the first, empty, date entry.
-    assert [d.raw_date_text for d in found[0].dates] == ["", "15 March 2024"] and found[0].has_date
+    assert [d.raw_date_text for d in found[0].dates] == ["", "7 July 2021"] and found[0].has_date
     assert (found[1].signatory_texts, found[1].dates, found[1].has_date) == ([], [], False)
 
 
@@ -58,11 +58,11 @@ def pages(spark, *rows):
 def test_page_record(spark):
     made = s.signature_pages(pages(spark, ("a", 6, DETECTION, EXTRACTION), ("a", 7, "has_signatures: false", "")))
     row = made.collect()[0]
-    assert made.count() == 1 and row.signatory_text == "John Smith\nChief Executive Officer"
+    assert made.count() == 1 and row.signatory_text == "Oona Vell\nHarbour Master"
     assert (row.is_image_signature, row.has_date, row.signature_date) == (False, False, "")
     plain = EXTRACTION.replace("DATE_INFORMATION:\n", "")
     dated = s.output_records(s.signature_pages(pages(spark, ("a", 6, DETECTION, plain)), numbered_only=True)).first()
-    assert (dated.Presence_Signature_date, dated.Signature_Date, dated.Signature_Image) == ("Yes", "2024-03-15", "Yes")
+    assert (dated.Presence_Signature_date, dated.Signature_Date, dated.Signature_Image) == ("Yes", "2021-07-07", "Yes")
 
 
 def test_published_record(spark):
