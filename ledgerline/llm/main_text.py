@@ -13,6 +13,8 @@ from ledgerline.llm.page_tokens import MAIN, blocks
 from ledgerline.llm.tables import cut
 
 IN_MAIN = rf"(^|/)({'|'.join(MAIN)})(\.[^/]*)?(/|$)"
+# text that a template repeats where other text varies counts as the template's from so many words on
+WORDS = 4
 HOLDER = r"(^|/)(article|main|section|div|td|body)(\.[^/]*)?$"
 
 
@@ -46,16 +48,18 @@ def templates(parsed: DataFrame) -> DataFrame:
     (pages, occurrences, hashed pages times occurrences), so equal vectors are found without holding one. Tokens of equal vectors are a
     class; a class is valid when several tokens share it and at least half of the pages have it. Valid classes nest by
     their paths. The slots are the text blocks whose own token is in no valid class; the holder is the innermost template element around
-    nearly all slot text, where an article or main element counts before others. Every page counts, and
+    nearly all slot text, where an article or main element counts before others. Repeated text is that of valid classes on paths
+    without slots; on the path of a slot it has to be WORDS words on nearly all pages. Every page counts, and
     a host is only ever sums, however many pages it has.
     """
-    tags = parsed.select("row", "host", F.explode("tags").alias("t")).select("row", "host", "t.path", F.lit(0).cast("long").alias("text"), "t.n", F.lit(0).alias("chars"), F.lit(False).alias("aside"))
+    tags = parsed.select("row", "host", F.explode("tags").alias("t")).select("row", "host", "t.path", F.lit(0).cast("long").alias("text"), "t.n", F.lit(0).alias("chars"), F.lit(0).alias("words"), F.lit(False).alias("aside"))
     texts = parsed.select("row", "host", F.explode("blocks").alias("b")).select(
-        "row", "host", "b.path", F.xxhash64("b.text").alias("text"), F.lit(1).cast("long").alias("n"), F.length("b.text").alias("chars"), "b.aside")
-    texts = texts.groupBy("row", "host", "path", "text").agg(F.sum("n").alias("n"), F.first("chars").alias("chars"), F.min("aside").alias("aside"))
+        "row", "host", "b.path", F.xxhash64("b.text").alias("text"), F.lit(1).cast("long").alias("n"), F.length("b.text").alias("chars"),
+        F.size(F.split("b.text", " ")).alias("words"), "b.aside")
+    texts = texts.groupBy("row", "host", "path", "text").agg(F.sum("n").alias("n"), F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
     vectors = cut(tags.union(texts).groupBy("host", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.expr("bit_xor(xxhash64(row, n))").alias("vector"),
-        F.first("chars").alias("chars"), F.min("aside").alias("aside")))
+        F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside")))
     hosts = parsed.groupBy("host").agg(F.count("*").alias("all_pages"))
     classes = vectors.groupBy("host", "pages", "n", "vector").agg(F.count("*").alias("members")).join(hosts, "host").where(
         "pages >= 2 AND members >= 2 AND 2 * pages >= all_pages").select("host", "pages", "n", "vector")
@@ -68,7 +72,9 @@ def templates(parsed: DataFrame) -> DataFrame:
     whole = slots.groupBy("host").agg(F.sum("chars").alias("all_chars"))
     best = (inside.join(whole, "host").where("10 * chars >= 9 * all_chars")
             .groupBy("host").agg(F.max_by("holder", F.struct(F.col("holder").rlike(IN_MAIN), F.length("holder"), "holder")).alias("holder")))
-    repeated = (template.where((F.col("text") != 0) & ~F.col("aside") & (F.col("pages") >= 3) & ~F.col("path").rlike(IN_MAIN))
+    varied = slots.select("host", "path", F.lit(True).alias("varies"))
+    repeated = (template.where((F.col("text") != 0) & ~F.col("aside") & (F.col("pages") >= 3)).join(hosts, "host").join(varied, ["host", "path"], "left")
+                .where(f"varies IS NULL OR words >= {WORDS} AND 10 * pages >= 9 * all_pages")
                 .groupBy("host").agg(F.array_sort(F.collect_set(F.xxhash64("path", "text"))).alias("repeated")))
     return hosts.select("host").join(best, "host", "left").join(repeated, "host", "left")
 
@@ -76,18 +82,22 @@ def templates(parsed: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row: the blocks of main text joined by one space.
 
-    A page with an article or main element gives the text in it; another the text in its host's holder, or all text
-    where it has none there, without what the host's template repeats. Menus, headers, footers, sidebars, forms and elements marked as
-    adverts, notices or comments never count, nor does markup. Nothing inside an article or a holder is dropped for being repeated. Null and
+    A page gives the text in its host's holder without what the host's template repeats, unless that is most of it, as in a copied page.
+    Only where the host gives no holder, or the page has no text there, the tags decide: the text in an article or main element,
+    or else all text that the template does not repeat, or else all text. Menus, headers, footers, sidebars, forms and elements marked as
+    adverts, notices or comments never count, nor does markup. Null and
     empty pages have an empty text; rows that repeat an id are rows of their own; a null url is a host of its own.
     """
     parsed = cut(tokens(pages))
     given = parsed.join(cut(templates(parsed)), "host", "left")
     own = F.filter("blocks", lambda b: ~b["aside"])
-    main = F.filter(own, lambda b: b["path"].rlike(IN_MAIN))
-    held = F.filter(own, lambda b: (b["path"] == F.col("holder")) | F.startswith(b["path"], F.concat("holder", F.lit("/"))))
-    fresh = F.filter(own, lambda b: ~F.array_contains(
+    main = F.filter("own", lambda b: b["path"].rlike(IN_MAIN))
+    held = F.filter("own", lambda b: (b["path"] == F.col("holder")) | F.startswith(b["path"], F.concat("holder", F.lit("/"))))
+    fresh = lambda blocks: F.filter(blocks, lambda b: ~F.array_contains(
         F.coalesce("repeated", F.array().cast("array<bigint>")), F.xxhash64(b["path"], F.xxhash64(b["text"]))))
-    chosen: Column = F.when(F.size(main) > 0, main).when(F.col("holder").isNotNull() & (F.size(held) > 0), held).otherwise(fresh)
+    chars = lambda blocks: F.aggregate(blocks, F.lit(0), lambda n, b: n + F.length(b["text"]))
+    given = given.withColumns({"own": own}).withColumns({"main": main, "held": held, "fresh": fresh("own")}).withColumn("core", fresh("held"))
+    chosen: Column = (F.when(F.size("held") > 0, F.when(2 * chars("core") >= chars("held"), F.col("core")).otherwise(F.col("held")))
+                      .when(F.size("main") > 0, F.col("main")).when(F.size("fresh") > 0, F.col("fresh")).otherwise(F.col("own")))
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
     return given.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

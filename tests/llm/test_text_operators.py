@@ -212,3 +212,17 @@ def test_main_text(spark):
     assert [t for i, t, _ in got if i < 5] == want and [t for i, t, _ in got if 10 <= i < 20] == want
     assert [t for i, t, _ in got if i >= 20] == ["", "", "a" * 200_000, "just text < bold"]
     assert main_text.extract(spark.createDataFrame([], "page_id string, url string, html string")).count() == 0
+
+
+def test_template_decides_before_tags(spark):
+    body = lambda n: " ".join(f"w{n}x{k}" for k in range(60))
+    page = "<body><div class=story><p>{}</p></div><div class=more><article>teaser {}</article></div></body>"
+    rows = [(n, f"https://a.org/{n}", page.format(body(n), n)) for n in range(6)]
+    rows += [(10 + n, f"https://b.org/{n}", f"<body><main><div class=top>Our house style</div><p>{body(n)}</p><p>Call us on any working day</p></main></body>") for n in range(6)]
+    rows += [(20 + n, f"https://c.org/{n}", f"<body><article><p>{body(0)}</p><p>copied {min(n, 1)}</p></article></body>") for n in range(6)]
+    rows += [(30, "https://d.org/", "<body><p>around</p><article>alone</article></body>")]
+    got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[n] for n in range(6)] == [body(n) for n in range(6)]
+    assert [got[10 + n] for n in range(6)] == [body(n) for n in range(6)]
+    assert [got[20 + n] for n in range(6)] == [f"{body(0)} copied {min(n, 1)}" for n in range(6)]
+    assert got[30] == "alone"
