@@ -9,17 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.page_tokens import MAIN, blocks
+from ledgerline.llm.page_tokens import MAIN, blocks, layout
 from ledgerline.llm.tables import cut
 
 IN_MAIN = rf"(^|/)({'|'.join(MAIN)})(\.[^/]*)?(/|$)"
 # text that a template repeats where other text varies counts as the template's from so many words on
 WORDS = 4
+# a layout of so many pages has a template of its own
+ALONE = 3
 HOLDER = r"(^|/)(article|main|section|div|td|body)(\.[^/]*)?$"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(row, page_id, url, host, tags, blocks): how often each path of elements opens, and the text blocks in page order."""
+    """(row, page_id, url, host, layout, tags, blocks): the number of the page's layout, how often each path of elements opens, and the text blocks in page order."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("path", pa.string()), ("n", pa.int64())])
@@ -31,36 +33,43 @@ def tokens(pages: DataFrame) -> DataFrame:
                 tags = [[{"path": p, "n": n} for p, n in Counter(t).items()] for t, _ in found]
                 texts = [[{"path": b.path, "aside": b.aside, "text": b.text} for b in own] for _, own in found]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k).slice(first, len(found)) for k in range(4)), pa.array(tags, pa.list_(kind)), pa.array(texts, pa.list_(block))],
-                    ["row", "page_id", "url", "host", "tags", "blocks"])
+                    [*(part.column(k).slice(first, len(found)) for k in range(4)), pa.array([layout(t) for t, _ in found], pa.int64()), pa.array(tags, pa.list_(kind)), pa.array(texts, pa.list_(block))],
+                    ["row", "page_id", "url", "host", "layout", "tags", "blocks"])
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
     kind = pages.schema["page_id"].dataType.simpleString()
     given = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", host.alias("host"), F.col("html").cast("string").alias("html"))
-    return given.mapInArrow(run, f"row long, page_id {kind}, url string, host string, tags array<struct<path: string, n: long>>, "
+    return given.mapInArrow(run, f"row long, page_id {kind}, url string, host string, layout long, tags array<struct<path: string, n: long>>, "
                                  "blocks array<struct<path: string, aside: boolean, text: string>>")
 
 
 def templates(parsed: DataFrame) -> DataFrame:
-    """(host, holder, repeated): where a host's pages hold their main text, and hashes of text that its template repeats.
+    """(host, layout, holder, repeated): where a host's pages of a layout hold their main text, and hashes of text that its template repeats.
 
-    Tokens are tags with their path and text blocks with theirs. Their occurrence vector over the host's pages is kept as sums
+    Tokens are tags with their path and text blocks with theirs. Their occurrence vector over the pages is kept as sums
     (pages, occurrences, hashed pages times occurrences), so equal vectors are found without holding one. Tokens of equal vectors are a
     class; a class is valid when several tokens share it and at least half of the pages have it. Valid classes nest by
     their paths. The slots are the text blocks whose own token is in no valid class; the holder is the innermost template element around
     nearly all slot text, where an article or main element counts before others. Repeated text is that of valid classes on paths
     without slots; on the path of a slot it has to be WORDS words on nearly all pages. Every page counts, and
     a host is only ever sums, however many pages it has.
+    Layouts of fewer than ALONE pages are one group of their host.
     """
-    tags = parsed.select("row", "host", F.explode("tags").alias("t")).select("row", "host", "t.path", F.lit(0).cast("long").alias("text"), "t.n", F.lit(0).alias("chars"), F.lit(0).alias("words"), F.lit(False).alias("aside"))
-    texts = parsed.select("row", "host", F.explode("blocks").alias("b")).select(
-        "row", "host", "b.path", F.xxhash64("b.text").alias("text"), F.lit(1).cast("long").alias("n"), F.length("b.text").alias("chars"),
+    sizes = cut(parsed.groupBy("host", "layout").agg(F.count("*").alias("layout_pages")).withColumn(
+        "in_group", F.when(F.col("layout_pages") >= ALONE, F.col("layout"))))
+    group = F.struct("host", F.col("in_group").alias("layout"))
+    tags = parsed.select("row", "host", "layout", F.explode("tags").alias("t")).select("row", "host", "layout", "t.path", F.lit(0).cast("long").alias("text"), "t.n", F.lit(0).alias("chars"), F.lit(0).alias("words"), F.lit(False).alias("aside"))
+    texts = parsed.select("row", "host", "layout", F.explode("blocks").alias("b")).select(
+        "row", "host", "layout", "b.path", F.xxhash64("b.text").alias("text"), F.lit(1).cast("long").alias("n"), F.length("b.text").alias("chars"),
         F.size(F.split("b.text", " ")).alias("words"), "b.aside")
-    texts = texts.groupBy("row", "host", "path", "text").agg(F.sum("n").alias("n"), F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
-    vectors = cut(tags.union(texts).groupBy("host", "path", "text").agg(
+    texts = texts.groupBy("row", "host", "layout", "path", "text").agg(F.sum("n").alias("n"), F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
+    own = tags.union(texts).groupBy("host", "layout", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.expr("bit_xor(xxhash64(row, n))").alias("vector"),
+        F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
+    vectors = cut(own.join(sizes, ["host", "layout"]).withColumn("host", group).groupBy("host", "path", "text").agg(
+        F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.expr("bit_xor(vector)").alias("vector"),
         F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside")))
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("all_pages"))
+    hosts = cut(sizes.withColumn("host", group).groupBy("host").agg(F.sum("layout_pages").alias("all_pages")))
     classes = vectors.groupBy("host", "pages", "n", "vector").agg(F.count("*").alias("members")).join(hosts, "host").where(
         "pages >= 2 AND members >= 2 AND 2 * pages >= all_pages").select("host", "pages", "n", "vector")
     template = vectors.join(classes, ["host", "pages", "n", "vector"], "left_semi")
@@ -76,20 +85,22 @@ def templates(parsed: DataFrame) -> DataFrame:
     repeated = (template.where((F.col("text") != 0) & ~F.col("aside") & (F.col("pages") >= 3)).join(hosts, "host").join(varied, ["host", "path"], "left")
                 .where(f"varies IS NULL OR words >= {WORDS} AND 10 * pages >= 9 * all_pages")
                 .groupBy("host").agg(F.array_sort(F.collect_set(F.xxhash64("path", "text"))).alias("repeated")))
-    return hosts.select("host").join(best, "host", "left").join(repeated, "host", "left")
+    found = hosts.join(best, "host", "left").join(repeated, "host", "left").select(
+        F.col("host.host").alias("host"), F.col("host.layout").alias("in_group"), "holder", "repeated")
+    return sizes.alias("s").join(found.alias("f"), F.expr("s.host = f.host AND s.in_group <=> f.in_group")).select("s.host", "s.layout", "holder", "repeated")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row: the blocks of main text joined by one space.
 
-    A page gives the text in its host's holder without what the host's template repeats, unless that is most of it, as in a copied page.
-    Only where the host gives no holder, or the page has no text there, the tags decide: the text in an article or main element,
-    or else all text that the template does not repeat, or else all text. Menus, headers, footers, sidebars, forms and elements marked as
-    adverts, notices or comments never count, nor does markup. Null and
+    A page gives the text in its layout's holder on its host without what the host's template repeats, unless that is most of it, as in a copied page.
+    Only where the layout gives no holder, or the page has no text there, the tags decide: the text in an article or main element,
+    or else all text that the template does not repeat, or else all text. Menus, headers, footers, sidebars, forms and elements named
+    as adverts, notices or comments that do not hold most of the page never count, nor does markup. Null and
     empty pages have an empty text; rows that repeat an id are rows of their own; a null url is a host of its own.
     """
     parsed = cut(tokens(pages))
-    given = parsed.join(cut(templates(parsed)), "host", "left")
+    given = parsed.join(cut(templates(parsed)), ["host", "layout"], "left")
     own = F.filter("blocks", lambda b: ~b["aside"])
     main = F.filter("own", lambda b: b["path"].rlike(IN_MAIN))
     held = F.filter("own", lambda b: (b["path"] == F.col("holder")) | F.startswith(b["path"], F.concat("holder", F.lit("/"))))

@@ -226,3 +226,21 @@ def test_template_decides_before_tags(spark):
     assert [got[10 + n] for n in range(6)] == [body(n) for n in range(6)]
     assert [got[20 + n] for n in range(6)] == [f"{body(0)} copied {min(n, 1)}" for n in range(6)]
     assert got[30] == "alone"
+
+
+def test_names_vote_and_layouts_have_templates(spark):
+    body = lambda n: " ".join(f"w{n}x{k}" for k in range(60))
+    marks = ["<body class='no-sidebar'>{}", "<body><div class='content with-sidebar'>{}</div>", "<body><article class='post comments-open'>{}</article>",
+             "<body><main id='search-results'>{}</main>", "<body class=search>{}", "<body><div id=search>{}</div>"]
+    rows = [(n, f"https://h{n}.org/", m.format(f"<p>{body(n)}</p>")) for n, m in enumerate(marks)]
+    for kind in range(3):  # three layouts of a third each: menus and boilerplate without a known name
+        rows += [(100 + 10 * kind + n, f"https://l.org/{n}", f"<body><div class=k{'abc'[kind]}><p>menu of {'abc'[kind]} pages</p></div>"
+                  f"<div class=t{'abc'[kind]}><p>{body(10 * kind + n)}</p></div></body>") for n in range(4)]
+    long = "x" * 45
+    rows += [(200 + n, f"https://m.org/{n}", f"<body><div class={long}a><p>links {n}</p></div><div class='{long}b'><p>{body(n)}</p></div></body>") for n in range(4)]
+    got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[n] for n in range(len(marks))] == [body(n) for n in range(len(marks))]
+    assert all(got[100 + 10 * k + n] == body(10 * k + n) for k in range(3) for n in range(4))
+    assert all(got[200 + n] == body(n) for n in range(4))
+    short = main_text.extract(spark.createDataFrame([(1, None, f"<article>short</article><div id=comments>{body(1)}</div>")], "page_id long, url string, html string"))
+    assert short.first().text == "short"
