@@ -24,6 +24,8 @@ SMOOTH = 0.1
 # words whose share of all tokens is at least 1/HOT go to every task: HOT words at most
 HOT = 1 << 16
 FLUSH = 400_000
+# occurrences that one visit of a triple stands for, at most
+VISIT = 4
 LN10 = np.log(10)
 
 
@@ -58,8 +60,9 @@ def start(unigram: np.ndarray, size: int) -> Net:
 
 def train_nce(net: Net, triples: np.ndarray, weights: np.ndarray, unigram: np.ndarray, seed: int, noise: int = 25,
               drawn: int = 100, batch: int = 512, steps: int = 500, rate: float = 0.1) -> Net:
-    """Noise-contrastive estimation over (far, near, word) triples, by Adagrad. Each step draws a batch of triples by
-    their counts, so the counts of the whole corpus decide what is learned and their number does not decide the time.
+    """Noise-contrastive estimation over (far, near, word) triples, by Adagrad. A pass visits every triple once for each VISIT of its
+    occurrences or part of them, in random order, and weights the visits so that each occurrence counts the same. There is
+    one whole pass, and more where that is fewer than `steps` batches.
 
     A batch shares its noise words, so scores are products of matrices. Each triple is told from `noise` draws of the
     unigram distribution, of which the `drawn` shared words are an estimate."""
@@ -67,16 +70,20 @@ def train_nce(net: Net, triples: np.ndarray, weights: np.ndarray, unigram: np.nd
     near, far, out, bias = (p.astype(np.float32) for p in (net.near, net.far, net.out, net.bias))
     past = [np.full(p.shape, 1e-4, dtype=np.float32) for p in (near, far, out, bias)]
     shift = np.log(noise * unigram).astype(np.float32)
-    upto, one = np.cumsum(weights), np.eye(len(near), dtype=np.float32)
+    times = np.ceil(weights / VISIT).astype(np.int64)
+    visits = rng.permutation(np.repeat(np.arange(len(triples), dtype=np.int32), times))
+    weights = (weights / times * len(visits) / weights.sum()).astype(np.float32)
+    one = np.eye(len(near), dtype=np.float32)
     sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    for _ in range(steps):
-        h2, h1, word = triples[np.searchsorted(upto, rng.random(batch) * upto[-1], side="right")].T
+    for step in range(max(steps, -(-len(visits) // batch))):
+        own = visits[np.arange(step * batch, (step + 1) * batch) % len(visits)]
+        (h2, h1, word), weight = triples[own].T, weights[own][:, None]
         seen = rng.choice(len(unigram), size=drawn, p=unigram)
         r = near[h1] + far[h2]
         true = sig((r * out[word]).sum(axis=1) + bias[word] - shift[word])[:, None]
         false = sig(r @ out[seen].T + bias[seen] - shift[seen])
-        d_true = (true - 1) / batch
-        d_false = false * (noise / drawn / batch)
+        d_true = (true - 1) * weight / batch
+        d_false = false * weight * (noise / drawn / batch)
         d_r = d_true * out[word] + d_false @ out[seen]
         words = one[word].T
         d_out, d_bias = words @ (d_true * r), words @ d_true[:, 0]

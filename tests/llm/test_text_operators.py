@@ -195,6 +195,18 @@ def test_class_probabilities_add_up_to_one():
     assert np.allclose(odds.sum(axis=2), 1) and odds[4, 0].argmax() == 1 and odds[0, 1].argmax() == 3
 
 
+def test_every_triple_is_learned_from(spark):
+    unigram = np.array([0.4, 0.3, 0.1, 0.2])
+    first = language_model.start(unigram, 8)
+    net = language_model.train_nce(first, np.array([[4, 4, 0], [4, 1, 2]]), np.array([1e7, 1]), unigram, 1)
+    assert not np.allclose(net.near[1], first.near[1]) and not np.allclose(net.near[4], first.near[4])
+    pairs = ["red car", "blue sky", "green tree", "old house"]
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(pairs, 60))) for i in range(300)], "doc_id long, text string")
+    test = [r for r in language_model.score(docs).collect() if r.held_out]
+    assert sum(r.score for r in test) > 0.75 * sum(r.base_score for r in test)
+
+
 # main text
 
 PAGE = """<html><head><title>t</title><style>p{{}}</style><script>var a="</p><p>no";</script></head><body><header><h1>Site</h1></header>
