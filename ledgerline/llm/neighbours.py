@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 from ledgerline.llm.tables import cut
 
 BLOCK = 4096
+# up to TRIVIAL rows all are compared; beyond, there are FEW partitions at least
+TRIVIAL, FEW = 256, 4
 
 
 @dataclass(frozen=True)
@@ -64,9 +66,12 @@ def partition(near: np.ndarray, unit: np.ndarray, parts: int, rounds: int = 20)
 
 
 def fit(sample: np.ndarray, parts: int, k: int = 5, graph: int = 10, recall: float = 0.94, hidden: int = 96, steps: int = 1500) -> Router:
-    """Partitions the neighbour graph of the sample's unit vectors and trains the router on where neighbours lie. probes is the
-    least number of most probable partitions in which `recall` of the sample's k nearest lie, and one more."""
+    """Partitions the neighbour graph of the sample's unit vectors and trains the router on where neighbours lie, on four rows of
+    five. The others are queries the router has not seen: probes is the least number of most probable partitions in which `recall`
+    of their k nearest of the sample lie, with two standard errors of that share as margin, and one more."""
     rng = np.random.default_rng(5)
+    whole, asked = sample, np.arange(len(sample)) % 5 == 0
+    sample = whole[~asked]
     near = np.empty((len(sample), min(graph, len(sample) - 1)), dtype=np.int32)
     for first in range(0, len(sample), 500):
         likeness = sample[first : first + 500] @ sample.T
@@ -92,12 +97,21 @@ def fit(sample: np.ndarray, parts: int, k: int = 5, graph: int = 10, recall: flo
             b += 0.001 * (g * g - b)
             q -= 0.003 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-9)
     router = Router(w[0], w[1], 1)
-    odds = router.odds(sample)
-    home, order = odds.argmax(axis=1), np.argsort(-odds, axis=1, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(parts)[None, :], axis=1)
-    needed = np.sort(rank[np.arange(len(sample))[:, None], home[near[:, :k]]].ravel())
-    probes = int(needed[min(len(needed) - 1, int(recall * len(needed)))]) + 1
+    home = router.odds(whole).argmax(axis=1)
+    ranks = []
+    queries = np.flatnonzero(asked)
+    for first in range(0, len(queries), 500):
+        own = queries[first : first + 500]
+        likeness = whole[own] @ whole.T
+        likeness[np.arange(len(own)), own] = -np.inf
+        best = np.argsort(-likeness, axis=1, kind="stable")[:, : min(k, len(whole) - 1)]
+        order = np.argsort(-router.odds(whole[own]), axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(parts)[None, :], axis=1)
+        ranks.append(rank[np.arange(len(own))[:, None], home[best]].ravel())
+    needed = np.sort(np.concatenate(ranks))
+    share = min(1.0, recall + 2 * (recall * (1 - recall) / len(queries)) ** 0.5)
+    probes = int(needed[min(len(needed) - 1, int(share * len(needed)))]) + 2
     return Router(w[0], w[1], min(parts, probes))
 
 
@@ -114,7 +128,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, the k nearest other rows found by cosine.
 
     The router is fitted on at most `sample` rows, by the hash of the id; every row is indexed by its most probable
-    partition and each query visits its most probable ones. Partitions grow in number with the rows, to `largest`.
+    partition and each query visits its most probable ones. Partitions grow in number with the rows, from FEW to `largest`; only TRIVIAL rows or fewer are one.
     A partition is searched in blocks of a bounded number of rows and of queries, so one that holds a third of all rows is
     many tasks' work, and each block returns k rows a query. Scores are cosines of the original vectors in double
     precision; ties go to the smaller id. Rows that `usable` leaves out are neither queries nor candidates. Rows that repeat
@@ -127,7 +141,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     if n < 2:
         return vectors.sparkSession.createDataFrame([], schema)
     matrix = np.array([r.v for r in some])
-    parts = max(1, min(largest, n // rows_per_part, len(matrix) // 40))
+    parts = 1 if n <= TRIVIAL else max(1, min(largest, max(FEW, n // rows_per_part), len(matrix) // 40))
     unit = _unit(matrix)
     router = fit(unit, parts) if parts > 1 else Router(np.zeros((unit.shape[1] + 1, 1)), np.zeros((2, 1)), 1)
 

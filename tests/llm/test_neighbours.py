@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from ledgerline.llm import neighbours
 from ledgerline.llm.neighbours import fit, search
 
 
@@ -54,3 +55,22 @@ def test_router_visits_few_partitions_of_clustered_rows():
     x = np.repeat(centres, 60, axis=0) + 0.3 * rng.normal(size=(960, 24))
     router = fit(x / np.linalg.norm(x, axis=1, keepdims=True), 8)
     assert router.probes <= 4
+
+
+def test_small_tables_are_routed_and_probes_hold_for_unseen_queries(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 16))
+    rows = [(i, (centres[i % 8] + 0.5 * rng.normal(size=16)).tolist()) for i in range(500)]
+    made = []
+    monkeypatch.setattr(neighbours, "fit", lambda unit, parts: made.append(fit(unit, parts)) or made[-1])
+    got, want = result(search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))), brute(rows)
+    assert len(made) == 1 and made[0].out.shape[1] == neighbours.FEW
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.94
+    x = rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sample, unseen = x[:600], x[600:]
+    router = fit(sample, 12)
+    home = router.odds(sample).argmax(axis=1)
+    visited = np.argsort(-router.odds(unseen), axis=1, kind="stable")[:, : router.probes]
+    best = np.argsort(-(unseen @ sample.T), axis=1)[:, :5]
+    assert np.mean([np.isin(home[b], v).mean() for b, v in zip(best, visited)]) >= 0.94
