@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe, fingerprints, language_model, main_text, mixing, neighbours, secrets, toxicity
+from ledgerline.llm import byte_bpe, fingerprints, hard_negatives, language_model, main_text, mixing, neighbours, secrets, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
 from ledgerline.llm.token_counts import token_counts
@@ -59,5 +59,11 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op4_neighbours, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op9_main_text, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector over all of `embeddings`."""
+    return hard_negatives.hard_negatives(read(spark, folder, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op4_neighbours, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op9_main_text, op10_token_counts,
+                                   op11_hard_negatives)}
+ORACLES: dict[str, str] = {"op11_hard_negatives": hard_negatives.ORACLE}
