@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import byte_bpe, fingerprints, hard_negatives, language_model, main_text, mixing, neighbours, secrets, toxicity
+from ledgerline.llm import byte_bpe, fingerprints, hard_negatives, language_id, language_model, main_text, mixing, neighbours, secrets, token_alignment, toxicity
 from ledgerline.llm.near_duplicates import near_duplicates
 from ledgerline.llm.tables import read
 from ledgerline.llm.token_counts import token_counts
@@ -64,6 +64,16 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(read(spark, folder, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two vocabularies aligned over all of `documents`."""
+    return token_alignment.align(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of each of `documents`."""
+    return language_id.languages(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_mixing, op4_neighbours, op5_toxicity, op6_secrets, op7_byte_bpe, op8_lm_score, op9_main_text, op10_token_counts,
-                                   op11_hard_negatives)}
+                                   op11_hard_negatives, op12_token_alignment, op13_language_id)}
 ORACLES: dict[str, str] = {"op11_hard_negatives": hard_negatives.ORACLE}
