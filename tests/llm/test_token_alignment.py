@@ -14,7 +14,7 @@ from ledgerline.llm.token_alignment import align, byte_letters, pair_of
 
 A, B = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
 TEXTS = ["a plain sentence, and another one.", "a plain sentence, and another one.", "", None, " ", "  two  spaces\tand\n\n lines ", "Überraschung für naïve cafés ☕️🎉 漢字かな",
-         "<|endoftext|> and <s> </s> <0x41> are plain", "a ▁ mark of the pieces", "\x00\x01 control", "x", "1234567 + 89", "ﬁ ligature ①", "zz" * 3000, "the cat sat on the mat. " * 4000]
+         "<|endoftext|> and <s> </s> <0x41> are plain", "a ▁ mark of the pieces", "\x00\x01 control", "x", "1234567 + 89", "ﬁ ligature ①", "zz" * 3000, "new letters \U000105c0\u1c89 it's", "the cat sat on the mat. " * 4000]
 
 
 def ranges(ids, size):
