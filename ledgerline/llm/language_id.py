@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,10 @@ UNKNOWN = "und"
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, in lower case. A run of the pattern may hold other numerals, such as a raised two; they part words too."""
-    return [w for run in RUNS.findall(text.lower()) for w in ((run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+    runs = RUNS.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -38,33 +41,27 @@ class Model:
     langs: list[str]
     rows: dict[int, dict[str, int]]
     logs: dict[int, np.ndarray]
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def back_off(self, word: str) -> np.ndarray:
-        """The mean over the known n-grams of the greatest length of which any is known."""
-        for size in sorted(self.rows, reverse=True)[:-1]:
+    def back_off(self, word: str) -> tuple[int, list[int]]:
+        """The known n-grams of the greatest length of which any is known."""
+        for size in range(len(self.rows) - 1, 0, -1):
             own = self.rows[size]
             if found := [own[g] for g in grams_of(word, size) if g in own]:
-                return self.logs[size][found].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return size, found
+        return 0, []
 
     def evidence(self, words: list[str]) -> np.ndarray:
-        """Summed log frequencies of all words."""
-        known, total = self.rows[0], np.zeros(len(self.langs))
-        times, places = [], []
+        """Summed log frequencies of all words; an unseen word counts with the mean of its n-grams'."""
+        known, places, times = self.rows[0], [[] for _ in self.rows], [[] for _ in self.rows]
         for word, n in Counter(words).items():
             if (place := known.get(word)) is not None:
-                places.append(place)
-                times.append(n)
+                places[0].append(place)
+                times[0].append(n)
             else:
-                if (logs := self.unseen.get(word)) is None:
-                    if len(self.unseen) >= ENTRIES >> 2:
-                        self.unseen.clear()
-                    logs = self.back_off(word)
-                    if len(word) < 64:
-                        self.unseen[word] = logs
-                total += n * logs
-        return total + np.array(times, dtype=np.float64) @ self.logs[0][places] if places else total
+                size, found = self.back_off(word)
+                places[size] += found
+                times[size] += [n / len(found)] * len(found) if found else []
+        return sum((np.array(n) @ self.logs[k][at] for k, (at, n) in enumerate(zip(places, times)) if at), np.zeros(len(self.langs)))
 
     def predict(self, text: str) -> tuple[str, float]:
         words = words_of(text)
@@ -75,48 +72,52 @@ class Model:
         return self.langs[best], float(1 / np.exp(logs - logs[best]).sum())
 
 
-def _counted(parts: Iterator[Counter[tuple]]) -> Iterator[pa.RecordBatch]:
-    for counts in parts:
-        if counts:
-            langs, levels, entries = zip(*counts)
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(levels, pa.int32()), pa.array(entries, pa.string()), pa.array([*counts.values()], pa.int64())],
+Counters = dict[tuple[str, int], Counter[str]]
+
+
+def _rows(counters: Iterator[Counters]) -> Iterator[pa.RecordBatch]:
+    for held in counters:
+        for (lang, level), counts in held.items():
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, level), pa.int32()), pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())],
                                              ["lang", "level", "entry", "n"])
 
 
 def count_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's words by language, given up whenever they grow past a bound."""
 
-    def counters() -> Iterator[Counter[tuple]]:
-        counts, letters = Counter(), 0
+    def counters() -> Iterator[Counters]:
+        held: Counters = defaultdict(Counter)
+        letters = 0
         for part in parts:
             for lang, text in zip(part.column(0).to_pylist(), part.column(1)):
                 text = text.as_py()
                 letters += len(text)
-                for word, n in Counter(words_of(text)).items():
-                    counts[lang, 0, word] += n
-                if len(counts) > ENTRIES or letters > LETTERS:
-                    yield counts
-                    counts, letters = Counter(), 0
-        yield counts
+                held[lang, 0].update(words_of(text))
+                if letters > LETTERS or sum(map(len, held.values())) > ENTRIES:
+                    yield held
+                    held, letters = defaultdict(Counter), 0
+        yield held
 
-    return _counted(counters())
+    return _rows(counters())
 
 
 def count_grams(longest: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counters() -> Iterator[Counter[tuple]]:
-            counts: Counter[tuple] = Counter()
+        def counters() -> Iterator[Counters]:
+            held: Counters = defaultdict(Counter)
             for part in parts:
                 for lang, word, n in zip(*(part.column(c).to_pylist() for c in ("lang", "entry", "n"))):
                     for size in range(1, longest + 1):
+                        counts = held[lang, size]
                         for gram in grams_of(word, size):
-                            counts[lang, size, gram] += n
-                    if len(counts) > ENTRIES:
-                        yield counts
-                        counts = Counter()
-            yield counts
+                            counts[gram] += n
+                    if sum(map(len, held.values())) > ENTRIES:
+                        yield held
+                        held = defaultdict(Counter)
+            yield held
 
-        return _counted(counters())
+        return _rows(counters())
 
     return run
 
