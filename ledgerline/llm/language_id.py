@@ -132,8 +132,10 @@ def train(labelled: DataFrame, longest: int = 5, share: int = 1 << 16, smooth: f
     words = cut(given.mapInArrow(count_words, schema).groupBy(*key).agg(F.sum("n").alias("n")))
     grams = words.mapInArrow(count_grams(longest), schema).groupBy(*key).agg(F.sum("n").alias("n"))
     counts = cut(words.union(grams))
-    totals = counts.groupBy("lang", "level").agg(F.sum("n").alias("total"))
-    total = {(r.lang, r.level): r.total for r in totals.collect()}  # a row per language and level
+    found = counts.groupBy("lang", "level").agg(F.sum("n").alias("total")).collect()  # a row per language and level
+    total = {(r.lang, r.level): r.total for r in found}
+    # as a local table, whose size Spark knows, the totals go to the counts, and no language's counts gather
+    totals = labelled.sparkSession.createDataFrame(found, "lang string, level int, total long")
     frequent = counts.join(totals, ["lang", "level"]).groupBy("level", "entry").agg(
         F.max(F.col("n") * share >= F.col("total")).alias("known"), F.collect_list(F.struct("lang", "n")).alias("by")).where("known")
     langs = sorted({lang for lang, _ in total})
