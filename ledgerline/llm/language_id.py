@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ from ledgerline.llm.tables import cut
 from ledgerline.llm.token_counts import text_batches
 
 RUNS = re.compile(r"[^\W\d_]+")
-ENTRIES, LETTERS = 1 << 18, 1 << 24
+ENTRIES, LETTERS, LONG = 1 << 18, 1 << 24, 40
 UNKNOWN = "und"
 
 
@@ -36,32 +36,51 @@ def grams_of(word: str, size: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies of entries: level 0 holds words, level k n-grams of k letters. A row has a column per language."""
+    """Log frequencies of entries: level 0 holds words, level k n-grams of k letters. A row has a column per language.
+    What unseen words came to is held in a cache of bounded size."""
 
     langs: list[str]
     rows: dict[int, dict[str, int]]
     logs: dict[int, np.ndarray]
+    cached: dict[str, tuple[int, list[int]]] = field(default_factory=dict)
 
     def back_off(self, word: str) -> tuple[int, list[int]]:
         """The known n-grams of the greatest length of which any is known."""
-        for size in range(len(self.rows) - 1, 0, -1):
-            own = self.rows[size]
-            if found := [own[g] for g in grams_of(word, size) if g in own]:
+        marked = f" {word} "
+        for size in range(len(self.rows) - 1, 1, -1):
+            get = self.rows[size].get
+            if found := [p for i in range(len(marked) - size + 1) if (p := get(marked[i : i + size])) is not None]:
                 return size, found
-        return 0, []
+        get = self.rows[1].get
+        found = [p for c in word if (p := get(c)) is not None]
+        return (1, found) if found else (0, [])
 
     def evidence(self, words: list[str]) -> np.ndarray:
         """Summed log frequencies of all words; an unseen word counts with the mean of its n-grams'."""
-        known, places, times = self.rows[0], [[] for _ in self.rows], [[] for _ in self.rows]
+        known, cached = self.rows[0], self.cached
+        places, sizes, times = [[] for _ in self.rows], [[] for _ in self.rows], [[] for _ in self.rows]
         for word, n in Counter(words).items():
             if (place := known.get(word)) is not None:
                 places[0].append(place)
                 times[0].append(n)
-            else:
-                size, found = self.back_off(word)
+                continue
+            if (held := cached.get(word)) is None:
+                held = self.back_off(word)
+                if len(cached) >= ENTRIES:
+                    cached.clear()
+                if len(word) < LONG:
+                    cached[word] = held
+            size, found = held
+            if found:
                 places[size] += found
-                times[size] += [n / len(found)] * len(found) if found else []
-        return sum((np.array(n) @ self.logs[k][at] for k, (at, n) in enumerate(zip(places, times)) if at), np.zeros(len(self.langs)))
+                sizes[size].append(len(found))
+                times[size].append(n)
+        total = np.zeros(len(self.langs))
+        for level, at in enumerate(places):
+            if at:
+                weight = np.array(times[level], dtype=np.float64)
+                total += (np.repeat(weight / sizes[level], sizes[level]) if level else weight) @ self.logs[level][at]
+        return total
 
     def predict(self, text: str) -> tuple[str, float]:
         words = words_of(text)
