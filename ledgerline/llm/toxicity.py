@@ -199,18 +199,23 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_ordinary(docs: DataFrame, model: Model | None, text_col: str = "text", bound: float = 0.5) -> DataFrame:
-    """The rows of docs whose score is below the bound, with all their columns. Without a model all stay."""
+def keep_ordinary(docs: DataFrame, model: Model | None, text_col: str = "text", bound: float = 0.5, held: int = 250_000) -> DataFrame:
+    """The rows of docs whose score is below the bound, with all their columns. Without a model all stay. A task holds the gains
+    of at most about `held` windows and the texts of 64 rows, and lets go of them when it ends, for its worker goes on to later stages."""
     if model is None:
         return docs
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Gains(model)
-        for part in parts:
-            texts = [(t or "").encode() for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
-            for first in range(0, len(texts), 64):
-                x = known.features(texts[first : first + 64])
-                keep = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))) < bound
-                yield part.slice(first, len(keep)).filter(pa.array(keep))
+        known = Gains(model, held)
+        try:
+            for part in parts:
+                column = part.column(part.schema.get_field_index(text_col))
+                for first in range(0, part.num_rows, 64):
+                    x = known.features([(t or "").encode() for t in column.slice(first, 64).to_pylist()])
+                    keep = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))) < bound
+                    yield part.slice(first, len(keep)).filter(pa.array(keep))
+        finally:
+            known.clear()
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
