@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import bound
@@ -81,11 +81,23 @@ def is_valid_url(url: Column) -> Column:
     return (_part(url, 1) != "") & (F.length(_part(url, 2)) > 2)
 
 
-def page_urls(spark, template: str, first: int, last: int):
-    """One search URL per page number, both ends included."""
-    if first > last or first < 0:
-        raise ValueError("invalid page range")
-    if last > first and "{page}" not in template:
-        raise ValueError("the template needs {page} when there are several pages")
-    url = F.replace(F.lit(template), F.lit("{page}"), F.col("page").cast("string"))
-    return spark.range(first, last + 1).withColumnRenamed("id", "page").withColumn("url", url)
+def page_urls(ranges: DataFrame, template: str = "template", first: str = "first", last: str = "last", chunk: int = 10_000) -> DataFrame:
+    """One search URL per page number of each row's range, both ends included: the row's columns, page, url, error.
+
+    A row with a bad range gives one row that says why, without page and URL. A range is first cut into chunks, which
+    are dealt to all tasks, so that one row with most of all pages is many tasks' work.
+    """
+    low, high, text = F.col(first).cast("bigint"), F.col(last).cast("bigint"), F.col(template)
+    error = (
+        F.when(text.isNull() | low.isNull() | high.isNull(), "template, first or last page is missing")
+        .when(low < 0, "first page is negative")
+        .when(low > high, "range ends before it starts")
+        .when((low < high) & ~F.contains(text, F.lit("{page}")), "several pages need {page} in the template")
+    )
+    kept = [c for c in ranges.columns if c not in ("page", "url", "error")]
+    starts = F.when(F.col("error").isNull(), F.sequence(low, high, F.lit(chunk)))
+    chunks = ranges.withColumn("error", error).select(*kept, "error", F.explode_outer(starts).alias("_start"))
+    pages = F.when(F.col("error").isNull(), F.sequence(F.col("_start"), F.least(F.col("_start") + (chunk - 1), high)))
+    rows = chunks.repartition("_start", template).select(*kept, F.explode_outer(pages).alias("page"), "error")
+    url = F.when(F.col("error").isNull(), F.replace(text, F.lit("{page}"), F.col("page").cast("string")))
+    return rows.select(*kept, "page", url.alias("url"), "error")

@@ -14,6 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.urls import absolute_url
 
@@ -39,15 +41,6 @@ ELEMENTS = pa.schema([
         ("heading", pa.string()), ("anchors", _strings), ("items", _strings), ("paragraph", pa.string()),
     ]))),
 ])
-ELEMENTS_DDL = (
-    "lang string, title_tag string, page_text string, all_text string, "
-    "h2 array<string>, row_links array<string>, "
-    "links array<struct<href:string,label:string,text:string,css:array<string>>>, "
-    "frames array<struct<src:string,leads_file:boolean>>, "
-    "sections array<struct<heading:string,anchors:array<string>,items:array<string>,paragraph:string>>"
-)
-
-
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children")
 
@@ -165,20 +158,37 @@ def build_tree(html: str | None) -> TreeBuilder:
     return builder
 
 
-def page_elements(html: str | None) -> dict:
-    builder = build_tree(html)
-    tags, strings = builder.tags, builder.strings
-    row_links = []
-    for row in tags.get("tr", []):
-        first = next((a for a in row.find_all("a") if "href" in a.attrs), None)
-        if first is not None:
-            row_links.append(first.attrs["href"])
-    file_frames = []
-    for div in tags.get("div", []):
-        if div.attrs.get("id") == "the-statement-file":
-            file_frames += div.find_all("iframe")[:1]
+def _lang(page: TreeBuilder):
+    return page.tags["html"][0].attrs.get("lang") if "html" in page.tags else None
+
+
+def _title_tag(page: TreeBuilder):
+    return page.tags["title"][0].tight_text() if "title" in page.tags else None
+
+
+def _row_links(page: TreeBuilder):
+    firsts = (next((a for a in row.find_all("a") if "href" in a.attrs), None) for row in page.tags.get("tr", []))
+    return [a.attrs["href"] for a in firsts if a is not None]
+
+
+def _links(page: TreeBuilder):
+    return [
+        {"href": a.attrs.get("href"), "label": a.label(), "text": a.tight_text(), "css": a.attrs.get("class", "").split()}
+        for a in page.tags.get("a", [])
+    ]
+
+
+def _frames(page: TreeBuilder):
+    leading = [
+        frame for div in page.tags.get("div", []) if div.attrs.get("id") == "the-statement-file"
+        for frame in div.find_all("iframe")[:1]
+    ]
+    return [{"src": f.attrs.get("src"), "leads_file": any(f is x for x in leading)} for f in page.tags.get("iframe", [])]
+
+
+def _sections(page: TreeBuilder):
     sections = []
-    for h3 in tags.get("h3", []):
+    for h3 in page.tags.get("h3", []):
         listing, para = h3.next_sibling("ul"), h3.next_sibling("p")
         sections.append({
             "heading": h3.label(),
@@ -186,46 +196,48 @@ def page_elements(html: str | None) -> dict:
             "items": None if listing is None else [li.text() for li in listing.find_all("li")],
             "paragraph": None if para is None else para.text(),
         })
-    title = tags.get("title", [None])[0]
-    return {
-        "lang": tags["html"][0].attrs.get("lang") if "html" in tags else None,
-        "title_tag": None if title is None else title.tight_text(),
-        "page_text": "".join(s.value for s in strings if not s.comment and s.hidden is None),
-        "all_text": "\n".join(s.value for s in strings),
-        "h2": [n.tight_text() for n in tags.get("h2", [])],
-        "row_links": row_links,
-        "links": [
-            {
-                "href": a.attrs.get("href"),
-                "label": a.label(),
-                "text": a.tight_text(),
-                "css": a.attrs.get("class", "").split(),
-            }
-            for a in tags.get("a", [])
-        ],
-        "frames": [
-            {"src": f.attrs.get("src"), "leads_file": any(f is x for x in file_frames)}
-            for f in tags.get("iframe", [])
-        ],
-        "sections": sections,
-    }
-
-
-def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """All columns but the HTML, plus the page's elements; narrow, one parse per page."""
+    return sections
+
+
+READERS = {
+    "lang": _lang,
+    "title_tag": _title_tag,
+    "page_text": lambda page: "".join(s.value for s in page.strings if not s.comment and s.hidden is None),
+    "all_text": lambda page: "\n".join(s.value for s in page.strings),
+    "h2": lambda page: [n.tight_text() for n in page.tags.get("h2", [])],
+    "row_links": _row_links,
+    "links": _links,
+    "frames": _frames,
+    "sections": _sections,
+}
+
+
+def page_elements(html: str | None, wanted: tuple[str, ...] = tuple(READERS)) -> dict:
+    page = build_tree(html)
+    return {name: READERS[name](page) for name in wanted}
+
+
+def parse_pages(pages: DataFrame, html: str = "html", wanted: tuple[str, ...] = tuple(READERS)) -> DataFrame:
+    """All columns but the HTML, plus the wanted elements of the page; narrow, one parse per page.
+
+    Only wanted elements are read off the tree and leave the worker; ``pages.NEEDS`` tells which ones a rule takes.
+    """
+    unknown = sorted(set(wanted) - set(READERS))
+    if unknown:
+        raise ValueError(f"no such page elements: {', '.join(unknown)}")
     carried = [c for c in pages.columns if c != html]
+    fields = pa.schema([ELEMENTS.field(n) for n in ELEMENTS.names if n in wanted])
 
     def parse(batches):
         for batch in batches:
-            rows = [page_elements(h) for h in batch.column(html).to_pylist()]
-            found = pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
+            rows = [page_elements(h, tuple(fields.names)) for h in batch.column(html).to_pylist()]
+            found = pa.RecordBatch.from_pylist(rows, schema=fields)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in carried] + found.columns, carried + ELEMENTS.names
+                [batch.column(c) for c in carried] + found.columns, carried + fields.names
             )
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html)
-    schema = ", ".join(x for x in (kept, ELEMENTS_DDL) if x)
-    return pages.select(*carried, html).mapInArrow(parse, schema)
+    kept = T.StructType([f for f in pages.schema if f.name != html])
+    return pages.select(*carried, html).mapInArrow(parse, T.StructType([*kept, *from_arrow_schema(fields)]))
 
 
 def extract_with(pages: DataFrame, fn, schema: str) -> DataFrame:
@@ -258,5 +270,39 @@ def links_with(pages: DataFrame, fn, base_url: str) -> DataFrame:
     return rows.withColumn("link", absolute_url(F.col("href"), F.lit(base_url)))
 
 
+def page_table(fn, fields: str):
+    """A table function over page HTML, for a lateral call: position and ``fields`` of every row that a caller's function finds.
+
+    ``fn`` takes the tree of one page and returns tuples of the fields. The schema is settled when the call is analysed,
+    where anything but one text argument is refused. Register it with ``spark.udtf.register``, or call it on columns.
+    """
+    schema = T.StructType.fromDDL(f"position int, {fields}")
+
+    class PageTable:
+        @staticmethod
+        def analyze(html: AnalyzeArgument) -> AnalyzeResult:
+            if not isinstance(html.dataType, (T.StringType, T.NullType)):
+                raise TypeError(f"the page must be text, not {html.dataType.simpleString()}")
+            return AnalyzeResult(schema)
+
+        def eval(self, html):
+            for position, row in enumerate(fn(build_tree(html).root)):
+                yield (position, *row)
+
+    return F.udtf(PageTable, useArrow=True)
+
+
+def link_table(fn):
+    """A table function of (position, href) for a link extractor, which takes a page's tree and returns links."""
+    return page_table(lambda root: ((href,) for href in fn(root)), "href string")
+
+
+def lateral_links(pages: DataFrame, fn, base_url: str) -> DataFrame:
+    """The rows of ``links_with`` by a lateral call of a table function: links stream out of it one by one, and no page's are gathered."""
+    found = pages.select("page_id", "url", "html").lateralJoin(link_table(fn)(F.col("html").outer()))
+    rows = found.select("page_id", "url", "position", "href")
+    return rows.withColumn("link", absolute_url(F.col("href"), F.lit(base_url)))
+
+
 # Workers may lack this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -26,6 +26,7 @@ def registry_join(
     right_key: str,
     suffix: str,
     unique_right: bool = False,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a registry; registry columns that collide get a suffix.
 
@@ -34,7 +35,9 @@ def registry_join(
     the adaptive skew join splits a hot key on either side (of a left join only
     on the left); those without a match come from an anti join on the keys.
     ``unique_right`` promises one registry row per key; then only the left side
-    can be hot, and one left join does.
+    can be hot, and one left join does. ``right_keys`` is a table with the keys of
+    the registry in ``right_key`` where that is cheaper to read than the registry, such
+    as the table from which a step that loses no key made it.
     """
     registry = _renamed(right.filter(F.col(right_key).isNotNull()), right_key, left.columns, suffix)
     keyed, same = left.filter(F.col(left_key).isNotNull()), F.col(left_key) == F.col("_rkey")
@@ -43,7 +46,8 @@ def registry_join(
         joined = keyed.join(registry, same, "left")
     else:
         joined = keyed.join(registry, same)
-        lost = lost.unionByName(keyed.join(registry.select("_rkey"), same, "left_anti"))
+        known = registry if right_keys is None else right_keys.select(F.col(right_key).alias("_rkey"))
+        lost = lost.unionByName(keyed.join(known.select("_rkey"), same, "left_anti"))
     joined = joined.unionByName(lost, allowMissingColumns=True)
     return joined.drop("_rkey") if left_key == right_key else joined.withColumnRenamed("_rkey", right_key)
 

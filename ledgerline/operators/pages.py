@@ -54,6 +54,23 @@ COUNTRY_INDICATORS = {
 }
 
 
+# Elements of ``html.parse_pages`` that a rule reads.
+NEEDS = {
+    "title": ("title_tag", "h2"),
+    "pdf_url": ("links",),
+    "year": ("page_text",),
+    "language": ("lang", "links", "all_text"),
+    "statement_links": ("row_links",),
+    "register_pdf_url": ("frames", "links"),
+    "sections": ("sections",),
+}
+
+
+def needs(*rules: str) -> tuple[str, ...]:
+    """The elements that these rules read together."""
+    return tuple(dict.fromkeys(element for rule in rules for element in NEEDS[rule]))
+
+
 def _first(items: Column, test) -> Column:
     return F.get(F.filter(items, test), 0)
 

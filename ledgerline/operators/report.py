@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Fields whose completeness every report shows.
 KEY_FIELDS = [
@@ -12,6 +13,11 @@ KEY_FIELDS = [
 ]
 
 
+def _over_counts(total: Column) -> Column:
+    """An aggregate beside every row of a table of counts, one row per value; the profile is planned and read once."""
+    return total.over(Window.partitionBy(F.lit(1)))
+
+
 def n_unique(name: str) -> Column:
     """Distinct values with null counted as one of them."""
     return F.count_distinct(F.col(name)) + F.coalesce(F.max(F.col(name).isNull().cast("int")), F.lit(0))
@@ -66,8 +72,7 @@ def distributions(df: DataFrame, keys: list[str]) -> DataFrame:
 def share_distribution(df: DataFrame, key: str, missing: str) -> DataFrame:
     """Rows and percentage per value, null shown as ``missing``."""
     counts = df.groupBy(F.coalesce(F.col(key), F.lit(missing)).alias(key)).agg(F.count("*").alias("count"))
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("percentage", F.col("count") / total * 100)
+    return counts.withColumn("percentage", F.col("count") / _over_counts(F.sum("count")) * 100)
 
 
 def duplicate_keys(df: DataFrame, key: str, top: int = 5) -> DataFrame:
@@ -107,9 +112,14 @@ def expansion_stats(df: DataFrame, entity: str = "abn", year: str = "statement_y
 def compliance_dist(df: DataFrame) -> DataFrame:
     """Rows per compliance score beside the mean over all rows."""
     counts = df.groupBy("compliance_score").agg(F.count("*").alias("count"))
-    points = F.sum(F.col("compliance_score") * F.col("count"))
-    scored = F.sum(F.when(F.col("compliance_score").isNotNull(), F.col("count")))
-    return counts.withColumn("average_score", counts.agg(points / scored).scalar())
+    points = _over_counts(F.sum(F.col("compliance_score") * F.col("count")))
+    scored = _over_counts(F.sum(F.when(F.col("compliance_score").isNotNull(), F.col("count"))))
+    return counts.withColumn("average_score", points / scored)
+
+
+def mean_scores(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
+    """The mean of each score column, rounded half to even; null on an empty table."""
+    return df.agg(*[F.bround(F.avg(c), digits).alias(c) for c in columns])
 
 
 def country_summary(df: DataFrame, entity: str = "entity_key", statement: str = "statement_key",

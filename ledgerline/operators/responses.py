@@ -11,14 +11,62 @@ from ..functions.text import lines, strip
 MARK = "\x01"
 
 
-def pages_wide(responses: DataFrame, kinds: list[str]) -> DataFrame:
-    """One row per page with a column per kind of response.
+PAGE = ["source_id", "page_number"]
 
-    A page is asked once per kind. If a response was delivered twice the
-    greater text is kept, so the aggregate is partial and order-free.
+
+def _answer(value: Column, order: str | None) -> tuple[Column, Column]:
+    """Aggregates: the answer that counts, and whether answers differ without an order to choose by.
+
+    Nulls are no answers. With ``order`` the greatest one's answer counts, the greater text among equals.
+    """
+    if order:
+        best = F.max(F.when(value.isNotNull(), F.struct(F.col(order), value.alias("answer"))))
+        return best["answer"], F.lit(False)
+    least, greatest = F.min(value), F.max(value)
+    return F.when(least == greatest, least), F.coalesce(least != greatest, F.lit(False))
+
+
+def _conflict(flags: dict[str, Column]) -> Column:
+    """Text that names the kinds whose answers differ; null without any."""
+    kinds = F.concat_ws(", ", *[F.when(flag, F.lit(kind)) for kind, flag in flags.items()])
+    return F.when(kinds != "", F.concat(F.lit("several different answers: "), kinds))
+
+
+def pages_wide(responses: DataFrame, kinds: list[str], order: str | None = None) -> DataFrame:
+    """One row per page with a column per kind of response, from one partial aggregate.
+
+    A page is asked once per kind, yet an answer may arrive more than once. ``order`` names the column, such as an
+    arrival number, whose greatest value decides. Without it equal answers count once, and a page whose answers differ
+    is an error row: these answers are null and a column ``error`` names their kinds.
     """
-    per_kind = [F.max(F.when(F.col("kind") == k, F.col("response"))).alias(k) for k in kinds]
-    return responses.groupBy("source_id", "page_number").agg(*per_kind)
+    found = {k: _answer(F.when(F.col("kind") == k, F.col("response")), order) for k in kinds}
+    error = [] if order else [_conflict({k: clash for k, (_, clash) in found.items()}).alias("error")]
+    return responses.groupBy(*PAGE).agg(*[answer.alias(k) for k, (answer, _) in found.items()], *error)
+
+
+def pair_pages(first: DataFrame, second: DataFrame, names: tuple[str, str] = ("detection", "extraction"),
+               order: str | None = None) -> DataFrame:
+    """The responses of two tables (source_id, page_number, response) side by side, one row per page.
+
+    A page that only one table holds stays, with null for the other's response. Each table is cut to one answer per
+    page first, as in ``pages_wide``, so pages never multiply; without ``order`` a column ``error`` tells of answers that differ.
+    """
+
+    def single(df, name):
+        answer, clash = _answer(F.col("response"), order)
+        return df.groupBy(*PAGE).agg(answer.alias(name), clash.alias(f"_{name}"))
+
+    pairs = single(first, names[0]).join(single(second, names[1]), PAGE, "full_outer")
+    error = [] if order else [_conflict({n: F.coalesce(F.col(f"_{n}"), F.lit(False)) for n in names}).alias("error")]
+    return pairs.select(*PAGE, *names, *error)
+
+
+def unpaired_pages(pairs: DataFrame, names: tuple[str, str] = ("detection", "extraction")) -> DataFrame:
+    """(source_id, page_number, error) of the pages that cannot be read as a pair."""
+    missing = F.concat_ws(" and ", *[F.when(F.col(n).isNull(), F.lit(f"no {n} response")) for n in names])
+    known = [F.col("error")] if "error" in pairs.columns else []
+    error = F.coalesce(*known, F.nullif(missing, F.lit("")))
+    return pairs.select(*PAGE, error.alias("error")).filter(F.col("error").isNotNull())
 
 
 def lower_lines(response: Column) -> Column:

@@ -79,8 +79,7 @@ def select_detections(
 
     Boxes at or above the threshold are picked. A page without any gets its
     most confident box (the first in ``box`` order on ties) as a forced pick.
-    Only those single boxes are joined back, on the full box key, so a crowded
-    page stays spread over its boxes.
+    The boxes of a page meet in one window, which ranks them once.
     """
     likely = F.coalesce(F.col(confidence) >= threshold, F.lit(False))
     flagged = df.withColumn("likely_signature", likely)

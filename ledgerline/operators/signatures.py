@@ -175,6 +175,7 @@ def signature_pages(pages: DataFrame, numbered_only: bool = False) -> DataFrame:
 def four_prompt_record() -> dict[str, Column]:
     """Record from detection, analysis, signatory text and date responses."""
     found, shape = lower_lines(F.col("detection")), lower_lines(F.col("sig_analysis"))
+    kind = last_with(shape, "signature_type:", also=lambda s: F.contains(s, F.lit("handwritten")) | F.contains(s, F.lit("typed")))
     text = F.col("sig_text")
     mark, following = "SIGNATORY_TEXT_1:", "SIGNATORY_TEXT_2:"
     tail = F.substring(text, F.instr(text, mark) + len(mark), F.length(text))
@@ -195,9 +196,13 @@ def four_prompt_record() -> dict[str, Column]:
         "signatory_text": F.when(
             F.contains(text, F.lit(mark)), strip(F.substring_index(tail, following, 1))
         ).otherwise(strip(text)),
+        "signature_count": F.coalesce(number_in(last_with(
+            found, "signature_count:", _GLOBAL_KEYS[:1], lambda s: F.regexp_like(s, F.lit(r"\d")))), F.lit(0)),
+        "signature_type": F.when(kind.isNull(), "unknown").when(F.contains(kind, F.lit("handwritten")), "handwritten").otherwise("typed"),
         "is_image_signature": says(shape, "is_image:", ("signature_type:",)),
         "is_scanned": says(shape, "is_scanned:", ("signature_type:", "is_image:")),
         "has_date": F.exists(raws, lambda s: part(s, raw_key) != ""),
+        "raw_date_text": F.coalesce(part(last(raws), raw_key), F.lit("")),
         "signature_date": F.coalesce(part(last(stds), std_key), F.lit("")),
         "confidence": graded_confidence(found, _GLOBAL_KEYS[:2]),
     }

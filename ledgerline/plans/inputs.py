@@ -178,6 +178,9 @@ SELECT c_custkey AS page_id,
        WHEN c_custkey % 6 = 4 THEN '<a href="/pdf/' || CAST(c_custkey AS STRING) || '">Old file</a>'
        ELSE '<p>Nothing &amp; no one</p>' END || '</body></html>' AS html
 FROM {customer}""",
+    "linked_pages": """
+SELECT page_id, url, html || CASE WHEN page_id % 3 = 0 THEN '<p><a href="/files/' || CAST(page_id AS STRING) || '.pdf">Report</a> <a name="x">none</a></p>' ELSE '' END AS html
+FROM {pages}""",
     "search_pages": """
 SELECT s_suppkey AS page_id, 'https://www.example.ca/cnt/rslts-en.aspx?pn=' || CAST(s_suppkey AS STRING) AS url,
   '<table><tr><th>Title</th></tr><tr><td><a href="dtls-en.aspx?d=PS&amp;i=' || CAST(s_suppkey % 40 AS STRING)
@@ -287,9 +290,11 @@ SELECT 'src_' || CAST(conv_id AS STRING), CAST(turn + 1 AS INT), 'extraction',
 FROM {conversations}""",
     "four_responses": """
 SELECT 'src_' || CAST(conv_id AS STRING) AS source_id, CAST(turn + 1 AS INT) AS page_number,
-  'has_signatures: ' || CASE WHEN turn % 2 = 0 THEN 'True' ELSE 'no' END || chr(10) || 'signature_count: 1' || chr(10)
+  'has_signatures: ' || CASE WHEN turn % 2 = 0 THEN 'True' ELSE 'no' END || chr(10) || 'signature_count: '
+  || CASE WHEN conv_id % 4 = 3 THEN 'some' ELSE CAST(turn + 1 AS STRING) || ' of 90' END || chr(10)
   || 'confidence: ' || CASE WHEN conv_id % 2 = 0 THEN 'HIGH' ELSE 'low' END AS detection,
-  'signature_type: typed' || chr(10) || 'is_image: ' || CASE WHEN conv_id % 3 = 0 THEN 'true' ELSE 'false' END || chr(10) || 'is_scanned: True'
+  'signature_type: ' || CASE WHEN conv_id % 4 = 0 THEN 'Typed' WHEN conv_id % 4 = 1 THEN 'stamp' ELSE 'typed or Handwritten' END
+  || chr(10) || 'is_image: ' || CASE WHEN conv_id % 3 = 0 THEN 'true' ELSE 'false' END || chr(10) || 'is_scanned: True'
     AS sig_analysis,
   CASE WHEN conv_id % 4 = 0 THEN ' plain answer ' || role || chr(10) ELSE 'x SIGNATORY_TEXT_1:' || chr(10) || 'A. Person' || CAST(turn AS STRING)
     || chr(10) || CASE WHEN conv_id % 4 = 1 THEN 'SIGNATORY_TEXT_2: other' ELSE 'CEO ' END END AS sig_text,
@@ -306,6 +311,22 @@ SELECT 'src_' || CAST(conv_id AS STRING) AS source_id, CAST(turn + 1 AS INT) AS
   || CASE WHEN conv_id % 4 = 0 THEN '3 May 2024' WHEN conv_id % 4 = 1 THEN 'May 3rd, 2024' WHEN conv_id % 4 = 2 THEN '' ELSE 'someday' END || chr(10)
   || 'SIGNATORY_2:' || chr(10) || 'NAME: Bob' END AS extraction
 FROM {conversations}""",
+    "delivered_responses": """
+SELECT 'src_' || CAST(conv_id AS STRING) AS source_id, CAST(turn + 1 AS INT) AS page_number, 'text' AS kind, 'first ' || role AS response, 1 AS arrival
+FROM {conversations}
+UNION ALL
+SELECT 'src_' || CAST(conv_id AS STRING), CAST(turn + 1 AS INT), 'text', CASE WHEN conv_id % 3 = 0 THEN 'a second ' ELSE 'first ' END || role, 2
+FROM {conversations} WHERE conv_id % 3 < 2
+UNION ALL
+SELECT 'src_' || CAST(conv_id AS STRING), CAST(turn + 1 AS INT), 'tables', CASE WHEN turn % 3 = 0 THEN NULL ELSE 'TABLE_1' END, 1 + CAST(turn % 3 AS INT)
+FROM {conversations} WHERE turn % 2 = 0""",
+    "url_ranges": """
+SELECT s_suppkey AS range_id,
+  CASE WHEN s_suppkey % 23 = 7 THEN NULL WHEN s_suppkey % 6 = 5 THEN 'https://www.example.ca/all?n=' || CAST(s_nationkey AS STRING)
+       ELSE 'https://www.example.ca/rslts-en.aspx?nb=50&n=' || CAST(s_nationkey AS STRING) || '&pn={{page}}' END AS template,
+  CASE WHEN s_suppkey % 19 = 3 THEN NULL ELSE s_suppkey % 8 - 1 END AS first,
+  s_suppkey % 8 - 1 + CASE WHEN s_suppkey % 50 = 1 THEN 120 ELSE s_suppkey % 9 - 2 END AS last
+FROM {supplier}""",
     "signer_pages": """
 SELECT doc_id, CAST(1 AS INT) AS page_number, text
   || CASE WHEN doc_id % 7 = 0 THEN chr(10) || 'Signed by John Smith' || chr(10) || '• on behalf' || chr(10) || 'Title:  Director of Trade'
@@ -319,6 +340,11 @@ SELECT 'pdf_' || CAST(l_suppkey AS STRING) AS source_id, l_orderkey AS page_numb
 FROM {lineitem}""",
 }
 
+# The two responses of a page arrive as two tables, and either may lack a page.
+for _name, _field, _rest in (("person_detections", "detection", "(page_number + n) % 7 <> 6"), ("person_extractions", "extraction", "(page_number + n) % 8 <> 4")):
+    INPUTS[_name] = f"""SELECT source_id, page_number, {_field} AS response
+FROM (SELECT *, CAST(substring(source_id, 5) AS INT) AS n FROM ({INPUTS["person_responses"]}) p) q WHERE {_rest}"""
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -334,10 +360,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def load(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
-    """A derived input as a DataFrame over the tables in ``folder``."""
+def load(spark: SparkSession, folder: str, name: str, heavy: bool = False, **given: DataFrame) -> DataFrame:
+    """A derived input as a DataFrame over the tables in ``folder``, or over ``given`` ones such as streams."""
     sql = INPUTS[name]
-    used = {t: table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql}
+    used = {t: given.get(t) or table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql}
     if heavy:
         used = {t: spread(df) for t, df in used.items()}
     return spark.sql(sql, **used)

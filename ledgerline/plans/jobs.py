@@ -55,8 +55,7 @@ def quality_report(profile: DataFrame, country: str) -> DataFrame:
         F.concat(F.lit("distribution."), "field").alias("section"),
         F.coalesce("value", F.lit("NO_MATCH")).alias("name"), F.col("count").cast("double").alias("value")))
     if country in SCORES:
-        means = profile.agg(*[F.bround(F.avg(c), 2).alias(c) for c in SCORES[country]])
-        parts.append(_long(means, "average"))
+        parts.append(_long(report.mean_scores(profile, SCORES[country]), "average"))
     if country == "australia":
         parts.append(_long(report.entity_structure(profile), "entities"))
     out = parts[0]
@@ -109,27 +108,34 @@ def combined_profiles(spark: SparkSession, output: str, countries: list[str]) ->
 
 def extract_records(found: DataFrame, jurisdiction: str, country: str | None = None) -> DataFrame:
     """Records of a table of pages (page_id, url, html), optionally of one detected country."""
-    elements = html.parse_pages(found)
     if jurisdiction == "canadian":
-        return pages.country_filter(pages.page_records(elements, "CA"), country)
+        return pages.country_filter(pages.page_records(html.parse_pages(found), "CA"), country)
     if jurisdiction == "australian":
+        elements = html.parse_pages(found, wanted=pages.needs("register_pdf_url"))
         urls = elements.select("page_id", "url", pages.register_pdf_url().alias("pdf_url"))
         return pages.clean_records(urls, ["pdf_url"], "url", "AU")
     raise ValueError(f"unsupported jurisdiction: {jurisdiction}")
 
 
-def crawl_to_log(stream: DataFrame, path: str, jurisdiction: str = "canadian",
-                 records: Callable[[DataFrame, str], DataFrame] = extract_records) -> None:
-    """Records of a stream of pages, appended to the result log as they come."""
-    result_log.append_log(result_log.log_lines(records(stream, jurisdiction), ["page_id"]), path)
+def crawl_to_log(stream: DataFrame, path: str, jurisdiction: str = "canadian", country: str | None = None,
+                 records: Callable[[DataFrame, str, str | None], DataFrame] = extract_records) -> None:
+    """Records of a stream of pages, optionally of one detected country, appended to the result log as they come.
+
+    Parsing, extraction, the country filter and the log are one streaming plan without state; a restart goes on from
+    the checkpoint beside the log, so that a page is logged once.
+    """
+    result_log.append_log(result_log.log_lines(records(stream, jurisdiction, country), ["page_id"]), path)
 
 
 DOCUMENT_KINDS = ["analysis", "text", "tables", "figures", "detection", "extraction"]
 
 
-def build_documents(answers: DataFrame, with_signatures: bool = False) -> DataFrame:
-    """Markdown and page totals per source from (source_id, page_number, kind, response)."""
-    wide = documents.with_analysis(responses.pages_wide(answers, DOCUMENT_KINDS))
+def build_documents(answers: DataFrame, with_signatures: bool = False, order: str | None = None) -> DataFrame:
+    """Markdown and page totals per source from (source_id, page_number, kind, response).
+
+    ``order`` decides between answers that came twice; without it a page whose answers differ is skipped.
+    """
+    wide = documents.with_analysis(responses.pages_wide(answers, DOCUMENT_KINDS, order))
     if not with_signatures:
         return documents.build_documents(wide)
     block = F.when(
@@ -138,7 +144,22 @@ def build_documents(answers: DataFrame, with_signatures: bool = False) -> DataFr
     return documents.build_documents(marked, "signature_block")
 
 
-def build_signatures(answers: DataFrame, parts: bool = False) -> DataFrame:
-    """Signature records from (source_id, page_number, kind, response)."""
-    wide = responses.pages_wide(answers, ["detection", "extraction"])
-    return signatures.output_records(signatures.signature_pages(wide), parts)
+def build_signatures(answers: DataFrame, parts: bool = False, order: str | None = None) -> DataFrame:
+    """Signature records from (source_id, page_number, kind, response).
+
+    ``order`` decides between answers that came twice; without it a page whose answers differ gives an error record.
+    """
+    wide = responses.pages_wide(answers, ["detection", "extraction"], order)
+    if order:
+        return signatures.output_records(signatures.signature_pages(wide), parts)
+    sound = wide.filter(F.col("error").isNull()).drop("error")
+    records = signatures.output_records(signatures.signature_pages(sound), parts)
+    return records.unionByName(signatures.error_records(wide.filter(F.col("error").isNotNull())))
+
+
+def build_person_signatures(detections: DataFrame, extractions: DataFrame, order: str | None = None) -> DataFrame:
+    """One record per signatory from two response tables, and an error record per page that cannot be paired."""
+    pairs = responses.pair_pages(detections, extractions, order=order)
+    records = signatures.person_records(pairs)
+    lost = signatures.error_records(responses.unpaired_pages(pairs))
+    return records.unionByName(lost.withColumn("page_number", F.col("page_number").cast("int")))

@@ -148,11 +148,11 @@ ca AS (SELECT statement_seq, organization AS organization_name, title AS stateme
 ALL = """
 every AS (
   SELECT data_country, organization_name, company_name, company_status, CAST(statement_year AS VARCHAR) AS statement_year,
-    is_active, industry_sectors, statement_url, abn AS ekey, statement_group_id AS skey FROM au
+    is_active, industry_sectors, statement_url, abn AS ekey, statement_group_id AS skey, incorporation_date, annual_revenue FROM au
   UNION ALL SELECT data_country, organization_name, company_name, company_status, CAST(statement_year AS VARCHAR), is_active,
-    industry_sectors, statement_url, organization_name, organization_name FROM ca
+    industry_sectors, statement_url, organization_name, organization_name, NULL, NULL FROM ca
   UNION ALL SELECT data_country, organization_name, company_name, company_status, CAST(statement_year AS VARCHAR), is_active,
-    industry_sectors, statement_url, company_number, company_number FROM uk)"""
+    industry_sectors, statement_url, company_number, company_number, incorporation_date, NULL FROM uk)"""
 
 
 def share(c: str) -> str:
@@ -193,6 +193,9 @@ AU_PDF = f"""CASE WHEN {K} % 6 = 0 THEN 'https://modernslaveryregister.gov.au/st
 RAW_TITLE = r"""regexp_replace(regexp_replace(trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')),
   '^.*?\s*-\s*', ''), '\s*-\s*.*?$', '')"""
 RAW_TITLE = f"CASE WHEN length({RAW_TITLE}) > 10 THEN {RAW_TITLE} END"
+RAW_LINKS = f"""SELECT page_id, CAST(n - 1 AS INT) AS position, href, 'https://www.example.ca' || href AS link
+FROM (SELECT page_id, unnest(links) AS href, unnest(range(1, len(links) + 1)) AS n
+  FROM (SELECT page_id, [replace(x, '&amp;', '&') FOR x IN regexp_extract_all(html, '<a href="([^"]*)"', 1)] AS links FROM {src("linked_pages")}))"""
 LINKS = """(SELECT s_suppkey AS page_id, 0 AS position, 'https://www.example.ca/cnt/dtls-en.aspx?d=PS&i=' || CAST(s_suppkey % 40 AS VARCHAR)
   AS statement_url FROM supplier
   UNION ALL SELECT s_suppkey, 2, 'https://www.example.ca/cnt/dtls-en.aspx?d=PS&i=' || CAST(s_suppkey AS VARCHAR) FROM supplier)"""
@@ -331,15 +334,15 @@ UNION ALL SELECT 'c' || CAST(c_custkey AS VARCHAR), c_name FROM customer""",
     "select_existing": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders",
     "register_rows": f"""SELECT *, 'AU' AS jurisdiction, 'Australian Modern Slavery Register' AS source_system,
   'Australia' AS country_filter FROM ({register_fields()})""",
-    "pdf_sources_csv": f"""SELECT 'csv_' || CAST(idx AS VARCHAR) AS source_id, value AS pdf_url, document_name,
-  idx AS original_index FROM {src("urls")}""",
+    "pdf_sources_csv": f"""SELECT 'csv_' || CAST(n AS VARCHAR) AS source_id, value AS pdf_url, document_name,
+  n AS original_index FROM (SELECT *, row_number() OVER (ORDER BY idx) - 1 AS n FROM {src("urls")})""",
     "pdf_sources_dir": """WITH l AS (SELECT '/data/in/' || lower(c_mktsegment) || '/' || c_name || '.v1.pdf' AS path, c_custkey, c_name,
     c_mktsegment FROM customer)
 SELECT 'dir_' || CAST(row_number() OVER (ORDER BY path) - 1 AS VARCHAR) || '_' || c_name || '.v1' AS source_id, path AS pdf_path,
   c_name || '.v1' AS document_name, c_custkey AS file_size, lower(c_mktsegment) || '/' || c_name || '.v1.pdf' AS relative_path FROM l""",
     "pdf_sources_urls": rf"""SELECT 'url_' || CAST(idx AS VARCHAR) || '_' || regexp_replace(f, '\.pdf$', '') AS source_id, url AS pdf_url,
   regexp_replace(f, '\.pdf$', '') AS document_name, idx AS original_index, f AS expected_filename
-FROM (SELECT idx, url, {FORCED_NAME} AS f FROM {URLS})""",
+FROM (SELECT idx, url, {FORCED_NAME} AS f FROM (SELECT url, row_number() OVER (ORDER BY idx) - 1 AS idx FROM {URLS}))""",
     "url_validation": f"""SELECT idx, url, 'Line ' || CAST(idx + 1 AS VARCHAR) || ': Invalid URL format: ' || url AS message FROM {URLS}
 WHERE NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+')""",
     "url_filename": f"""SELECT idx, CASE WHEN ends_with({URL_FILE}, '.pdf') THEN {URL_FILE}
@@ -422,8 +425,9 @@ ORDER BY count DESC, industry_sectors LIMIT 10""",
   (SELECT sum(compliance_score) / count(compliance_score) FROM uk) AS average_score FROM uk GROUP BY 1""",
     "country_summary": f"""WITH {AU}, {CA}, {UK}, {ALL},
 s AS (SELECT data_country, count(*) AS records, {unique("ekey")} AS unique_entities, {unique("skey")} AS unique_statements,
-  ({share("organization_name")} + {share("company_name")} + {share("company_status")} + {share("industry_sectors")}) / 4
-    AS average_completeness, count(company_name) / count(*) * 100 AS join_success_rate FROM every GROUP BY 1)
+  ({share("organization_name")} + {share("company_name")} + CASE WHEN data_country <> 'canada' THEN {share("incorporation_date")} ELSE 0 END
+    + {share("company_status")} + CASE WHEN data_country = 'australia' THEN {share("annual_revenue")} ELSE 0 END + {share("industry_sectors")})
+    / CASE data_country WHEN 'australia' THEN 6 WHEN 'uk' THEN 5 ELSE 4 END AS average_completeness, count(company_name) / count(*) * 100 AS join_success_rate FROM every GROUP BY 1)
 SELECT * FROM s UNION ALL SELECT 'all', CAST(sum(records) AS BIGINT), CAST(sum(unique_entities) AS BIGINT),
   CAST(sum(unique_statements) AS BIGINT), NULL, NULL FROM s""",
     "crawl_stats": f"""SELECT count({AU_PDF}) AS successful_extractions, count(*) - count({AU_PDF}) AS failed_extractions,
@@ -433,7 +437,7 @@ a AS (SELECT headquartered_countries AS c, count(*) AS n FROM ({register_fields(
 SELECT country, CAST(expected AS BIGINT) AS expected, coalesce(n, 0) AS actual,
   CASE WHEN coalesce(n, 0) = 0 THEN 'no data' WHEN n = expected THEN 'match' ELSE 'differs' END AS status
 FROM e LEFT JOIN a ON country = c""",
-    "all_countries": f"WITH {AU}, {CA}, {UK}, {ALL} SELECT * EXCLUDE (ekey, skey) FROM every",
+    "all_countries": f"WITH {AU}, {CA}, {UK}, {ALL} SELECT * EXCLUDE (ekey, skey, incorporation_date, annual_revenue) FROM every",
     "align_union": """SELECT s_acctbal AS balance, CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(NULL AS INT) AS region FROM supplier
 UNION ALL SELECT NULL, NULL, n_name, n_regionkey FROM nation
 UNION ALL SELECT NULL, 'p' || CAST(p_partkey AS VARCHAR), p_name, NULL FROM part""",
@@ -476,8 +480,12 @@ SELECT idx, CASE idx % 8 WHEN 0 THEN 'https://www.example.ca/cnt/rsrcs/dtls-en.a
   WHEN 2 THEN 'https://www.example.ca/cnt/up/' || k WHEN 3 THEN 'https://cdn.example.org/' || k
   WHEN 4 THEN 'https://www.example.ca/cnt/rsrcs/ctlg?q=' || k WHEN 5 THEN 'http://o.example.org/' || k
   WHEN 6 THEN 'https://www.example.ca/cnt/rsrcs/t/' || k || '#top' ELSE 'https://www.example.ca/cnt/rsrcs/ctlg?x=1' END AS url FROM u""",
-    "generate_urls": """SELECT n AS page, 'https://www.example.ca/rslts-en.aspx?nb=50&pn=' || CAST(n AS VARCHAR) AS url
-FROM (SELECT row_number() OVER () AS n FROM supplier)""",
+    "generate_urls": f"""WITH r AS (SELECT *, CASE WHEN template IS NULL OR first IS NULL OR last IS NULL THEN 'template, first or last page is missing'
+    WHEN first = -1 THEN 'first page is negative' WHEN first > last THEN 'range ends before it starts'
+    WHEN first < last AND contains(template, '/all?n=') THEN 'several pages need {{page}} in the template' END AS error FROM {src("url_ranges")})
+SELECT range_id, page, replace(template, '{{page}}', CAST(page AS VARCHAR)) AS url, error
+FROM (SELECT *, unnest(range(CAST(first AS BIGINT), CAST(last AS BIGINT) + 1)) AS page FROM r WHERE error IS NULL)
+UNION ALL SELECT range_id, NULL, NULL, error FROM r WHERE error IS NOT NULL""",
     "file_type": r"""SELECT page_id, CASE WHEN regexp_matches(lower(url), '\.([a-z0-9]+)(\?|$)')
   THEN regexp_extract(lower(url), '\.([a-z0-9]+)(\?|$)', 1) ELSE 'pdf' END AS file_type FROM pages""",
     "log_lines": f"""SELECT page_id, {strip("replace(replace(coalesce(nullif(title, ''), 'NO_TITLE'), ',', ';'), chr(10), ' ')")} AS title,
@@ -488,6 +496,9 @@ FROM (SELECT row_number() OVER () AS n FROM supplier)""",
   WHEN regexp_matches(html, '(?i)(^|[^{W}])français($|[^{W}])') THEN 'fr' ELSE 'en' END AS language
 FROM (SELECT page_id, html, lower(regexp_extract(html, '<html lang="([^"]*)"', 1)) AS l FROM pages)""",
     "page_pdf_url": f"SELECT {K} AS page_id, {PDF} AS pdf_url FROM customer",
+    "raw_pdf_url": "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '/files/' || CAST(page_id AS VARCHAR) || '.pdf' END AS pdf_url FROM pages",
+    "raw_links": RAW_LINKS,
+    "lateral_links": RAW_LINKS,
     "page_year": f"SELECT {K} AS page_id, {PAGE_YEAR} AS year FROM customer",
     "page_org": f"SELECT {K} AS page_id, {TITLE} AS title, {ORG} AS organization FROM customer",
     "page_legal": f"SELECT {K} AS page_id, {LAW} AS reporting_law, {FRAME} AS legal_framework, {STYPE} AS statement_type FROM customer",
@@ -561,6 +572,9 @@ SELECT source_id, total_pages, coalesce(processed, 0) AS processed_pages, total_
     "sig_v2_records": f"""SELECT {SID} AS source_id, {PG} AS page_number, true AS has_signature,
   CASE WHEN conv_id % 4 = 0 THEN 'plain answer ' || role WHEN conv_id % 4 = 1 THEN 'A. Person' || CAST(turn AS VARCHAR)
     ELSE 'A. Person' || CAST(turn AS VARCHAR) || chr(10) || 'CEO' END AS signatory_text, conv_id % 3 = 0 AS is_image_signature,
+  CASE WHEN conv_id % 4 = 3 THEN 0 ELSE CAST(turn + 1 AS INT) END AS signature_count,
+  CASE conv_id % 4 WHEN 0 THEN 'typed' WHEN 1 THEN 'unknown' ELSE 'handwritten' END AS signature_type,
+  CASE WHEN conv_id % 3 = 1 THEN '' ELSE '5 May 2024' END AS raw_date_text,
   true AS is_scanned, conv_id % 3 <> 1 AS has_date, CASE WHEN conv_id % 5 = 0 THEN '' ELSE '2024-05-05' END AS signature_date,
   CASE WHEN conv_id % 2 = 0 THEN 'high' ELSE 'low' END AS confidence FROM conversations WHERE turn % 2 = 0""",
     "sig_v5_parse": f"""SELECT {SID} AS source_id, {PG} AS page_number, (conv_id + turn) % 3 = 0 AS has_signatures,
@@ -571,12 +585,26 @@ SELECT source_id, total_pages, coalesce(processed, 0) AS processed_pages, total_
     "sig_v5_records": f"""WITH c AS (SELECT *, {SID} AS source_id, {PG} AS page_number,
     CASE WHEN conv_id % 4 < 2 THEN '2024-05-03' WHEN conv_id % 4 = 2 THEN '' ELSE 'someday' END AS d,
     CASE WHEN conv_id % 2 = 0 THEN 'Yes' ELSE 'No' END AS img FROM conversations),
-y AS (SELECT * FROM c WHERE (conv_id + turn) % 3 = 0 AND (conv_id + turn) % 9 <> 6)
+y AS (SELECT * FROM c WHERE (conv_id + turn) % 3 = 0 AND (conv_id + turn) % 9 <> 6 AND (conv_id + turn) % 7 <> 5 AND (conv_id + turn) % 8 <> 3)
 SELECT source_id, page_number, 'Yes' AS Signature, 'Ann ' || CAST(conv_id AS VARCHAR) || CASE WHEN turn % 2 = 0 THEN ' | CEO' ELSE '' END
   || ' | Acme: North' AS Signature_Yes_text, img AS Signature_Image, 'No' AS Signature_scanned,
   CASE WHEN d <> '' THEN 'Yes' ELSE 'No' END AS Presence_Signature_date, d AS Signature_Date, 'high' AS confidence FROM y
 UNION ALL SELECT source_id, page_number, 'Yes', 'Bob', img, 'No', 'No', '', 'high' FROM y
-UNION ALL SELECT source_id, page_number, 'No', '', 'No', 'No', 'No', '', 'N/A' FROM c WHERE (conv_id + turn) % 3 <> 0 AND turn = 0""",
+UNION ALL SELECT source_id, page_number, 'No', '', 'No', 'No', 'No', '', 'N/A' FROM c WHERE ((conv_id + turn) % 3 <> 0 OR (conv_id + turn) % 7 = 5)
+  AND turn = 0 AND NOT ((conv_id + turn) % 7 = 5 AND (conv_id + turn) % 8 = 3)""",
+    "page_pairs": f"""SELECT {SID} AS source_id, {PG} AS page_number, CASE WHEN (conv_id + turn) % 7 <> 5 THEN detection END AS detection,
+  CASE WHEN (conv_id + turn) % 8 <> 3 THEN extraction END AS extraction, CAST(NULL AS VARCHAR) AS error
+FROM conversations JOIN {src("person_responses")} p ON p.source_id = {SID} AND p.page_number = {PG}
+WHERE (conv_id + turn) % 7 <> 5 OR (conv_id + turn) % 8 <> 3""",
+    "unpaired_pages": f"""SELECT 'Error' AS Signature, 'Processing Error: no ' || CASE WHEN (conv_id + turn) % 7 = 5 THEN 'detection' ELSE 'extraction' END
+  || ' response' AS Signature_Yes_text, 'No' AS Signature_Image, 'No' AS Signature_scanned, 'No' AS Presence_Signature_date, '' AS Signature_Date,
+  {SID} AS source_id, turn + 1 AS page_number, 'error' AS confidence FROM conversations
+WHERE ((conv_id + turn) % 7 = 5) <> ((conv_id + turn) % 8 = 3)""",
+    "latest_answers": f"""SELECT {SID} AS source_id, {PG} AS page_number, CASE WHEN conv_id % 3 = 0 THEN 'a second ' ELSE 'first ' END || role AS text,
+  CASE WHEN turn % 6 IN (2, 4) THEN 'TABLE_1' END AS tables FROM conversations""",
+    "answer_conflicts": f"""SELECT {SID} AS source_id, {PG} AS page_number, CASE WHEN conv_id % 3 <> 0 THEN 'first ' || role END AS text,
+  CASE WHEN turn % 6 IN (2, 4) THEN 'TABLE_1' END AS tables, CASE WHEN conv_id % 3 = 0 THEN 'several different answers: text' END AS error
+FROM conversations""",
     "signature_records": f"WITH {SIG} SELECT {OUT.format(text='t', scanned=chr(39) + 'No' + chr(39))} FROM so",
     "signature_records_parts": f"""WITH {SIG}, q AS (SELECT * REPLACE (CASE WHEN turn % 4 = 0 THEN lower(t) || ' | ' || t
   ELSE t || ' | ' || lower(t) END AS t) FROM so) SELECT {OUT.format(text='t', scanned=chr(39) + 'No' + chr(39))} FROM q""",
@@ -604,6 +632,8 @@ FROM picks WHERE picked GROUP BY 1""",
     "signer_rows": signer_sql() + f""" SELECT p.doc_id, p.page_number, length(p.text) AS raw_text_len, h.name, h.role, h.context,
   'pdf_text' AS source FROM {src("signer_pages")} p LEFT JOIN hits h ON p.doc_id = h.doc_id AND p.page_number = h.page_number""",
     "stream_log": f"""SELECT page_id, replace(coalesce({RAW_TITLE}, 'NO_TITLE'), ',', ';') AS title, url FROM pages""",
+    "stream_country_log": f"""SELECT {K} AS page_id, {TITLE} AS title, coalesce({PDF}, 'https://www.example.ca/cnt/dtls-en.aspx?d=PS&i=' || CAST({K} AS VARCHAR)) AS url
+FROM customer WHERE {K} % 6 = 0 AND {K} % 7 > 3""",
     "stream_count": "SELECT count(*) AS count FROM events",
     "latest_log": f"""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, {EVENT_TITLE} AS title, {EVENT_URL} AS url
 FROM events ORDER BY 2 DESC, event_id DESC LIMIT 5""",
@@ -627,3 +657,21 @@ x AS (SELECT i3.source_id, i3.page_number, CASE WHEN i3.has_signatures AND sg.co
     chr(10) || chr(10) || '## Signature 1' || chr(10) || chr(10) || {_BLOCK} || chr(10) || chr(10)) ELSE c END AS e
   FROM i3 LEFT JOIN sg ON i3.conv_id = sg.conv_id AND i3.turn = sg.turn)
 SELECT source_id, page_number, coalesce({strip("regexp_replace(e, '\\n{3,}', chr(10) || chr(10), 'g')")}, '') AS integrated_content FROM x"""
+
+# Sinks give back what was written.
+ORACLES["sink_csv"] = f"SELECT page_id, url, title, pdf_url, CAST(pages AS VARCHAR) AS pages FROM {src('raw_records')}"
+ORACLES["sink_json"] = f"""SELECT {K} AS page_id, {TITLE} AS title, {PAGE_YEAR} AS year, {SECTORS2} AS industry_sectors_additional,
+  {SUBS} AS subsidiary_companies FROM customer"""
+ORACLES["sink_per_source"] = ORACLES["signature_records"]
+ORACLES["sink_markdown"] = f"""SELECT source_id, CASE WHEN final_markdown = '' THEN 'No content was extracted from the document.'
+  ELSE final_markdown END AS final_markdown FROM ({ORACLES["document_result"]}) d"""
+ORACLES["sink_summary"] = ORACLES["country_summary"]
+ORACLES["sink_signers"] = f"SELECT r.*, format FROM ({ORACLES['signer_rows']}) r, (VALUES ('csv'), ('json')) f(format)"
+ORACLES["sink_links"] = f"""WITH u AS (SELECT DISTINCT statement_url AS line FROM {LINKS})
+SELECT line FROM u UNION ALL SELECT '# Total URLs: ' || CAST(count(*) AS VARCHAR) FROM u
+UNION ALL VALUES ('# Statement URLs collected for CA'), ('# Generated: 2025-01-01 00:00:00'), ('#')"""
+ORACLES["concat_batches"] = f"SELECT * FROM ({ORACLES['signature_records']}) a UNION ALL BY NAME SELECT * FROM ({ORACLES['signature_errors']}) b"
+ORACLES["mean_scores"] = f"""WITH {CA} SELECT round_even(avg(data_completeness_score), 2) AS data_completeness_score,
+  round_even(avg(recency_score), 2) AS recency_score FROM ca"""
+ORACLES["scan_uk_registry"] = f"SELECT * FROM {src('uk_registry')}"
+ORACLES["scan_ca_registry"] = f"SELECT * EXCLUDE (idx_text) REPLACE (CAST(idx AS VARCHAR) AS idx) FROM {src('ca_registry')}"

@@ -60,7 +60,9 @@ def au_join_sides(
 
 def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     entities, companies = au_join_sides(statements, registry, tiebreak)
-    joined = registry_join(entities, companies, "ABN", "ABN", "_asic")
+    # preferring current names loses no ABN
+    abns = registry.select(blank_to_null(F.col("ABN").cast("string")).alias("ABN")) if "ABN" in registry.columns else None
+    joined = registry_join(entities, companies, "ABN", "ABN", "_asic", right_keys=abns)
     return key_first(joined.withColumn("join_method", F.lit("ABN")), "ABN")
 
 

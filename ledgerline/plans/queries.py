@@ -15,7 +15,7 @@ from ..operators import (
 from ..session import shared_dir
 from ..sources import pdf_lists, register, sinks, tables
 from ..streaming import result_log
-from . import profiles
+from . import jobs, profiles
 from .inputs import load, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,22 @@ def scan_tsv_ragged(spark, folder):
     return tables.read_au_registry(spark, f"{path}/registry.tsv")
 
 
+@query
+def scan_uk_registry(spark, folder):
+    """A registry file with dots in its header, one row a line, read in splits."""
+    path = _scratch(spark, "scan_uk_registry")
+    rows = load(spark, folder, "uk_registry")
+    sinks.write_csv(rows.toDF(*[c.replace("RegAddress_", "RegAddress.").replace("Mortgages_", "Mortgages.") for c in rows.columns]), path)
+    return tables.read_uk_registry(spark, path)
+
+
+@query
+def scan_ca_registry(spark, folder):
+    path = _scratch(spark, "scan_ca_registry")
+    sinks.write_csv(load(spark, folder, "ca_registry"), path)
+    return tables.read_ca_registry(spark, path)
+
+
 @query
 def union_relaxed(spark, folder):
     """A whole-number key beside a text key of the same name."""
@@ -106,8 +122,10 @@ def register_rows(spark, folder):
 
 @query
 def pdf_sources_csv(spark, folder):
-    rows = load(spark, folder, "urls").withColumnRenamed("value", "pdf_url")
-    return pdf_lists.csv_sources(rows)
+    """A written CSV list, numbered by its lines."""
+    path = _scratch(spark, "pdf_list")
+    sinks.write_csv(load(spark, folder, "urls").select(F.col("value").alias("pdf_url"), "document_name"), path)
+    return pdf_lists.read_csv_sources(spark, path)
 
 
 @query
@@ -122,7 +140,10 @@ def pdf_sources_dir(spark, folder):
 
 @query
 def pdf_sources_urls(spark, folder):
-    return pdf_lists.url_sources(pdf_lists.listed_urls(load(spark, folder, "urls").drop("document_name")))
+    """A written text list, numbered by its lines that hold a URL."""
+    path = _scratch(spark, "url_list")
+    load(spark, folder, "urls").select("value").write.text(path)
+    return pdf_lists.read_url_sources(spark, path)
 
 
 @query
@@ -136,6 +157,74 @@ def url_filename(spark, folder):
     return listed.select("idx", urls.url_file_name(F.col("url")).alias("file_name"))
 
 
+# --- sinks, written and read back ---
+
+@query
+def sink_csv(spark, folder):
+    """Null, empty and blank text and line breaks come back from CSV as they were."""
+    path = _scratch(spark, "sink_csv")
+    sinks.write_records(load(spark, folder, "raw_records"), path, "csv")
+    return tables.read_delimited(spark, path).withColumn("page_id", F.col("page_id").cast("bigint"))
+
+
+@query
+def sink_json(spark, folder):
+    """Records with lists, as JSON lines."""
+    path = _scratch(spark, "sink_json")
+    rows = _records(spark, folder).select("page_id", "title", "year", "industry_sectors_additional", "subsidiary_companies")
+    sinks.write_records(rows, path, "json")
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select("page_id", "title", F.col("year").cast("bigint").alias("year"), _joined("industry_sectors_additional"), _joined("subsidiary_companies"))
+
+
+@query
+def sink_per_source(spark, folder):
+    """Signature records in buckets of sources; the union of the buckets is the consolidated file."""
+    path = _scratch(spark, "sink_per_source")
+    rows = _output(spark, folder)
+    sinks.write_per_source(rows, path, buckets=16)
+    return signatures.consolidated(spark.read.schema(rows.schema).json(path)).select(*rows.columns)
+
+
+@query
+def sink_markdown(spark, folder):
+    """One document per source; a source without content gets a note."""
+    path = _scratch(spark, "sink_markdown")
+    sinks.write_markdown(documents.build_documents(_page_table(spark, folder)), path, buckets=16)
+    return spark.read.schema("source_id string, final_markdown string").json(path).drop("bucket")
+
+
+@query
+def sink_summary(spark, folder):
+    path = _scratch(spark, "sink_summary")
+    rows = country_summary(spark, folder)
+    sinks.write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+@query
+def sink_signers(spark, folder):
+    """Signer rows as CSV and as JSON lines."""
+    path = _scratch(spark, "sink_signers")
+    written = f"{path}/rows"
+    signer_rows(spark, folder).write.parquet(written)
+    rows = spark.read.parquet(written)
+    sinks.write_records(rows, f"{path}/csv", "csv")
+    sinks.write_records(rows, f"{path}/json", "json")
+    types = {f.name: f.dataType for f in rows.schema}
+    text = tables.read_delimited(spark, f"{path}/csv")
+    back = {"csv": text.select(*[F.col(c).cast(types[c]) for c in rows.columns]), "json": spark.read.schema(rows.schema).json(f"{path}/json")}
+    return back["csv"].withColumn("format", F.lit("csv")).unionByName(back["json"].withColumn("format", F.lit("json")))
+
+
+@query
+def sink_links(spark, folder):
+    """Distinct statement links and the lines of their header."""
+    path = _scratch(spark, "sink_links")
+    sinks.write_links(page_links(spark, folder), path, "ca", "2025-01-01 00:00:00", "statement_url")
+    return spark.read.text(f"{path}/header").unionByName(spark.read.text(f"{path}/links")).withColumnRenamed("value", "line")
+
+
 # --- cleaning and filters ---
 
 @query
@@ -408,6 +497,11 @@ def compliance_dist(spark, folder):
         "compliance_score", F.col("compliance_score").cast("bigint"))
 
 
+@query
+def mean_scores(spark, folder):
+    return report.mean_scores(_ca(spark, folder), ["data_completeness_score", "recency_score"])
+
+
 def _all_countries(spark, folder) -> DataFrame:
     return schema.align_union(_au(spark, folder), _ca(spark, folder), _uk(spark, folder))
 
@@ -424,13 +518,17 @@ def country_summary(spark, folder):
         .otherwise(key("organization_name")),
         "is_matched": F.col("company_name").isNotNull(),
     })
-    fields = ["organization_name", "company_name", "company_status", "industry_sectors"]
-    return report.country_summary(rows.select(*fields, "data_country", "entity_key", "statement_key", "is_matched"))
+    rows = rows.select(*report.KEY_FIELDS, "data_country", "entity_key", "statement_key", "is_matched")
+    return report.country_summary(rows, fields={
+        "australia": report.KEY_FIELDS,
+        "canada": [f for f in report.KEY_FIELDS if f not in ("incorporation_date", "annual_revenue")],
+        "uk": [f for f in report.KEY_FIELDS if f != "annual_revenue"],
+    })
 
 
 @query
 def crawl_stats(spark, folder):
-    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
+    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True), wanted=pages.needs("register_pdf_url"))
     return report.crawl_stats(found, pages.register_pdf_url().isNotNull())
 
 
@@ -601,8 +699,8 @@ def absolute_urls(spark, folder):
 
 @query
 def generate_urls(spark, folder):
-    last = table(spark, folder, "supplier").count()
-    return urls.page_urls(spark, "https://www.example.ca/rslts-en.aspx?nb=50&pn={page}", 1, last)
+    """Search pages of several sites, each with its own range; bad ranges as error rows."""
+    return urls.page_urls(load(spark, folder, "url_ranges"), chunk=50).select("range_id", "page", "url", "error")
 
 
 @query
@@ -618,8 +716,14 @@ def log_lines(spark, folder):
 
 # --- pages ---
 
-def _statement_pages(spark, folder) -> DataFrame:
-    return html.parse_pages(load(spark, folder, "statement_pages", heavy=True))
+def _statement_pages(spark, folder, *rules: str) -> DataFrame:
+    """Parsed statement pages: what the rules read, or all elements."""
+    found = load(spark, folder, "statement_pages", heavy=True)
+    return html.parse_pages(found, wanted=pages.needs(*rules)) if rules else html.parse_pages(found)
+
+
+def _raw_pages(spark, folder, *rules: str) -> DataFrame:
+    return html.parse_pages(spread(table(spark, folder, "pages")), wanted=pages.needs(*rules))
 
 
 def _records(spark, folder) -> DataFrame:
@@ -628,7 +732,7 @@ def _records(spark, folder) -> DataFrame:
 
 @query
 def page_links(spark, folder):
-    found = html.parse_pages(load(spark, folder, "search_pages", heavy=True))
+    found = html.parse_pages(load(spark, folder, "search_pages", heavy=True), wanted=pages.needs("statement_links"))
     return pages.statement_links(found, "https://www.example.ca/cnt/").select(
         "page_id", F.col("position").cast("bigint"), "statement_url")
 
@@ -636,34 +740,62 @@ def page_links(spark, folder):
 @query
 def page_title(spark, folder):
     """Titles of the raw web pages."""
-    return html.parse_pages(spread(table(spark, folder, "pages"))).select("page_id", pages.title().alias("title"))
+    return _raw_pages(spark, folder, "title").select("page_id", pages.title().alias("title"))
 
 
 @query
 def page_language(spark, folder):
-    return html.parse_pages(spread(table(spark, folder, "pages"))).select("page_id", pages.language().alias("language"))
+    return _raw_pages(spark, folder, "language").select("page_id", pages.language().alias("language"))
 
 
 @query
 def page_pdf_url(spark, folder):
-    return _statement_pages(spark, folder).select("page_id", pages.pdf_url().alias("pdf_url"))
+    return _statement_pages(spark, folder, "pdf_url").select("page_id", pages.pdf_url().alias("pdf_url"))
+
+
+@query
+def raw_pdf_url(spark, folder):
+    """PDF links of the raw web pages, some of which end in one."""
+    found = html.parse_pages(load(spark, folder, "linked_pages", heavy=True), wanted=pages.needs("pdf_url"))
+    return found.select("page_id", pages.pdf_url().alias("pdf_url"))
+
+
+def _anchors(root) -> list[str]:
+    """A caller's link extractor: every address of the page, in order."""
+    return [a.attrs["href"] for a in root.find_all("a") if "href" in a.attrs]
+
+
+@query
+def raw_links(spark, folder):
+    """A caller's link extractor over the raw web pages."""
+    found = html.links_with(load(spark, folder, "linked_pages", heavy=True), _anchors, "https://www.example.ca/")
+    return found.select("page_id", "position", "href", "link")
+
+
+@query
+def lateral_links(spark, folder):
+    """The same extractor as a table function, in a lateral call of SQL."""
+    spark.udtf.register("links_of", html.link_table(_anchors))
+    return spark.sql(
+        "SELECT p.page_id, l.position, l.href, concat('https://www.example.ca', l.href) AS link FROM {linked} p, LATERAL links_of(p.html) l",
+        linked=load(spark, folder, "linked_pages", heavy=True))
 
 
 @query
 def page_year(spark, folder):
-    rows = pages.with_title(_statement_pages(spark, folder))
+    rows = pages.with_title(_statement_pages(spark, folder, "title", "year"))
     return rows.select("page_id", pages.year(F.col("title")).cast("bigint").alias("year"))
 
 
 @query
 def page_org(spark, folder):
-    rows = pages.with_title(_statement_pages(spark, folder))
+    rows = pages.with_title(_statement_pages(spark, folder, "title"))
     return rows.select("page_id", "title", pages.organization(F.col("title")).alias("organization"))
 
 
 @query
 def page_legal(spark, folder):
-    return _statement_pages(spark, folder).select(
+    return _statement_pages(spark, folder, "sections").select(
         "page_id", *[c.alias(n) for n, c in pages.legal_fields().items()])
 
 
@@ -675,7 +807,7 @@ def page_industry(spark, folder):
 
 @query
 def page_company(spark, folder):
-    rows = _statement_pages(spark, folder).select(
+    rows = _statement_pages(spark, folder, "sections").select(
         "page_id", *[c.alias(n) for n, c in pages.company_fields().items()])
     return rows.withColumn("subsidiary_companies", _joined("subsidiary_companies"))
 
@@ -695,7 +827,7 @@ def page_records(spark, folder):
 
 @query
 def au_pdf_url(spark, folder):
-    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True))
+    found = html.parse_pages(load(spark, folder, "register_pages", heavy=True), wanted=pages.needs("register_pdf_url"))
     return found.select("page_id", pages.register_pdf_url().alias("pdf_url"))
 
 
@@ -890,7 +1022,36 @@ def sig_v5_parse(spark, folder):
 
 @query
 def sig_v5_records(spark, folder):
-    return signatures.person_records(load(spark, folder, "person_responses"))
+    """Records from the two response tables; a page that only one of them holds has no signatory."""
+    return signatures.person_records(_person_pages(spark, folder))
+
+
+def _person_pages(spark, folder) -> DataFrame:
+    return responses.pair_pages(load(spark, folder, "person_detections"), load(spark, folder, "person_extractions"))
+
+
+@query
+def page_pairs(spark, folder):
+    """Detection and extraction responses of each page, side by side."""
+    return _person_pages(spark, folder)
+
+
+@query
+def unpaired_pages(spark, folder):
+    """Pages that one of the two response tables lacks, as error records."""
+    return signatures.error_records(responses.unpaired_pages(_person_pages(spark, folder)))
+
+
+@query
+def latest_answers(spark, folder):
+    """Pages whose answers came more than once: the last one counts."""
+    return responses.pages_wide(load(spark, folder, "delivered_responses"), ["text", "tables"], order="arrival")
+
+
+@query
+def answer_conflicts(spark, folder):
+    """The same pages without an order: differing answers make a page an error."""
+    return responses.pages_wide(load(spark, folder, "delivered_responses"), ["text", "tables"])
 
 
 @query
@@ -910,6 +1071,14 @@ def signature_errors(spark, folder):
     return signatures.error_records(rows)
 
 
+@query
+def concat_batches(spark, folder):
+    """Results of several batches, one of them errors, as one table."""
+    pages_ = _signature_pages(spark, folder)
+    batches = [signatures.output_records(pages_.filter(F.col("page_number") % 2 == k)) for k in (0, 1)]
+    return schema.align_union(*batches, signature_errors(spark, folder))
+
+
 @query
 def consolidated_signatures(spark, folder):
     records = _output(spark, folder).drop("Signature_scanned")
@@ -995,6 +1164,15 @@ def stream_count(spark, folder):
     return result_log.read_count(spark, path)
 
 
+@query
+def stream_country_log(spark, folder):
+    """Statement pages as a stream: only the records of one detected country reach the log."""
+    path = result_log.new_log(spark, "stream_country")
+    found = load(spark, folder, "statement_pages", customer=result_log.stream_table(spark, folder, "customer"))
+    jobs.crawl_to_log(found, path, "canadian", "united states")
+    return result_log.read_log(spark, path)
+
+
 @query
 def latest_log(spark, folder):
     path = result_log.new_log(spark, "latest_log")

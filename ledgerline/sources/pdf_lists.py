@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.text import strip
 from ..functions.urls import is_valid_url, last_segment
+from ..session import shared_dir
 from .tables import read_delimited
 
 
 def numbered(df: DataFrame, order: str | None = None) -> DataFrame:
     """0-based position of each row over the whole table, as ``idx``.
 
-    With ``order``, by that column's values; otherwise in file order. Each
-    partition is counted first and then numbered from its offset, so the rows
-    are never gathered in one task.
+    Without ``order``, the rows come straight from files and are numbered by path and line: Spark reads a file block in
+    one task, so a row's place is its place in the block after the rows of all blocks before. With ``order``, they are
+    numbered by that column, equal values by the others; the sorted rows and their places are written once, since a second
+    sort may cut its ranges elsewhere. Either way one task sums up the rows per block, never the rows.
     """
-    rows = df.orderBy(order) if order else df
-    schema = T.StructType([*rows.schema.fields, T.StructField("idx", T.LongType(), False)])
-    return rows.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])).toDF(schema)
+    place = F.monotonically_increasing_id()
+    if order:
+        rows = df.orderBy(order, *[c for c in df.columns if c != order])
+        rows = written_once(rows.select("*", F.shiftright(place, 33).alias("_block"), place.alias("_place")))
+    else:
+        origin = df.metadataColumn("_metadata")
+        rows = df.select("*", F.struct(origin["file_path"], origin["file_block_start"]).alias("_block"), place.alias("_place"))
+    sizes = rows.groupBy("_block").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    offsets = sizes.select("_block", (before - F.col("_first")).alias("_offset"))
+    return rows.join(offsets, "_block").select(*df.columns, (F.col("_place") + F.col("_offset")).alias("idx"))
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """The rows read from a table written in the shared folder, which the caller of the job clears."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def csv_sources(rows: DataFrame, idx: str = "idx") -> DataFrame:
@@ -60,7 +81,7 @@ def directory_sources(files: DataFrame, root: str, idx: str = "idx") -> DataFram
     """Source rows from a listing of (path, length) and its row number by path."""
     name, stem = F.element_at(F.split("path", "/"), -1), _stem("path")
     relative = F.when(
-        F.startswith("path", F.lit(root)), F.ltrim(F.substring("path", len(root) + 1, 1 << 20), F.lit("/"))
+        F.startswith("path", F.lit(root)), F.ltrim(F.substring("path", F.lit(len(root) + 1), F.length("path")), F.lit("/"))
     ).otherwise(name)
     return files.select(
         F.concat(F.lit("dir_"), F.col(idx).cast("string"), F.lit("_"), stem).alias("source_id"),

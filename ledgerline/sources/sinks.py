@@ -50,9 +50,9 @@ def write_markdown(documents: DataFrame, path: str, text: str = "final_markdown"
 
 
 def write_links(links: DataFrame, path: str, jurisdiction: str, generated: str, url: str = "url") -> None:
-    """Distinct links as text, and their header (total and time) beside them."""
-    links.select(F.col(url).alias("value")).write.mode("overwrite").text(f"{path}/links")
-    total = links.agg(F.count("*").cast("string").alias("n"))
+    """Distinct links as text, and their header (total and time) beside them. A null is no link."""
+    links.select(F.col(url).alias("value")).filter("value IS NOT NULL").distinct().write.mode("overwrite").text(f"{path}/links")
+    total = links.sparkSession.read.text(f"{path}/links").agg(F.count("*").cast("string").alias("n"))
     rows = F.array(
         F.lit(f"# Statement URLs collected for {jurisdiction.upper()}"),
         F.lit(f"# Generated: {generated}"),

@@ -84,16 +84,40 @@ def _text_schema(header: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in header])
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The first line of each file, or of the first file of a folder. The driver opens the files; no job runs."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(name: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        while fs.getFileStatus(path).isDirectory():
+            inside = sorted(f.getPath().toString() for f in fs.listStatus(path) if f.getPath().getName()[0] not in "_.")
+            if not inside:
+                return ""
+            path = jvm.org.apache.hadoop.fs.Path(inside[0])
+        codec, stream = codecs.getCodec(path), fs.open(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
+    return [first(p) for p in paths]
+
+
 def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names of one file, from its first line only."""
     first = spark.read.option("sep", sep).option("header", True).option("inferSchema", False)
     return first.csv(path).columns
 
 
-def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
-    """All text, quoted newlines kept; short lines end in nulls, extra fields are dropped.
+def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",", newlines: bool | None = None) -> DataFrame:
+    """All text; short lines end in nulls, extra fields are dropped.
 
-    An empty field is null and a quoted empty one is '': no field equals NULL_TEXT.
+    An empty field is null and a quoted empty one is '': no field equals NULL_TEXT. With ``newlines`` (the default for
+    commas) quoted fields may go over several lines, and a file is one task's work; without it large files are split.
     """
     paths = [paths] if isinstance(paths, str) else paths
     header = read_header(spark, paths[0], sep)
@@ -101,22 +125,23 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",")
         spark.read.schema(_text_schema(header))
         .option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
         .option("quote", '"').option("escape", '"').option("enforceSchema", True)
-        .option("multiLine", sep == ",").option("nullValue", NULL_TEXT)
+        .option("multiLine", sep == "," if newlines is None else newlines).option("nullValue", NULL_TEXT)
     )
     return reader.csv(paths)
 
 
-def read_matching(spark: SparkSession, folder: str, pattern: str, columns: list[str]) -> DataFrame:
+def read_matching(spark: SparkSession, folder: str, pattern: str, columns: list[str], newlines: bool = True) -> DataFrame:
     """All matching CSV files as one table of the wanted columns.
 
-    Files with the same header share one scan; different headers are aligned.
+    Files with the same first line share one scan, and only one of them is read for its header; different headers are aligned.
     """
-    by_header: dict[tuple, list[str]] = {}
-    for path in list_files(spark, folder, pattern):
-        by_header.setdefault(tuple(read_header(spark, path)), []).append(path)
+    paths = list_files(spark, folder, pattern)
+    by_header: dict[str, list[str]] = {}
+    for path, line in zip(paths, first_lines(spark, paths)):
+        by_header.setdefault(line, []).append(path)
     tables = [
-        select_existing(clean_names(read_delimited(spark, paths)), columns)
-        for paths in by_header.values()
+        select_existing(clean_names(read_delimited(spark, same, newlines=newlines)), columns)
+        for same in by_header.values()
     ]
     if len(tables) == 1:
         return tables[0]
@@ -124,29 +149,30 @@ def read_matching(spark: SparkSession, folder: str, pattern: str, columns: list[
     return select_existing(merged, columns)
 
 
-def read_au_statements(spark, folder):
-    return read_matching(spark, folder, "au_*.csv", AU_STATEMENT_COLUMNS)
+def read_au_statements(spark, folder, newlines=True):
+    return read_matching(spark, folder, "au_*.csv", AU_STATEMENT_COLUMNS, newlines)
 
 
-def read_uk_statements(spark, folder):
-    return read_matching(spark, folder, "StatementSummaries*.csv", UK_STATEMENT_COLUMNS)
+def read_uk_statements(spark, folder, newlines=True):
+    return read_matching(spark, folder, "StatementSummaries*.csv", UK_STATEMENT_COLUMNS, newlines)
 
 
-def _read_file(spark, path, columns, sep=","):
-    table = clean_names(read_delimited(spark, path, sep))
+def _read_file(spark, path, columns, sep=",", newlines=False):
+    """A registry holds one row a line, so that its large files are split."""
+    table = clean_names(read_delimited(spark, path, sep, newlines))
     return clean_names(select_existing(table, columns), quote_free=True)
 
 
-def read_ca_statements(spark, path):
-    return _read_file(spark, path, CA_STATEMENT_COLUMNS)
+def read_ca_statements(spark, path, newlines=True):
+    return _read_file(spark, path, CA_STATEMENT_COLUMNS, newlines=newlines)
 
 
-def read_ca_registry(spark, path):
-    return _read_file(spark, path, CA_REGISTRY_COLUMNS)
+def read_ca_registry(spark, path, newlines=False):
+    return _read_file(spark, path, CA_REGISTRY_COLUMNS, newlines=newlines)
 
 
-def read_uk_registry(spark, path):
-    return _read_file(spark, path, UK_REGISTRY_COLUMNS)
+def read_uk_registry(spark, path, newlines=False):
+    return _read_file(spark, path, UK_REGISTRY_COLUMNS, newlines=newlines)
 
 
 def read_au_registry(spark, path):

@@ -72,12 +72,35 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/log")
 
 
-def running_count(lines: DataFrame, path: str, by: list[str] = ()) -> None:
-    """Count so far, rewritten after every micro-batch."""
+def _count_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the micro-batches whose count is wholly written, in order."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/count/batch=*/_SUCCESS")
+    files = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
+    return sorted(int(f.getPath().getParent().getName().removeprefix("batch=")) for f in files or [])
+
+
+def _drop_version(spark: SparkSession, path: str, batch_id: int) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/count/batch={batch_id}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def running_count(lines: DataFrame, path: str, by: list[str] = (), keep: int = 3) -> None:
+    """Count so far, a new version ``batch=<number>`` after every micro-batch.
+
+    A version counts once its _SUCCESS file is there, so readers always find a whole one. A micro-batch that is replayed
+    after a failure leaves its finished version as it is. All but the newest ``keep`` versions are removed.
+    """
     counts = lines.groupBy(*by).agg(F.count("*").alias("count"))
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/count")
+        spark = batch.sparkSession
+        if batch_id in _count_versions(spark, path):
+            batch.write.format("noop").mode("overwrite").save()  # the state has to be brought up to the batch all the same
+            return
+        batch.write.mode("overwrite").parquet(f"{path}/count/batch={batch_id}")
+        for old in _count_versions(spark, path)[:-keep]:
+            _drop_version(spark, path, old)
 
     query = (
         counts.writeStream.outputMode("complete").foreachBatch(save)
@@ -88,7 +111,11 @@ def running_count(lines: DataFrame, path: str, by: list[str] = ()) -> None:
 
 
 def read_count(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/count")
+    """The newest whole version of the running count."""
+    versions = _count_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no count has been finished in {path}")
+    return spark.read.parquet(f"{path}/count/batch={versions[-1]}")
 
 
 def latest_log(log: DataFrame, n: int = 5, seq: list[str] = ("timestamp",)) -> DataFrame:

@@ -123,4 +123,4 @@ def test_duplicate_responses_leave_one_page(spark):
         [("s", 1, "text", "a"), ("s", 1, "text", "a"), ("s", 1, "tables", "b")],
         "source_id string, page_number int, kind string, response string")
     wide = responses.pages_wide(rows, ["text", "tables", "figures"])
-    assert [tuple(r) for r in wide.collect()] == [("s", 1, "a", "b", None)]
+    assert [tuple(r) for r in wide.collect()] == [("s", 1, "a", "b", None, None)]

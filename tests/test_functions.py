@@ -94,5 +94,23 @@ def test_url_parts(values):
 
 
 def test_page_urls(spark):
-    made = [r.url for r in urls.page_urls(spark, "http://a?p={page}", 2, 4).orderBy("page").collect()]
-    assert made == ["http://a?p=2", "http://a?p=3", "http://a?p=4"]
+    rows = [(1, "http://a?p={page}", 2, 4), (2, "http://b", 7, 7), (3, "http://b", 1, 2), (4, "http://a?p={page}", 5, 4),
+            (5, "http://a?p={page}", -1, 4), (6, None, 1, 1), (7, "http://c/{page}/{page}", 0, 0), (8, "http://a", None, 3)]
+    made = urls.page_urls(spark.createDataFrame(rows, "id int, template string, first int, last int")).collect()
+    good = sorted((r.id, r.page, r.url) for r in made if r.error is None)
+    assert good == [(1, 2, "http://a?p=2"), (1, 3, "http://a?p=3"), (1, 4, "http://a?p=4"), (2, 7, "http://b"), (7, 0, "http://c/0/0")]
+    assert {r.id: r.error.split()[0] for r in made if r.error} == {3: "several", 4: "range", 5: "first", 6: "template,", 8: "template,"}
+    assert all(r.url is None and r.page is None for r in made if r.error) and len(made) == 10
+    assert urls.page_urls(spark.createDataFrame([], "template string, first int, last int")).collect() == []
+
+
+def test_one_long_range_is_many_tasks_work(spark):
+    one = spark.createDataFrame([("http://a?p={page}", 1, 1_000_000)], "template string, first int, last int")
+    pages = urls.page_urls(one)
+    assert pages.count() == pages.distinct().count() == 1_000_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = urls.page_urls(one).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < 300_000

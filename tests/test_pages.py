@@ -1,3 +1,6 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 from ledgerline.operators import html, pages
 
 STATEMENT = """<!DOCTYPE html><html><head><title>Library - Reports</title><script>var p="</p> 2029";</script></head>
@@ -125,3 +128,44 @@ def test_links_of_a_custom_function(spark):
 
     made = html.links_with(page_table(spark, body, ""), every_link, "https://s.org/d/a.html")
     assert [(r.position, r.link) for r in made.collect()] == [(0, "https://s.org/d/b.html"), (1, "https://s.org/c")]
+
+
+def test_only_wanted_elements_leave_the_parser(spark):
+    rows = spark.createDataFrame([(1, "u", "<title>Some long title</title><h2>Search</h2><h2>Plan (2022)</h2><a href='/x.pdf'>x</a>"), (2, "u", None)],
+                                 "page_id long, url string, html string")
+    whole = html.parse_pages(rows)
+    for rule, column in (("title", pages.title()), ("pdf_url", pages.pdf_url()), ("language", pages.language())):
+        found = html.parse_pages(rows, wanted=pages.needs(rule))
+        assert set(found.columns) == {"page_id", "url", *pages.NEEDS[rule]}
+        ask = lambda df: sorted(map(tuple, df.select("page_id", column.alias("v")).collect()))
+        assert ask(found) == ask(whole)
+    assert html.parse_pages(rows, wanted=("h2",)).select("h2").schema.simpleString() == "struct<h2:array<string>>"
+    with pytest.raises(ValueError, match="h7"):
+        html.parse_pages(rows, wanted=("h2", "h7"))
+
+
+def test_table_function_gives_the_rows_of_links_with(spark):
+    rows = spark.createDataFrame([(1, "u1", "<a href='b'>x</a><a name='n'>y</a><a href='/c?d=1&amp;e'>z</a>"), (2, "u2", "<p>none</p>"), (3, "u3", None),
+                                  (4, None, "<a href='b'>x</a>" * 500)], "page_id long, url string, html string")
+    base = "https://a.org/x/"
+
+    def anchors(root):
+        return [a.attrs["href"] for a in root.find_all("a") if "href" in a.attrs]
+
+    want = html.links_with(rows, anchors, base)
+    got = html.lateral_links(rows, anchors, base)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str) and got.count() == 502
+
+
+def test_table_function_in_sql_with_several_fields(spark):
+    def labelled(root):
+        for a in root.find_all("a"):
+            yield a.attrs.get("href"), len(a.text())
+
+    spark.udtf.register("labelled", html.page_table(labelled, "href string, size bigint"))
+    rows = spark.createDataFrame([(1, "<a href='b'>xy</a><a>z</a>"), (2, "")], "page_id long, html string")
+    got = spark.sql("SELECT page_id, l.* FROM {rows}, LATERAL labelled(html) l", rows=rows).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, "b", 2), (1, 1, None, 1)]
+    with pytest.raises(AnalysisException, match="the page must be text"):
+        spark.sql("SELECT * FROM labelled(7)").collect()

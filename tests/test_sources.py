@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,30 @@ def test_numbering_over_many_partitions(spark):
     assert [r.v for r in sorted(made, key=lambda r: r.idx)] == sorted(str(i) for i in range(1000))
 
 
+def test_numbering_by_line_over_many_blocks(spark, tmp_path):
+    write(tmp_path / "b.txt", "".join(f"http://b/{i}\n" for i in range(4000)))
+    write(tmp_path / "a.txt", "# note\n" + "".join(f"http://a/{i}\n\n" for i in range(300)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        made = pdf_lists.read_url_sources(spark, str(tmp_path))
+        rows = made.collect()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = [f"http://a/{i}" for i in range(300)] + [f"http://b/{i}" for i in range(4000)]
+    assert [r.pdf_url for r in sorted(rows, key=lambda r: r.original_index)] == want
+    assert [r.original_index for r in sorted(rows, key=lambda r: r.original_index)] == list(range(4300))
+    assert not re.search("PythonRDD|Python", made._jdf.queryExecution().executedPlan().toString())
+
+
+def test_numbering_orders_equal_values_and_empty_tables(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 1), ("b", 1), (None, 3)], "v string, w int")
+    assert [(r.v, r.w) for r in sorted(pdf_lists.numbered(df, "v").collect(), key=lambda r: r.idx)] == [(None, 3), ("a", 1), ("b", 1), ("b", 2)]
+    assert pdf_lists.numbered(df.limit(0), "v").collect() == []
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(" a\n", "", ["x"]), (None, 'q"q', None)], "a string, b string, c array<string>")
     sinks.write_records(df, str(tmp_path / "out"), "csv")
