@@ -20,18 +20,25 @@ ALONE = 3
 HOLDER = r"(^|/)(article|main|section|div|td|body)(\.[^/]*)?$"
 
 
+def _counted(own: list) -> list[dict]:
+    """A page's blocks. The first of equal ones on a path holds their number, and whether all are apart; the others hold 0."""
+    times = Counter((b.path, b.text) for b in own)
+    open_ones = {(b.path, b.text) for b in own if not b.aside}
+    return [{"path": b.path, "aside": b.aside, "text": b.text, "n": times.pop((b.path, b.text), 0), "apart": (b.path, b.text) not in open_ones} for b in own]
+
+
 def tokens(pages: DataFrame) -> DataFrame:
     """(row, page_id, url, host, layout, tags, blocks): the number of the page's layout, how often each path of elements opens, and the text blocks in page order."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("path", pa.string()), ("n", pa.int64())])
-        block = pa.struct([("path", pa.string()), ("aside", pa.bool_()), ("text", pa.string())])
+        block = pa.struct([("path", pa.string()), ("aside", pa.bool_()), ("text", pa.string()), ("n", pa.int64()), ("apart", pa.bool_())])
         for part in parts:
             htmls = part.column(4).to_pylist()
             for first in range(0, len(htmls), 200):
                 found = [blocks(h or "") for h in htmls[first : first + 200]]
                 tags = [[{"path": p, "n": n} for p, n in Counter(t).items()] for t, _ in found]
-                texts = [[{"path": b.path, "aside": b.aside, "text": b.text} for b in own] for _, own in found]
+                texts = [_counted(own) for _, own in found]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k).slice(first, len(found)) for k in range(4)), pa.array([layout(t) for t, _ in found], pa.int64()), pa.array(tags, pa.list_(kind)), pa.array(texts, pa.list_(block))],
                     ["row", "page_id", "url", "host", "layout", "tags", "blocks"])
@@ -40,7 +47,7 @@ def tokens(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     given = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", host.alias("host"), F.col("html").cast("string").alias("html"))
     return given.mapInArrow(run, f"row long, page_id {kind}, url string, host string, layout long, tags array<struct<path: string, n: long>>, "
-                                 "blocks array<struct<path: string, aside: boolean, text: string>>")
+                                 "blocks array<struct<path: string, aside: boolean, text: string, n: long, apart: boolean>>")
 
 
 def templates(parsed: DataFrame) -> DataFrame:
@@ -59,22 +66,25 @@ def templates(parsed: DataFrame) -> DataFrame:
         "in_group", F.when(F.col("layout_pages") >= ALONE, F.col("layout"))))
     group = F.struct("host", F.col("in_group").alias("layout"))
     tags = parsed.select("row", "host", "layout", F.explode("tags").alias("t")).select("row", "host", "layout", "t.path", F.lit(0).cast("long").alias("text"), "t.n", F.lit(0).alias("chars"), F.lit(0).alias("words"), F.lit(False).alias("aside"))
-    texts = parsed.select("row", "host", "layout", F.explode("blocks").alias("b")).select(
-        "row", "host", "layout", "b.path", F.xxhash64("b.text").alias("text"), F.lit(1).cast("long").alias("n"), F.length("b.text").alias("chars"),
-        F.size(F.split("b.text", " ")).alias("words"), "b.aside")
-    texts = texts.groupBy("row", "host", "layout", "path", "text").agg(F.sum("n").alias("n"), F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
+    texts = parsed.select("row", "host", "layout", F.explode(F.filter("blocks", lambda b: b["n"] > 0)).alias("b")).select(
+        "row", "host", "layout", "b.path", F.xxhash64("b.text").alias("text"), "b.n", F.length("b.text").alias("chars"),
+        F.size(F.split("b.text", " ")).alias("words"), F.col("b.apart").alias("aside"))
     own = tags.union(texts).groupBy("host", "layout", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.expr("bit_xor(xxhash64(row, n))").alias("vector"),
         F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"))
-    vectors = cut(own.join(sizes, ["host", "layout"]).withColumn("host", group).groupBy("host", "path", "text").agg(
+    # the text of a single page is in no class: of a layout's such texts only their length on each path counts
+    single = F.col("in_group").isNotNull() & (F.col("pages") == 1) & (F.col("text") != 0)
+    own = own.join(sizes, ["host", "layout"]).where(~(single & F.col("aside"))).withColumns({"host": group, "mass": F.col("chars") * F.col("n")})
+    own = own.withColumn("pages", F.when(single, 0).otherwise(F.col("pages"))).withColumn("text", F.when(F.col("pages") > 0, F.col("text")))
+    vectors = cut(own.groupBy("host", "path", "text").agg(
         F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.expr("bit_xor(vector)").alias("vector"),
-        F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside")))
+        F.first("chars").alias("chars"), F.first("words").alias("words"), F.min("aside").alias("aside"), F.sum("mass").alias("mass")))
     hosts = cut(sizes.withColumn("host", group).groupBy("host").agg(F.sum("layout_pages").alias("all_pages")))
     classes = vectors.groupBy("host", "pages", "n", "vector").agg(F.count("*").alias("members")).join(hosts, "host").where(
         "pages >= 2 AND members >= 2 AND 2 * pages >= all_pages").select("host", "pages", "n", "vector")
     template = vectors.join(classes, ["host", "pages", "n", "vector"], "left_semi")
-    slots = (vectors.where("text <> 0 AND NOT aside").join(classes, ["host", "pages", "n", "vector"], "left_anti")
-             .groupBy("host", "path").agg(F.sum(F.col("chars") * F.col("n")).alias("chars")))
+    slots = (vectors.where("(text IS NULL OR text <> 0) AND NOT aside").join(classes, ["host", "pages", "n", "vector"], "left_anti")
+             .groupBy("host", "path").agg(F.sum("mass").alias("chars")))
     holders = template.where((F.col("text") == 0) & F.col("path").rlike(HOLDER)).select("host", F.col("path").alias("holder"))
     inside = (slots.join(holders, "host").where("path = holder OR startswith(path, concat(holder, '/'))")
               .groupBy("host", "holder").agg(F.sum("chars").alias("chars")))
@@ -99,7 +109,7 @@ def extract(pages: DataFrame) -> DataFrame:
     as adverts, notices or comments that do not hold most of the page never count, nor does markup. Null and
     empty pages have an empty text; rows that repeat an id are rows of their own; a null url is a host of its own.
     """
-    parsed = cut(tokens(pages))
+    parsed = cut(tokens(pages), "zstd")
     given = parsed.join(cut(templates(parsed)), ["host", "layout"], "left")
     own = F.filter("blocks", lambda b: ~b["aside"])
     main = F.filter("own", lambda b: b["path"].rlike(IN_MAIN))
