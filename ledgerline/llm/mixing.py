@@ -60,19 +60,31 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None, temperature: flo
         F.col("wanted") > 0, F.col("wanted") / one.all_wanted * one.all_size * total / F.col("size")).otherwise(0.0).alias("rate")))
 
 
+COPY, KEY = "_mixing_copy", "_mixing_key"
+
+
+def repeated(docs: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 0.5, total: float = 1.0, seed: int = 17) -> DataFrame:
+    """The columns of docs as they are, COPY and KEY: the rows that `mix` gives, in its order, under names that no table has."""
+    columns = docs.columns
+    table = rates(docs, weights, temperature, total).toDF("_mixing_source", "_mixing_rate")
+    given = docs.join(table, F.col("source").eqNullSafe(F.col("_mixing_source")), "left")
+    name = [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))]
+    count = poisson(F.col("_mixing_rate"), F.lit(seed), *name)
+    copies = given.withColumn(COPY, F.explode(F.when(count > 0, F.sequence(F.lit(1), count))))
+    keyed = copies.withColumn(KEY, F.xxhash64(F.lit(seed + 1), *name, COPY))
+    return keyed.select(*columns, COPY, KEY).repartition(KEY).sortWithinPartitions(KEY, COPY)
+
+
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 0.5, total: float = 1.0, seed: int = 17) -> DataFrame:
     """The rows of docs, each as often as its Poisson number, with copy_number and shuffle_key, in an order without pattern.
 
     A row's number depends on the seed, its id and its source's rate, not on where it lies; rows that repeat an id
-    repeat its number, and rows without an id go by their text. Rows with a null source are one source. shuffle_key is a hash of id and
+    repeat its number, and rows without an id go by their text. Rows with a null source are one source; null texts have no size.
+    An empty table gives none. shuffle_key is a hash of id and
     copy: rows go to tasks by it and are sorted by it, so copies scatter over the whole output and no source fills a task.
-    Rates come as a join on the source that Spark sizes itself: a large table of sources is not broadcast.
+    Rates come as a join on the source that Spark sizes itself: a large table of sources is not broadcast. Given columns named
+    copy_number or shuffle_key make way for the operator's; all others stay as they are.
     """
-    columns = docs.columns
-    table = rates(docs, weights, temperature, total)
-    given = docs.join(table, F.col("source").eqNullSafe(F.col("mixed_source")), "left")
-    name = [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))]
-    count = poisson(F.col("rate"), F.lit(seed), *name)
-    copies = given.withColumn("copy_number", F.explode(F.when(count > 0, F.sequence(F.lit(1), count))))
-    keyed = copies.withColumn("shuffle_key", F.xxhash64(F.lit(seed + 1), *name, "copy_number"))
-    return keyed.select(*columns, "copy_number", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key", "copy_number")
+    kept = [c for c in docs.columns if c not in ("copy_number", "shuffle_key")]
+    rows = repeated(docs, weights, temperature, total, seed)
+    return rows.select(*kept, F.col(COPY).alias("copy_number"), F.col(KEY).alias("shuffle_key"))
