@@ -27,15 +27,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are replaced by a mark; every document stays, and n_chars follows the text."""
-    columns = docs.columns
-    scanned = secrets.scan(docs, *secrets.train(docs))
-    clean = scanned.withColumn("text", secrets.redact(scanned))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_document"), "text")  # out of reach of the columns that the scan adds
+    scanned = secrets.scan(rows, *secrets.train(docs))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return scanned.withColumn("text", secrets.redact(scanned)).select(
+        *[new[c].alias(c) if c in new else F.col("_document")[c].alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate asks, in shuffled order."""
-    return mixing.mix(docs).select(docs.columns)
+    return mixing.repeated(docs).select(docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +58,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each reading what its predecessor wrote. Null texts and ids pass all stages, but for mixing, where a source
+    without any text has the rate 0; an empty table stays empty; further columns, whatever their names, are kept up to the encoding."""
     docs = read(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
