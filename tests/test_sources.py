@@ -1,3 +1,4 @@
+import gzip
 import re
 
 import pytest
@@ -107,6 +108,44 @@ def test_numbering_orders_equal_values_and_empty_tables(spark):
     assert pdf_lists.numbered(df.limit(0), "v").collect() == []
 
 
+def test_one_large_registry_file_is_many_tasks_work(spark, tmp_path):
+    path = write(tmp_path / "ch.csv", "CompanyName,CompanyNumber\n" + "".join(f'"Name, {i}",{i:08d}\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split, whole = tables.read_uk_registry(spark, path), tables.read_uk_registry(spark, path, newlines=True)
+        parts = [df.groupBy(F.spark_partition_id()).count().count() for df in (split, whole)]
+        rows = [df.agg(F.count("*"), F.count_distinct("CompanyNumber"), F.max("CompanyName")).first() for df in (split, whole)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts[0] > 4 and parts[1] == 1
+    assert rows[0] == rows[1] and tuple(rows[0]) == (20_000, 20_000, "Name, 9999")
+
+
+def test_statements_may_hold_line_breaks_unless_told_otherwise(spark, tmp_path):
+    write(tmp_path / "au_1.csv", 'idx,abn\n1,"a\nb"\n')
+    assert tables.read_au_statements(spark, str(tmp_path)).first().abn == "a\nb"
+    assert tables.read_au_statements(spark, str(tmp_path), newlines=False).count() == 2
+
+
+def test_headers_are_read_without_a_job_per_file(spark, tmp_path):
+    for k in range(12):
+        write(tmp_path / f"au_{k:02d}.csv", f"idx,abn\n{k},x\n")
+    with gzip.open(tmp_path / "au_zz.csv.gz", "wt") as file:
+        file.write("abn,idx\ny,99\n")
+    (tmp_path / "au_dir.csv").mkdir()
+    write(tmp_path / "au_dir.csv" / "part-0.csv", "idx,abn\n50,d\n")
+    assert tables.first_lines(spark, [str(tmp_path / n) for n in ("au_00.csv", "au_zz.csv.gz", "au_dir.csv")]) == ["idx,abn", "abn,idx", "idx,abn"]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = tables.read_au_statements(spark, str(tmp_path))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs <= 3
+    got = {(r.idx, r.abn) for r in df.collect()}
+    assert got == {(str(k), "x") for k in range(12)} | {("50", "d")}
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(" a\n", "", ["x"]), (None, 'q"q', None)], "a string, b string, c array<string>")
     sinks.write_records(df, str(tmp_path / "out"), "csv")
@@ -127,7 +166,7 @@ def test_other_sinks(spark, tmp_path):
     text = spark.read.json(str(tmp_path / "md"))
     assert {r.source_id: r.final_markdown for r in text.collect()} == {
         "s1": "# A\n\nb", "s2": "No content was extracted from the document."}
-    links = spark.createDataFrame([("https://a",), ("https://b",)], "url string")
+    links = spark.createDataFrame([("https://a",), ("https://b",), ("https://a",), (None,)], "url string")
     sinks.write_links(links, str(tmp_path / "links"), "ca", "2025-01-01 00:00:00")
     assert spark.read.text(str(tmp_path / "links" / "links")).count() == 2
     header = [r.value for r in spark.read.text(str(tmp_path / "links" / "header")).collect()]
