@@ -18,44 +18,54 @@ def vocabulary(name: str) -> str:
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate group of each of `documents`."""
     return near_duplicates(read(spark, folder, "documents"))
 
 
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets found in each of `documents`, as spans."""
     return secrets.digest(read(spark, folder, "documents"))
 
 
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each of `documents` encoded and decoded again."""
     path = vocabulary("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(byte_bpe.encode(read(spark, folder, "documents"), path, offsets=False), path)
 
 
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of each of `pages`."""
     return main_text.extract(read(spark, folder, "pages"))
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of each of `documents`."""
     return token_counts(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of each of `documents` and of its edited text."""
     return fingerprints.compare_with_next(read(spark, folder, "documents"))
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """`documents` repeated by the rates of their sources."""
     return mixing.mix(read(spark, folder, "documents"))
 
 
 def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest neighbours of every 50th of `embeddings`."""
     return neighbours.search(read(spark, folder, "embeddings"))
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of each of `documents`, learned from `labels`."""
     docs = read(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, folder, "labels")))
 
 
 def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of each of `documents`."""
     return language_model.score(read(spark, folder, "documents"))
 
 
