@@ -57,12 +57,22 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+#: Rows go to Python workers in batches of this many bytes at most, whatever the length of their texts.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each reading what its predecessor wrote. Null texts and ids pass all stages, but for mixing, where a source
-    without any text has the rate 0; an empty table stays empty; further columns, whatever their names, are kept up to the encoding."""
+    without any text has the rate 0; an empty table stays empty; further columns, whatever their names, are kept up to the encoding.
+    Workers are reused from stage to stage and keep the memory of their largest batch, so batches are bounded while stages are written."""
     docs = read(spark, sf_dir, "documents")
-    for n, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
-            docs = cut(docs)
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, BATCH_BYTES)
+    try:
+        for n, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if n < len(STAGES) - 1:
+                docs = cut(docs)
+    finally:
+        spark.conf.set(BATCH, before)
     return docs
