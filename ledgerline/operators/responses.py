@@ -44,6 +44,11 @@ def pages_wide(responses: DataFrame, kinds: list[str], order: str | None = None)
     return responses.groupBy(*PAGE).agg(*[answer.alias(k) for k, (answer, _) in found.items()], *error)
 
 
+def sound_pages(wide: DataFrame) -> DataFrame:
+    """The pages whose answers agree, without the ``error`` column."""
+    return wide.filter(F.col("error").isNull()).drop("error")
+
+
 def pair_pages(first: DataFrame, second: DataFrame, names: tuple[str, str] = ("detection", "extraction"),
                order: str | None = None) -> DataFrame:
     """The responses of two tables (source_id, page_number, response) side by side, one row per page.

@@ -152,8 +152,7 @@ def build_signatures(answers: DataFrame, parts: bool = False, order: str | None
     wide = responses.pages_wide(answers, ["detection", "extraction"], order)
     if order:
         return signatures.output_records(signatures.signature_pages(wide), parts)
-    sound = wide.filter(F.col("error").isNull()).drop("error")
-    records = signatures.output_records(signatures.signature_pages(sound), parts)
+    records = signatures.output_records(signatures.signature_pages(responses.sound_pages(wide)), parts)
     return records.unionByName(signatures.error_records(wide.filter(F.col("error").isNotNull())))
 
 

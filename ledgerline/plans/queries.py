@@ -963,7 +963,7 @@ def page_limit(spark, folder):
 
 def _signature_pages(spark, folder) -> DataFrame:
     wide = responses.pages_wide(load(spark, folder, "responses"), ["detection", "extraction"])
-    return signatures.signature_pages(wide)
+    return signatures.signature_pages(responses.sound_pages(wide))
 
 
 def _output(spark, folder) -> DataFrame:
