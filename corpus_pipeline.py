@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,34 +46,42 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return byte_bpe.digests(byte_bpe.encode(docs, path, offsets=False), path)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Rows go to Python workers in batches of this many bytes at most, whatever the length of their texts.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage with BATCH set for its session, where it stays: a stage's rows are made when the caller writes them. Workers are
+    reused from stage to stage and keep the memory of their largest batch."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+STAGES: list[tuple[str, Stage]] = [(name, in_small_batches(stage)) for name, stage in (
     ("toxicity", drop_toxic),
     ("near duplicates", drop_near_duplicates),
     ("secrets", redact_secrets),
     ("mixing", mix_sources),
     ("encoding", encode_texts),
-]
+)]
 
 #: Models, signatures and encodings cannot be told in SQL; tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 
-#: Rows go to Python workers in batches of this many bytes at most, whatever the length of their texts.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each reading what its predecessor wrote. Null texts and ids pass all stages, but for mixing, where a source
-    without any text has the rate 0; an empty table stays empty; further columns, whatever their names, are kept up to the encoding.
-    Workers are reused from stage to stage and keep the memory of their largest batch, so batches are bounded while stages are written."""
+    without any text has the rate 0; an empty table stays empty; further columns, whatever their names, are kept up to the encoding."""
     docs = read(spark, sf_dir, "documents")
-    before = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, BATCH_BYTES)
-    try:
-        for n, (_, stage) in enumerate(STAGES):
-            docs = stage(spark, docs, sf_dir)
-            if n < len(STAGES) - 1:
-                docs = cut(docs)
-    finally:
-        spark.conf.set(BATCH, before)
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES) - 1:
+            docs = cut(docs)
     return docs
