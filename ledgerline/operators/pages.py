@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, first_match, strip
+from ..functions.text import blank_to_null, bound, first_match, strip
 from ..functions.urls import absolute_url, file_type
 from .expand import head, rest
 from .joins import registry_join
@@ -116,10 +116,13 @@ def year(title_col: Column) -> Column:
 
 
 def organization(title_col: Column) -> Column:
-    name = F.regexp_replace(title_col, r"(?U)\s*\(20\d{2}\)\s*", "")
-    name = F.regexp_replace(name, r"(?iudU)\s*-?\s*Modern Slavery.*", "")
-    name = strip(F.regexp_replace(name, r"(?iudU)\s*-?\s*Statement.*", ""))
-    return F.when((name != title_col) & (F.length(name) > 5), name)
+    def shortened(title):
+        name = F.regexp_replace(title, r"(?U)\s*\(20\d{2}\)\s*", "")
+        name = F.regexp_replace(name, r"(?iudU)\s*-?\s*Modern Slavery.*", "")
+        name = strip(F.regexp_replace(name, r"(?iudU)\s*-?\s*Statement.*", ""))
+        return bound(name, lambda n: F.when((n != title) & (F.length(n) > 5), n))
+
+    return bound(title_col, shortened)
 
 
 def language() -> Column:
@@ -278,9 +281,13 @@ def register_pdf_url() -> Column:
 def detected_country(text: Column, known: Column) -> Column:
     """Country with the highest indicator score, the first listed on ties, Canada without any.
 
-    Plain column work: the table is fixed and small, so no join is needed.
+    Plain column work: the table is fixed and small, so no join is needed. The text, which stands for rules over a
+    whole page, is bound, since every indicator looks at it.
     """
+    return F.coalesce(known, bound(text, _ranked_country))
+
 
+def _ranked_country(text: Column) -> Column:
     def found(marks):
         return F.size(F.filter(F.array(*map(F.lit, marks)), lambda m: F.contains(text, m))) if marks else F.lit(0)
 
@@ -293,7 +300,7 @@ def detected_country(text: Column, known: Column) -> Column:
         F.struct(score.alias("score"), F.lit(rank).alias("rank"), F.lit(country).alias("country"))
         for score, rank, country in ranked
     ]
-    return F.coalesce(known, F.array_max(F.array(*scores))["country"])
+    return F.array_max(F.array(*scores))["country"]
 
 
 def detect_country(df: DataFrame) -> DataFrame:

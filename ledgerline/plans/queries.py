@@ -1150,7 +1150,7 @@ def _event_log(rows: DataFrame) -> DataFrame:
 def stream_log(spark, folder):
     """Pages as a stream, each record logged as its page arrives."""
     path = result_log.new_log(spark, "stream_log")
-    found = html.parse_pages(result_log.stream_table(spark, folder, "pages"))
+    found = html.parse_pages(result_log.stream_table(spark, folder, "pages", heavy=True))
     records = pages.page_records(found, "CA")
     result_log.append_log(result_log.log_lines(records, ["page_id"]), path)
     return result_log.read_log(spark, path)
@@ -1168,7 +1168,7 @@ def stream_count(spark, folder):
 def stream_country_log(spark, folder):
     """Statement pages as a stream: only the records of one detected country reach the log."""
     path = result_log.new_log(spark, "stream_country")
-    found = load(spark, folder, "statement_pages", customer=result_log.stream_table(spark, folder, "customer"))
+    found = load(spark, folder, "statement_pages", customer=result_log.stream_table(spark, folder, "customer", heavy=True))
     jobs.crawl_to_log(found, path, "canadian", "united states")
     return result_log.read_log(spark, path)
 

@@ -38,8 +38,12 @@ def encoded_line(stamp: Column) -> Column:
     return F.concat_ws(",", stamp, "title", "url")
 
 
-def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch: int = 1000) -> DataFrame:
-    """A table's Parquet files as a stream, one file or a folder of part files; the schema comes from the files there now."""
+def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch: int = 1000, heavy: bool = False) -> DataFrame:
+    """A table's Parquet files as a stream, one file or a folder of part files; the schema comes from the files there now.
+
+    ``heavy`` deals the rows of a micro-batch over all cores before work that is heavy per row, where the files there now have
+    fewer splits than cores.
+    """
     path = f"{folder}/{table}.parquet"
     now = spark.read.parquet(path)
     reader = spark.readStream.schema(now.schema).option("maxFilesPerTrigger", files_per_batch)
@@ -47,8 +51,11 @@ def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch:
     if not files:
         raise FileNotFoundError(f"no files in {path}")
     if not any(f.endswith(f"/{table}.parquet") for f in files):
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+        rows = reader.parquet(path)
+    else:
+        rows = reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if heavy and now.rdd.getNumPartitions() < cores else rows
 
 
 def new_log(spark: SparkSession, name: str) -> str:

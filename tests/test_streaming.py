@@ -95,3 +95,12 @@ def test_a_country_crawl_goes_on_from_its_checkpoint(spark, tmp_path):
     got = result_log.read_log(spark, path)
     assert 0 < first < got.count() or first == got.count() > 0
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_heavy_work_on_one_file_is_dealt_over_the_cores(spark):
+    path = result_log.new_log(spark, "t")
+    stream = result_log.stream_table(spark, FOLDER, "customer", heavy=True)
+    result_log.append_log(stream.select("c_custkey", F.spark_partition_id().alias("task")), path)
+    log = result_log.read_log(spark, path)
+    assert log.count() == table(spark, FOLDER, "customer").count()
+    assert log.select("task").distinct().count() == spark.sparkContext.defaultParallelism
