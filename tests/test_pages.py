@@ -175,3 +175,29 @@ def test_table_function_in_sql_with_several_fields(spark):
     assert sorted(map(tuple, got)) == [(1, 0, "b", 2), (1, 1, None, 1)]
     with pytest.raises(AnalysisException, match="the page must be text"):
         spark.sql("SELECT * FROM labelled(7)").collect()
+
+
+def test_batches_leave_the_parser_in_stretches(spark):
+    import pyarrow as pa
+
+    bodies = ["<h2>a</h2>"] * 1000 + [None, "<h2>b</h2>" + "x" * (3 << 20), "<h2>c</h2>"] + ["<p>" + "y" * 400_000] * 5
+    given = pa.RecordBatch.from_pydict({"page_id": range(len(bodies)), "html": bodies})
+    got = list(html.element_batches([given], "html", ["page_id"], pa.schema([html.ELEMENTS.field("h2")])))
+    whole = pa.Table.from_batches(got).to_pydict()
+    assert whole["page_id"] == list(range(len(bodies)))
+    assert whole["h2"] == [["a"]] * 1000 + [[], ["b"], ["c"]] + [[]] * 5
+    assert [b.num_rows for b in got] == [256, 256, 256, 233, 1, 3, 2, 1]
+
+
+def test_a_tree_goes_once_it_was_read():
+    import gc
+
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(20):
+            html.page_elements(STATEMENT)
+        left = sum(isinstance(o, html.Node) for o in gc.get_objects())
+    finally:
+        gc.enable()
+    assert left == 0
