@@ -43,13 +43,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token ids of each text and of what they decode to."""
     path = vocabulary("byte_bpe_50k.tiktoken")
-    return byte_bpe.digests(byte_bpe.encode(docs, path, offsets=False), path)
+    return byte_bpe.text_digests(docs, path)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Rows go to Python workers in batches of this many bytes at most, whatever the length of their texts.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def in_small_batches(stage: Stage) -> Stage:

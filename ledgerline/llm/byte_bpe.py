@@ -6,7 +6,7 @@ import base64
 import hashlib
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,9 @@ WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 # fixed values: the contractions of the split pattern, by their length after the apostrophe
 SHORT, LONG = ("s", "t", "m", "d"), ("re", "ve", "ll")
 
+# code points that text_digests encodes at once, about; its arrays are many times as large
+LETTERS_HELD = 1 << 17
+
 # classes of a code point; those of white space and apostrophes look at what follows
 LETTER, NUMBER, OTHER, BLANK, LAST, INNER, SHORT_MARK, LONG_MARK = range(8)
 # what the code point before leaves open: a run of one kind, a blank that joins what follows, white space,
@@ -139,11 +142,11 @@ def boundaries(points: np.ndarray, begins: np.ndarray, width: int = 128) -> np.n
 
 
 class ByteEncoder:
-    """A file of base64 tokens and ranks as arrays; the rank is the id."""
+    """A file of base64 tokens and ranks as arrays; the rank is the id. What only encoding needs is made when it is first asked for."""
 
     def __init__(self, path: str) -> None:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.path = path
+        ranks = self._ranks()
         size = max(ranks.values()) + 1
         tokens = [b""] * size
         for token, i in ranks.items():
@@ -151,10 +154,19 @@ class ByteEncoder:
         self.tokens = Ragged.of(tokens)
         self.decimals = Ragged.of([b"%d " % i for i in range(size)])
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        rows = [(ranks[t[:k]], ranks[t[k:]], i, i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        self.pairs = Pairs(*(np.array(c, dtype=np.int64) for c in zip(*rows)))
         self.known = Known()
 
+    def _ranks(self) -> dict[bytes, int]:
+        with open(self.path, "rb") as lines:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+    @cached_property
+    def pairs(self) -> Pairs:
+        ranks = self._ranks()
+        flat = (x for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks for x in (ranks[t[:k]], ranks[t[k:]], i))
+        left, right, merged = np.fromiter(flat, dtype=np.int64).reshape(-1, 3).T
+        return Pairs(left, right, merged, merged)
+
     def encode(self, texts: list[str]) -> tuple[Ragged, Ragged]:
         """Ids of each text, and the byte at which each of its pre-tokens ends."""
         data = np.frombuffer("".join(texts).encode("utf-8", "surrogatepass"), dtype=np.uint8)
@@ -246,11 +258,33 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for part in parts:
-            rows = [(len(ids), hashlib.sha256(own.decimal(ids)).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest())
-                    for ids in _rows(part.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([r[0] for r in rows], pa.int64()),
-                 pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield _digested(own, part.column(0), _rows(part.column(1)))
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, DIGESTS)
+
+
+def text_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``digests(encode(docs, path), path)`` from one pass, in which the ids stay in the worker that made them."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for part in parts:
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            for first, last in text_batches(texts, LETTERS_HELD):
+                ids, _ = own.encode(texts[first:last])
+                rows = (ids.flat[a : a + n] for a, n in zip(ids.starts, ids.lengths))
+                yield _digested(own, part.column(0).slice(first, last - first), rows)
+
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return given.mapInArrow(run, DIGESTS)
+
+
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def _digested(own: ByteEncoder, doc_id: pa.Array, rows: Iterator[np.ndarray]) -> pa.RecordBatch:
+    found = [(len(ids), hashlib.sha256(own.decimal(ids)).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()) for ids in rows]
+    return pa.RecordBatch.from_arrays(
+        [doc_id, pa.array([r[0] for r in found], pa.int64()),
+         pa.array([r[1] for r in found], pa.string()), pa.array([r[2] for r in found], pa.string())],
+        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

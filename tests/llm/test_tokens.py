@@ -13,7 +13,7 @@ import sentencepiece
 import tiktoken
 
 from ledgerline.llm.bpe import Pairs, Ragged, merge
-from ledgerline.llm.byte_bpe import decode, digests, encode, encoder
+from ledgerline.llm.byte_bpe import decode, digests, encode, encoder, text_digests
 from ledgerline.llm.token_counts import PieceCounter, token_counts
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
@@ -84,3 +84,21 @@ def test_merging_in_an_order_that_matters():
     pairs = Pairs(np.array([0, 2]), np.array([1, 0]), np.array([2, 3]), np.array([5, 1]))
     out = merge(Ragged(np.array([0, 1, 0, 1, 0, 0]), np.array([5, 0, 1])), pairs)
     assert out.flat.tolist() == [3, 1, 0, 0] and out.lengths.tolist() == [3, 0, 1]
+
+
+def test_one_pass_gives_the_digests_of_two(spark):
+    rows = [(1, "Hello  wörld, it's 12 o'clock"), (2, None), (3, ""), (None, "a b\n c" * 50_000), (1, "Hello")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ask = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert ask(text_digests(docs, BYTES)) == ask(digests(encode(docs, BYTES, offsets=False), BYTES))
+    plan = text_digests(docs, BYTES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_decoding_makes_no_table_of_merges():
+    from ledgerline.llm.byte_bpe import ByteEncoder
+
+    own = ByteEncoder(BYTES)
+    ids, _ = own.encode(["some text"])
+    other = ByteEncoder(BYTES)
+    assert other.decode(ids.flat) == b"some text" and "pairs" in vars(own) and "pairs" not in vars(other)
