@@ -7,13 +7,13 @@ vector, whose products with all class vectors, plus biases, are normalised.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ SMOOTH = 0.1
 # words whose share of all tokens is at least 1/HOT go to every task: HOT words at most
 HOT = 1 << 16
 FLUSH = 400_000
+# bytes of texts taken apart at once; a longer text stands alone
+STRETCH = 1 << 21
 # occurrences that one visit of a triple stands for, at most
 VISIT = 4
 LN10 = np.log(10)
@@ -73,64 +75,105 @@ def train_nce(net: Net, triples: np.ndarray, weights: np.ndarray, unigram: np.nd
     times = np.ceil(weights / VISIT).astype(np.int64)
     visits = rng.permutation(np.repeat(np.arange(len(triples), dtype=np.int32), times))
     weights = (weights / times * len(visits) / weights.sum()).astype(np.float32)
-    one = np.eye(len(near), dtype=np.float32)
+    share = np.cumsum(unigram)
+    share /= share[-1]
     sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+    def added(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+        """The sum of the rows that belong to each of n classes."""
+        wide = rows.shape[1]
+        cells = (at[:, None] * wide + np.arange(wide)).ravel()
+        return np.bincount(cells, rows.ravel(), n * wide).reshape(n, wide).astype(np.float32)
+
     for step in range(max(steps, -(-len(visits) // batch))):
         own = visits[np.arange(step * batch, (step + 1) * batch) % len(visits)]
         (h2, h1, word), weight = triples[own].T, weights[own][:, None]
-        seen = rng.choice(len(unigram), size=drawn, p=unigram)
-        r = near[h1] + far[h2]
-        true = sig((r * out[word]).sum(axis=1) + bias[word] - shift[word])[:, None]
-        false = sig(r @ out[seen].T + bias[seen] - shift[seen])
+        seen = share.searchsorted(rng.random(drawn), side="right")
+        r, out_true, out_seen = near[h1] + far[h2], out[word], out[seen]
+        true = sig((r * out_true).sum(axis=1) + bias[word] - shift[word])[:, None]
+        false = sig(r @ out_seen.T + (bias[seen] - shift[seen]))
         d_true = (true - 1) * weight / batch
-        d_false = false * weight * (noise / drawn / batch)
-        d_r = d_true * out[word] + d_false @ out[seen]
-        words = one[word].T
-        d_out, d_bias = words @ (d_true * r), words @ d_true[:, 0]
-        noises = one[seen].T
-        d_out += noises @ (d_false.T @ r)
-        d_bias += noises @ d_false.sum(axis=0)
-        d_near, d_far = one[h1].T @ d_r, one[h2].T @ d_r
-        d_out, d_bias = d_out[:-1], d_bias[:-1]
+        d_false = false * (weight * (noise / drawn / batch))
+        d_r = d_true * out_true + d_false @ out_seen
+        words, rows = np.concatenate([word, seen]), np.concatenate([d_true * r, d_false.T @ r])
+        d_out = added(words, rows, len(out))
+        d_bias = added(words, np.concatenate([d_true, d_false.sum(axis=0)[:, None]]), len(out))[:, 0]
+        d_near, d_far = added(h1, d_r, len(near)), added(h2, d_r, len(far))
         for p, d, g in zip((near, far, out, bias), (d_near, d_far, d_out, d_bias), past):
             g += d * d
             p -= rate * d / np.sqrt(g)
     return Net(near, far, out, bias)
 
 
+def _stretches(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts, as bytes, in slices of about STRETCH bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = int(upto[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + STRETCH, side="right")))
+        yield texts.slice(first, last - first)
+        first = last
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, A-Z as a-z, and how many each text has. Words are cut at ASCII white space alone and bytes
+    from 0x80 on stay as they are, so texts pass as UTF-8 unchecked."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.utf8()).fill_null("")))
+    flat, upto = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    real = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    met = np.concatenate([[0], np.cumsum(real)])
+    return flat.filter(pa.array(real)), np.diff(met[upto])
+
+
+def _summed(held: list[pa.Table]) -> pa.Table:
+    """(word, c) with each word once."""
+    all_of = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+    return pa.table({"word": all_of["word"], "c": all_of["c_sum"]})
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over all texts, words as bytes; null stands for the end of a text. Counted per task first."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "c"])
-            held.clear()
-            return batch
-
+        held, rows, ends = [], 0, 0
         for part in parts:
-            for text in part.column(0).to_pylist():
-                held.update((text or b"").lower().split())
-                held[None] += 1
-                if len(held) > FLUSH:
-                    yield out()
+            for texts in _stretches(part.column(0)):
+                met = pc.value_counts(_split(texts)[0])
+                held.append(pa.table({"word": met.field("values").view(pa.binary()), "c": met.field("counts")}))
+                rows += len(met)
+                ends += len(texts)
+                if rows > FLUSH:
+                    held = [_summed(held)]
+                    rows = len(held[0])
+                    if 2 * rows > FLUSH:
+                        yield from held[0].to_batches()
+                        held, rows = [], 0
         if held:
-            yield out()
+            yield from _summed(held).to_batches()
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([ends], pa.int64())], ["word", "c"])
 
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _indexed(texts: list, index: dict, other: int, end: int) -> tuple[np.ndarray, np.ndarray, list]:
-    """Number of each token of each text with its end, tokens per text, and the words of each text."""
-    words = [(t or b"").lower().split() for t in texts]
-    lengths = np.array([len(w) + 1 for w in words])
-    flat = np.full(int(lengths.sum()), end, dtype=np.int64)
-    first = 0
-    for own in words:
-        flat[first : first + len(own)] = [index.get(w, other) for w in own]
-        first += len(own) + 1
-    return flat, lengths, words
+def _indexed(texts: pa.Array, index: pa.Array, other: int, end: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Place in the index of each token of each text with its end, tokens per text, the words of all texts, and each word's place
+    among the tokens."""
+    words, n = _split(texts)
+    place = np.arange(len(words)) + np.repeat(np.arange(len(n)), n)
+    flat = np.full(len(words) + len(n), end, dtype=np.int64)
+    flat[place] = pc.fill_null(pc.index_in(words, value_set=index.view(pa.utf8())), other).to_numpy(zero_copy_only=False)
+    return flat, n + 1, words, place
+
+
+def _tails(words: pa.Array, text: np.ndarray, texts: int) -> tuple[pa.Array, pa.Array]:
+    """Offsets and (word, n) of each text's distinct words; text has the number of the text of each word."""
+    coded = words.dictionary_encode()
+    most = max(1, len(coded.dictionary))
+    own, n = np.unique(text * most + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(own // most, minlength=texts))]).astype(np.int32)
+    return pa.array(offsets), pa.StructArray.from_arrays([coded.dictionary.take(pa.array(own % most)).view(pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
 
 
 def _context(kinds: np.ndarray, lengths: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,15 +187,14 @@ def _context(kinds: np.ndarray, lengths: np.ndarray, before: int) -> tuple[np.nd
     return h1, h2
 
 
-def triple_counts(docs: DataFrame, index: dict, classes: int) -> DataFrame:
+def triple_counts(docs: DataFrame, index: pa.Array, classes: int) -> DataFrame:
     """(code, n): how often each (far, near, word) of classes occurs; at most (classes + 3) ** 3 rows."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = part.column(0).to_pylist()
             codes, counts = [], []
-            for first in range(0, len(texts), 256):
-                kinds, lengths, _ = _indexed(texts[first : first + 256], index, classes + 1, classes)
+            for texts in _stretches(part.column(0)):
+                kinds, lengths, _, _ = _indexed(texts, index, classes + 1, classes)
                 h1, h2 = _context(kinds, lengths, classes + 2)
                 own, n = np.unique((h2 * (classes + 3) + h1) * (classes + 3) + kinds, return_counts=True)
                 codes.append(own), counts.append(n)
@@ -164,13 +206,18 @@ def triple_counts(docs: DataFrame, index: dict, classes: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def apart(dealt: DataFrame, trainers: int) -> DataFrame:
+    """Every part in a task of its own; parts dealt by their hashes would meet in some tasks and leave others idle."""
+    return dealt.repartitionById(trainers, "part")
+
+
 def fit(triples: DataFrame, unigram: np.ndarray, classes: int, size: int = 24, rounds: int = 3, trainers: int = 12) -> Net:
     """Rounds of NCE by `trainers` tasks, each over its share of the triples, averaged by their weights. What reaches the driver is
     `trainers` small nets a round, whatever the corpus."""
     shapes = [(classes + 3, size), (classes + 3, size), (classes + 2, size), (classes + 2,)]
     ends = np.cumsum([int(np.prod(s)) for s in shapes])
     net = start(unigram, size)
-    dealt = cut(triples.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(trainers))))
+    dealt = cut(triples.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(trainers)).cast("int")))
 
     def trainer(net: Net, turn: int):
         def run(block: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +232,7 @@ def fit(triples: DataFrame, unigram: np.ndarray, classes: int, size: int = 24, r
         return run
 
     for turn in range(rounds):
-        got = dealt.repartition(trainers, "part").groupBy("part").applyInPandas(trainer(net, turn), "part long, n double, net array<double>").collect()
+        got = apart(dealt, trainers).groupBy("part").applyInPandas(trainer(net, turn), "part long, n double, net array<double>").collect()
         if got:
             got.sort(key=lambda r: r.part)
             mean = np.average([r.net for r in got], axis=0, weights=[r.n for r in got])
@@ -212,12 +259,11 @@ def score(docs: DataFrame, classes: int = 254, id_col: str = "doc_id", text_col:
     words = counts.where("word IS NOT NULL")
     hot = sorted(((bytes(r.word), int(r.c)) for r in words.where(F.col("c") * HOT >= n_all).collect()), key=lambda x: (-x[1], x[0]))
     classes = min(classes, len(hot))
-    index = {w: i for i, (w, _) in enumerate(hot)}
+    index = pa.array([w for w, _ in hot], pa.binary())
     known = np.array([c for _, c in hot] + [0, n_end], dtype=float)
     n_rare, v_rare = n_all - n_end - int(known[:classes].sum()), v_all - (1 if n_end else 0) - classes
-    few = {w: i for w, i in index.items() if i < classes}
     unigram = np.array([*known[:classes], n_end, n_rare]) + SMOOTH
-    net = fit(triple_counts(learn, few, classes), unigram / unigram.sum(), classes) if n_all else None
+    net = fit(triple_counts(learn, index[:classes], classes), unigram / unigram.sum(), classes) if n_all else None
     products, norm = net.tables() if net else (None, None)
     log_c = np.log10(known + SMOOTH)
 
@@ -225,9 +271,9 @@ def score(docs: DataFrame, classes: int = 254, id_col: str = "doc_id", text_col:
         tail, end = len(hot), len(hot) + 1
         kind_of = np.concatenate([np.arange(classes), np.full(len(hot) - classes, classes + 1), [classes + 1, classes]]).astype(np.int64)
         for part in parts:
-            texts = part.column(3).to_pylist()
-            for first in range(0, len(texts), 256):
-                at, lengths, words = _indexed(texts[first : first + 256], index, tail, end)
+            first = 0
+            for texts in _stretches(part.column(3)):
+                at, lengths, words, place = _indexed(texts, index, tail, end)
                 starts, rest = np.cumsum(lengths) - lengths, at == tail
                 add = lambda x: np.add.reduceat(x, starts)  # noqa: B023, E731
                 kinds = kind_of[at]
@@ -235,15 +281,13 @@ def score(docs: DataFrame, classes: int = 254, id_col: str = "doc_id", text_col:
                 by_class = add(products[0][h1, kinds] + products[1][h2, kinds] - norm[h2, h1]) / LN10 if net else np.zeros(len(lengths))
                 own = np.where(rest, 0.0, log_c[at])
                 rare = kinds == classes + 1
-                tails = [Counter(w for w in own_words if w not in index) for own_words in words]
-                offsets = np.concatenate([[0], np.cumsum([len(t) for t in tails])]).astype(np.int32)
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())], ["word", "n"])
+                offsets, pairs = _tails(words.filter(pa.array(rest[place])), np.repeat(np.arange(len(lengths)), add(rest.astype(np.int64))), len(lengths))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k).slice(first, len(lengths)) for k in range(3)), pa.array(lengths, pa.int64()),
                      pa.array(add((known[at] > 0).astype(np.int64)), pa.int64()), pa.array(add(rest.astype(np.int64)), pa.int64()), pa.array(add(own)), pa.array(by_class),
-                     pa.array(add(rare.astype(np.int64)), pa.int64()), pa.array(add(np.where(rare, own, 0.0))), pa.ListArray.from_arrays(pa.array(offsets), pairs)],
+                     pa.array(add(rare.astype(np.int64)), pa.int64()), pa.array(add(np.where(rare, own, 0.0))), pa.ListArray.from_arrays(offsets, pairs)],
                     ["row", "doc_id", "held_out", "n_tokens", "n_known", "n_tail", "hot_sum", "class_sum", "n_rare", "rare_sum", "tail"])
+                first += len(lengths)
 
     scored = cut(docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(
         run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_tail long, hot_sum double, class_sum double, "

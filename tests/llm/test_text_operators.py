@@ -9,7 +9,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import fingerprints, language_model, main_text, mixing, secrets, toxicity
 
@@ -207,6 +209,28 @@ def test_every_triple_is_learned_from(spark):
     assert sum(r.score for r in test) > 0.75 * sum(r.base_score for r in test)
 
 
+def test_each_trainer_has_a_task_of_its_own(spark):
+    dealt = spark.range(0, 3000, 1, 7).selectExpr("id AS code", "CAST(id % 12 AS int) AS part")
+    parts = language_model.apart(dealt, 12).groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("part").alias("parts")).collect()
+    assert sorted(r.parts for r in parts) == [[k] for k in range(12)]
+    trained = language_model.apart(dealt, 12).groupBy("part").applyInPandas(lambda block: block[:1], dealt.schema)
+    assert trained.count() == 12 and str(trained._jdf.queryExecution().executedPlan()).count("Exchange") == 1
+
+
+def test_words_are_those_of_bytes():
+    rng = np.random.default_rng(4)
+    parts = [b"a", b"B", "é".encode(), "İ".encode(), b"\x1c", b"\x85", "\xa0".encode(), "\u2028".encode(), b"\xff", b"\0", *(bytes([c]) for c in b" \t\n\v\f\r")]
+    texts = [None, b"", b" \n", *(b"".join(parts[k] for k in rng.integers(0, len(parts), rng.integers(0, 40))) for _ in range(500))]
+    want = [(t or b"").lower().split() for t in texts]
+    index = pa.array([b"a", b"b", b"ab"], pa.binary())
+    for kind in (pa.binary(), pa.large_binary()):
+        at, lengths, words, place = language_model._indexed(pa.array([b"x", *texts], kind)[1:], index, 3, 4)
+        assert lengths.tolist() == [len(w) + 1 for w in want] and words.view(pa.binary()).to_pylist() == [w for own in want for w in own]
+        assert at.tolist() == [k for own in want for k in [*({b"a": 0, b"b": 1, b"ab": 2}.get(w, 3) for w in own), 4]] and (at[place] < 4).all()
+    slices = list(language_model._stretches(pa.array([b"x" * language_model.STRETCH * 2, None, b"y"], pa.binary())))
+    assert [len(s) for s in slices] == [1, 2]
+
+
 # main text
 
 PAGE = """<html><head><title>t</title><style>p{{}}</style><script>var a="</p><p>no";</script></head><body><header><h1>Site</h1></header>
