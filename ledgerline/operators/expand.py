@@ -22,6 +22,11 @@ def unique_statements(df: DataFrame, tiebreak: list[str] | None = None) -> DataF
     return keep_first(df, ["statement_unique_id"], order)
 
 
+def _named(c: str) -> Column:
+    """A text for each value, and one for null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+
+
 def expand_entities(df: DataFrame, ids: str = "abn") -> DataFrame:
     """One row per id in the comma list of each unique statement.
 
@@ -30,38 +35,38 @@ def expand_entities(df: DataFrame, ids: str = "abn") -> DataFrame:
     statement, before the lists are exploded: a running sum inside each
     (idx, period_start) plus the total of the earlier periods. One idx can
     therefore hold any share of the rows, as a window never sees more than the
-    statements that start on one day, or one row per day.
+    statements that start on one day, or one row per day. Days are told apart
+    by two texts without nulls, so the running sum and the join share one
+    partitioning and order.
     """
     listed = F.split(strip(F.col(ids).cast("string")), ",")
     sized = df.withColumns({
         "_ids": listed,
         "_rows": F.coalesce(F.size(listed), F.lit(1)).cast("bigint"),
         "_known": F.coalesce(F.size(listed), F.lit(0)).cast("bigint"),
+        "_who": _named("idx"),
+        "_since": _named("period_start"),
     }).withColumn("_rows", F.greatest("_rows", F.lit(1))).withColumn("_known", F.greatest("_known", F.lit(0)))
 
-    per_day = sized.groupBy("idx", "period_start").agg(
-        F.sum("_rows").alias("_day_rows"), F.sum("_known").alias("_day_known")
+    per_day = sized.groupBy("_who", "_since").agg(
+        F.sum("_rows").alias("_day_rows"), F.sum("_known").alias("_day_known"), F.max("period_start").alias("_start")
     )
-    by_day = Window.partitionBy("idx").orderBy(F.asc_nulls_first("period_start"))
+    by_day = Window.partitionBy("_who").orderBy(F.asc_nulls_first("_start"))
     earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("idx")
+    whole = Window.partitionBy("_who")
     offsets = per_day.select(
-        F.col("idx").alias("_idx"),
-        F.col("period_start").alias("_start"),
+        "_who",
+        "_since",
         F.coalesce(F.sum("_day_rows").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_day_known").over(whole).alias("group_entity_count"),
     )
 
-    in_day = Window.partitionBy("idx", "period_start").orderBy(F.asc_nulls_first("statement_unique_id"))
+    in_day = Window.partitionBy("_who", "_since").orderBy(F.asc_nulls_first("statement_unique_id"))
     placed = sized.withColumn(
         "_before",
         F.coalesce(F.sum("_rows").over(in_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
-    joined = placed.join(
-        offsets,
-        F.col("idx").eqNullSafe(F.col("_idx")) & F.col("period_start").eqNullSafe(F.col("_start")),
-        "left",
-    )
+    joined = placed.join(offsets, ["_who", "_since"], "left")
     rest = [c for c in df.columns if c != ids]
     rows = joined.select(
         *rest,

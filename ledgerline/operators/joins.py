@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.names import match_key
 from .selection import keep_first, total_order
 
+# Tasks' worth of keys over which rows without a key are dealt.
+SPREAD = 1024
+
 
 def _renamed(right: DataFrame, right_key: str, taken: list[str], suffix: str) -> DataFrame:
     """Registry with its key as ``_rkey`` and colliding names suffixed."""
@@ -27,28 +30,35 @@ def registry_join(
     suffix: str,
     unique_right: bool = False,
     right_keys: DataFrame | None = None,
+    left_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a registry; registry columns that collide get a suffix.
+    """Left join to a registry; registry columns that collide get a suffix. Keys are compared as text.
 
-    Rows without a key match nothing and bypass the join, so they never gather
-    in one partition. The others meet the registry in an inner join, of which
-    the adaptive skew join splits a hot key on either side (of a left join only
-    on the left); those without a match come from an anti join on the keys.
+    One inner join, of which the adaptive skew join splits a hot key on either
+    side (of a left join only on the left), so that the left side is worked out
+    once: the registry gets an empty row for each left key that it lacks. Rows
+    without a key match nothing; they are dealt over ``SPREAD`` empty rows, so
+    they never gather in one partition.
     ``unique_right`` promises one registry row per key; then only the left side
     can be hot, and one left join does. ``right_keys`` is a table with the keys of
     the registry in ``right_key`` where that is cheaper to read than the registry, such
-    as the table from which a step that loses no key made it.
+    as the table from which a step that loses no key made it; ``left_keys`` likewise
+    has every key of the left side in ``left_key``, and may have more.
     """
     registry = _renamed(right.filter(F.col(right_key).isNotNull()), right_key, left.columns, suffix)
-    keyed, same = left.filter(F.col(left_key).isNotNull()), F.col(left_key) == F.col("_rkey")
-    lost = left.filter(F.col(left_key).isNull())
     if unique_right:
-        joined = keyed.join(registry, same, "left")
+        keyed, same = left.filter(F.col(left_key).isNotNull()), F.col(left_key) == F.col("_rkey")
+        lost = left.filter(F.col(left_key).isNull())
+        joined = keyed.join(registry, same, "left").unionByName(lost, allowMissingColumns=True)
     else:
-        joined = keyed.join(registry, same)
-        known = registry if right_keys is None else right_keys.select(F.col(right_key).alias("_rkey"))
-        lost = lost.unionByName(keyed.join(known.select("_rkey"), same, "left_anti"))
-    joined = joined.unionByName(lost, allowMissingColumns=True)
+        at = lambda key: F.concat(F.lit("="), F.col(key).cast("string"))
+        known = registry.select(at("_rkey").alias("_at")) if right_keys is None else right_keys.select(at(right_key).alias("_at"))
+        met = (left if left_keys is None else left_keys).select(at(left_key).alias("_at")).filter("_at IS NOT NULL")
+        lacking = met.distinct().join(known.distinct(), "_at", "left_anti")
+        empty = left.sparkSession.range(SPREAD).select(F.col("id").cast("string").alias("_at"))
+        rows = registry.withColumn("_at", at("_rkey")).unionByName(lacking.unionByName(empty), allowMissingColumns=True)
+        dealt = F.pmod(F.xxhash64(*[c for c, kind in left.dtypes if "map<" not in kind]), F.lit(SPREAD)).cast("string")
+        joined = left.withColumn("_at", F.coalesce(at(left_key), dealt)).join(rows, "_at").drop("_at")
     return joined.drop("_rkey") if left_key == right_key else joined.withColumnRenamed("_rkey", right_key)
 
 

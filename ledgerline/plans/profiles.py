@@ -62,7 +62,10 @@ def au_profiles(statements: DataFrame, registry: DataFrame, tiebreak: list[str]
     entities, companies = au_join_sides(statements, registry, tiebreak)
     # preferring current names loses no ABN
     abns = registry.select(blank_to_null(F.col("ABN").cast("string")).alias("ABN")) if "ABN" in registry.columns else None
-    joined = registry_join(entities, companies, "ABN", "ABN", "_asic", right_keys=abns)
+    # expanding unique statements adds none
+    listed = statements.select(F.explode(F.split(F.col("abn").cast("string"), ",")).alias("ABN")).distinct()
+    joined = registry_join(entities, companies, "ABN", "ABN", "_asic", right_keys=abns,
+                           left_keys=listed.select(blank_to_null(F.col("ABN")).alias("ABN")))
     return key_first(joined.withColumn("join_method", F.lit("ABN")), "ABN")
 
 
@@ -155,8 +158,10 @@ def uk_latest(statements: DataFrame, tiebreak: list[str] | None = None) -> DataF
 def uk_profiles(
     statements: DataFrame, registry: DataFrame, tiebreak: list[str] | None = None
 ) -> DataFrame:
+    numbers = clean_columns(statements.select("CompanyNumber"), ["CompanyNumber"])
     return registry_join(
-        uk_latest(statements, tiebreak), uk_clean_registry(registry), "CompanyNumber", "CompanyNumber", "_ch"
+        uk_latest(statements, tiebreak), uk_clean_registry(registry), "CompanyNumber", "CompanyNumber", "_ch",
+        left_keys=numbers,
     )
 
 

@@ -66,3 +66,8 @@ def test_signers_need_no_shuffle(spark):
 
     text = plan(signers.signer_hits(rows, ["doc_id", "page_number"]))
     assert "Exchange" not in text and "collect_list" not in text
+
+
+def test_registry_join_works_its_left_side_out_once(spark):
+    text = plan(QUERIES["au_profiles"](spark, FOLDER)).split("\n(1) ")[0]
+    assert text.count("Join") == 4 and text.count("Generate") == 2
